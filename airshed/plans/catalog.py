@@ -12,15 +12,24 @@ differs between engines), keys are BIGINT, days are DATE.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airshed.operators.combine import outer_combine
+from airshed.functions.clean import null_sentinel, quantize
+from airshed.functions.period import in_window, run_window
+from airshed.functions.timecols import batch_params
+from airshed.operators import quality as Q
+from airshed.operators.cities import assign_chunks, dedup_first, request_batches, scan_position, top_cities
+from airshed.operators.combine import outer_combine, union_chunks
 from airshed.operators.daily import AQ_SPEC, Metric, daily_aggregate
+from airshed.operators.quality import orphans, run_suite
 from airshed.operators.rolling import rolling_mean
+from airshed.operators.series import explode_series, join_discharge, pivot_keyed_series, zip_positional
+from airshed.operators.upsert import upsert
 from airshed.session import ensure_utc
 
 TABLES = (
@@ -198,6 +207,524 @@ FROM a FULL JOIN b USING (user_id, date) FULL JOIN c USING (user_id, date)
 """
 
 
+# ---------------------------------------------------------------------------
+# City dimension on customer: dedup, top-k, head, chunks, request batches
+# ---------------------------------------------------------------------------
+
+CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+def q_city_dedup(spark, sf_dir):
+    """Keep the first customer (file order) per (nation, segment)."""
+    cust = scan_position(table(spark, sf_dir, "customer"))
+    return round6(dedup_first(cust, ["c_nationkey", "c_mktsegment"], "_pos").drop("_pos"))
+
+
+CITY_DEDUP_SQL = """
+SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment
+FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_custkey) AS rn
+      FROM customer)
+WHERE rn = 1
+"""
+
+
+def q_city_topk(spark, sf_dir):
+    """Top 100 of one segment by balance (bound parameter, NULLs last, ties by key)."""
+    cust = table(spark, sf_dir, "customer")
+    top = top_cities(
+        cust, country="BUILDING", n=100, by="c_acctbal", key="c_custkey",
+        cols=("c_custkey", "c_nationkey", "c_acctbal"), country_col="c_mktsegment",
+    )
+    return round6(top)
+
+
+CITY_TOPK_SQL = """
+SELECT c_custkey, c_nationkey, round(c_acctbal, 6) AS c_acctbal FROM customer
+WHERE c_mktsegment = 'BUILDING'
+ORDER BY c_acctbal DESC NULLS LAST, c_custkey LIMIT 100
+"""
+
+
+def q_city_head(spark, sf_dir):
+    """First 100 by key (the unordered head made deterministic)."""
+    cust = table(spark, sf_dir, "customer")
+    return round6(top_cities(cust, n=100, by=None, key="c_custkey", cols=("c_custkey", "c_nationkey", "c_acctbal")))
+
+
+CITY_HEAD_SQL = """
+SELECT c_custkey, c_nationkey, round(c_acctbal, 6) AS c_acctbal FROM customer ORDER BY c_custkey LIMIT 100
+"""
+
+
+def _customer_chunks(spark, sf_dir, size=50):
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    return assign_chunks(cust, ["c_custkey"], size=size)
+
+
+def q_chunk_assign(spark, sf_dir):
+    return round6(_customer_chunks(spark, sf_dir))
+
+
+CHUNK_ASSIGN_SQL = """
+SELECT c_custkey, c_nationkey, round(c_acctbal, 6) AS c_acctbal,
+       CAST((row_number() OVER (ORDER BY c_custkey) - 1) // 50 AS INTEGER) AS chunk_id,
+       CAST((row_number() OVER (ORDER BY c_custkey) - 1) % 50 AS INTEGER) AS pos
+FROM customer
+"""
+
+
+def q_request_batches(spark, sf_dir):
+    return request_batches(_customer_chunks(spark, sf_dir), cols=("c_custkey", "c_nationkey"))
+
+
+REQUEST_BATCHES_SQL = """
+WITH c AS (
+  SELECT c_custkey, c_nationkey,
+         CAST((row_number() OVER (ORDER BY c_custkey) - 1) // 50 AS INTEGER) AS chunk_id,
+         (row_number() OVER (ORDER BY c_custkey) - 1) % 50 AS pos
+  FROM customer)
+SELECT chunk_id, count(*) AS n,
+       string_agg(CAST(c_custkey AS VARCHAR), ',' ORDER BY pos) AS c_custkey_list,
+       string_agg(CAST(c_nationkey AS VARCHAR), ',' ORDER BY pos) AS c_nationkey_list
+FROM c GROUP BY chunk_id
+"""
+
+
+# ---------------------------------------------------------------------------
+# Series feeds: embeddings as vectors with a time header; positional zip
+# ---------------------------------------------------------------------------
+
+SERIES_EPOCH = 1704067200  # 2024-01-01T00:00:00Z
+
+
+def q_series_explode(spark, sf_dir):
+    """Each embedding is one response: hourly steps from a label-dependent start."""
+    emb = table(spark, sf_dir, "embeddings")
+    raw = emb.select(
+        "vec_id",
+        (F.lit(SERIES_EPOCH) + F.col("label").cast("long") * 86400).alias("start_s"),
+        (F.lit(SERIES_EPOCH) + F.col("label").cast("long") * 86400 + F.size("embedding").cast("long") * 3600).alias("end_s"),
+        F.lit(3600).alias("interval_s"),
+        F.col("embedding").alias("v"),
+    )
+    rows = explode_series(raw, ["v"], keys=("vec_id",))
+    return round6(rows.withColumn("date", F.col("date").cast("timestamp_ntz")))
+
+
+SERIES_EXPLODE_SQL = f"""
+SELECT vec_id,
+       make_timestamp(CAST(({SERIES_EPOCH} + label * 86400 + i * 3600) AS BIGINT) * 1000000) AS date,
+       round(CAST(embedding[i + 1] AS DOUBLE), 6) AS v
+FROM embeddings, range(CAST(len(embedding) AS BIGINT)) t(i)
+"""
+
+
+def q_positional_zip(spark, sf_dir):
+    """Ids in chunks of 50 zipped with responses in chunks of 40 (shorter side wins)."""
+    ids = _customer_chunks(spark, sf_dir).select("chunk_id", "pos", "c_custkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    responses = assign_chunks(orders, ["o_orderkey"], size=40)
+    return round6(zip_positional(ids, responses))
+
+
+POSITIONAL_ZIP_SQL = """
+WITH c AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS g FROM customer),
+o AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS g FROM orders)
+SELECT CAST(c.g // 50 AS INTEGER) AS chunk_id, CAST(c.g % 50 AS INTEGER) AS pos, c_custkey, o_orderkey,
+       round(o_totalprice, 6) AS o_totalprice
+FROM c JOIN o ON c.g // 50 = o.g // 40 AND c.g % 50 = o.g % 40
+"""
+
+
+def q_keyed_json_pivot(spark, sf_dir):
+    """Per user, a keyed JSON body {type: {yyyymmdd: daily sum}} built by Spark
+    from events, then pivoted back to one row per (user, day)."""
+    ev = table(spark, sf_dir, "events")
+    per_day = ev.groupBy("user_id", "event_type", F.date_format("ts", "yyyyMMdd").alias("d")).agg(
+        F.sum("value").alias("v")
+    )
+    per_var = per_day.groupBy("user_id", "event_type").agg(
+        F.map_from_entries(F.collect_list(F.struct("d", "v"))).alias("m")
+    )
+    bodies = per_var.groupBy("user_id").agg(
+        F.to_json(
+            F.struct(
+                F.struct(F.map_from_entries(F.collect_list(F.struct("event_type", "m"))).alias("parameter")).alias(
+                    "properties"
+                )
+            )
+        ).alias("body")
+    )
+    wide = pivot_keyed_series(bodies, EVENT_TYPES, keys=("user_id",))
+    return round6(wide)
+
+
+EVENT_TYPES = ["click", "error", "view", "signup", "purchase"]
+
+KEYED_JSON_PIVOT_SQL = """
+SELECT CAST(ts AS DATE) AS date,
+""" + ",\n".join(
+    f"  round(sum(CASE WHEN event_type = '{t}' THEN value END), 6) AS {t}" for t in EVENT_TYPES
+) + """,
+  user_id
+FROM events GROUP BY user_id, CAST(ts AS DATE)
+"""
+
+
+# ---------------------------------------------------------------------------
+# Run windows on orders
+# ---------------------------------------------------------------------------
+
+ORDER_DAY = dt.date(1997, 5, 28)
+
+
+def _orders_in(spark, sf_dir, window):
+    o = table(spark, sf_dir, "orders")
+    return round6(
+        o.filter(in_window("o_orderdate", window)).select(
+            "o_orderkey", "o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("date")
+        )
+    )
+
+
+def q_period_daily(spark, sf_dir):
+    return _orders_in(spark, sf_dir, run_window("daily", ORDER_DAY))
+
+
+def q_period_yearly(spark, sf_dir):
+    return _orders_in(spark, sf_dir, run_window("yearly", dt.date(1997, 1, 1), dt.date(1998, 1, 1)))
+
+
+def q_period_lag(spark, sf_dir):
+    return _orders_in(spark, sf_dir, run_window("daily", ORDER_DAY, lag_days=1))
+
+
+def _period_sql(lo: str, hi: str) -> str:
+    return f"""
+SELECT o_orderkey, o_custkey, round(o_totalprice, 6) AS o_totalprice, CAST(o_orderdate AS DATE) AS date
+FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{lo}' AND DATE '{hi}'
+"""
+
+
+# ---------------------------------------------------------------------------
+# Joins / unions / cleaning
+# ---------------------------------------------------------------------------
+
+
+def _day_totals(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    lineitem = table(spark, sf_dir, "lineitem")
+    climate = orders.groupBy(F.to_date("o_orderdate").alias("date")).agg(
+        F.sum("o_totalprice").alias("orders_total"), F.count(F.lit(1)).alias("n_orders")
+    )
+    discharge = lineitem.groupBy(F.to_date("l_shipdate").alias("date")).agg(
+        F.sum("l_extendedprice").alias("shipped_total")
+    )
+    return climate, discharge
+
+
+def q_climate_join_discharge(spark, sf_dir):
+    climate, discharge = _day_totals(spark, sf_dir)
+    return round6(join_discharge(climate, discharge, keys=("date",), how="inner"))
+
+
+def q_climate_join_discharge_left(spark, sf_dir):
+    climate, discharge = _day_totals(spark, sf_dir)
+    return round6(join_discharge(climate, discharge, keys=("date",), how="left"))
+
+
+def _join_discharge_sql(how: str) -> str:
+    return f"""
+WITH c AS (SELECT CAST(o_orderdate AS DATE) AS date, sum(o_totalprice) AS orders_total, count(*) AS n_orders
+           FROM orders GROUP BY 1),
+d AS (SELECT CAST(l_shipdate AS DATE) AS date, sum(l_extendedprice) AS shipped_total FROM lineitem GROUP BY 1)
+SELECT c.date, round(orders_total, 6) AS orders_total, n_orders, round(shipped_total, 6) AS shipped_total
+FROM c {how} JOIN d ON c.date = d.date
+"""
+
+
+def q_chunk_union(spark, sf_dir):
+    """Three chunks of orders with different column sets, stacked by name."""
+    o = table(spark, sf_dir, "orders")
+    parts = [
+        o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice"),
+        o.filter(F.col("o_orderstatus") == "O").select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("date")),
+        o.filter(F.col("o_orderstatus") == "P").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("date")),
+        o.filter(~F.col("o_orderstatus").isin("F", "O", "P") | F.col("o_orderstatus").isNull()).select("o_orderkey"),
+    ]
+    return round6(union_chunks(parts))
+
+
+CHUNK_UNION_SQL = """
+SELECT o_orderkey, o_custkey, round(o_totalprice, 6) AS o_totalprice, NULL::DATE AS date FROM orders WHERE o_orderstatus = 'F'
+UNION ALL BY NAME
+SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice, CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_orderstatus = 'O'
+UNION ALL BY NAME
+SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_orderstatus = 'P'
+UNION ALL BY NAME
+SELECT o_orderkey FROM orders WHERE o_orderstatus NOT IN ('F', 'O', 'P') OR o_orderstatus IS NULL
+"""
+
+
+def q_sentinel_null(spark, sf_dir):
+    """``p_size = 11`` plays the -999 sentinel: NULL in every numeric column but the key."""
+    return round6(null_sentinel(table(spark, sf_dir, "part"), value=11, exclude=("p_partkey",)))
+
+
+SENTINEL_NULL_SQL = """
+SELECT p_partkey, p_name, p_brand, p_type, NULLIF(p_size, 11) AS p_size,
+       round(NULLIF(p_retailprice, 11), 6) AS p_retailprice
+FROM part
+"""
+
+PART_RENAME = {"p_partkey": "part_id", "p_name": "name", "p_brand": "brand", "p_size": "size", "p_retailprice": "retail_price"}
+
+
+def q_rename_coded(spark, sf_dir):
+    return round6(table(spark, sf_dir, "part").withColumnsRenamed(PART_RENAME))
+
+
+RENAME_CODED_SQL = """
+SELECT p_partkey AS part_id, p_name AS name, p_brand AS brand, p_type, p_size AS size,
+       round(p_retailprice, 6) AS retail_price
+FROM part
+"""
+
+
+def q_quantize_2(spark, sf_dir):
+    """Line revenue and tax quantised to 0.01 (HALF_UP on the shortest decimal text)."""
+    li = table(spark, sf_dir, "lineitem")
+    q = li.select(
+        "l_orderkey", "l_linenumber",
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
+        (F.col("l_extendedprice") * F.col("l_tax")).alias("tax"),
+    )
+    q = quantize(q, {"revenue": T.DecimalType(18, 2), "tax": T.DecimalType(18, 2)})
+    return q.select("l_orderkey", "l_linenumber", F.col("revenue").cast("double"), F.col("tax").cast("double"))
+
+
+QUANTIZE_2_SQL = """
+SELECT l_orderkey, l_linenumber,
+  CAST(CAST(CAST(l_extendedprice * (1 - l_discount) AS VARCHAR) AS DECIMAL(18, 2)) AS DOUBLE) AS revenue,
+  CAST(CAST(CAST(l_extendedprice * l_tax AS VARCHAR) AS DECIMAL(18, 2)) AS DOUBLE) AS tax
+FROM lineitem
+"""
+
+
+# ---------------------------------------------------------------------------
+# Upserts (injected clock; created_at never compared against wall time)
+# ---------------------------------------------------------------------------
+
+T0 = dt.datetime(2024, 1, 1)
+NOW = dt.datetime(2024, 6, 1)
+
+
+def q_upsert_full(spark, sf_dir):
+    """Target = orders F/O, source = orders O/P with new prices (NULL overwrites)."""
+    o = table(spark, sf_dir, "orders")
+    target = o.filter(F.col("o_orderstatus").isin("F", "O")).select(
+        "o_orderkey", F.to_date("o_orderdate").alias("date"), "o_custkey", "o_totalprice", "o_orderpriority",
+        F.lit(T0).alias("created_at"),
+    )
+    source = o.filter(F.col("o_orderstatus").isin("O", "P")).select(
+        "o_orderkey", F.to_date("o_orderdate").alias("date"),
+        F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_custkey")).alias("o_custkey"),
+        (F.col("o_totalprice") + 1).alias("o_totalprice"),
+    )
+    return round6(upsert(target, source, ["o_orderkey", "date"], now=NOW))
+
+
+UPSERT_FULL_SQL = """
+WITH t AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, o_custkey, o_totalprice, o_orderpriority,
+                  TIMESTAMP '2024-01-01 00:00:00' AS created_at
+           FROM orders WHERE o_orderstatus IN ('F', 'O')),
+s AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date,
+             CASE WHEN o_orderpriority <> '1-URGENT' THEN o_custkey END AS o_custkey,
+             o_totalprice + 1 AS o_totalprice
+      FROM orders WHERE o_orderstatus IN ('O', 'P'))
+SELECT COALESCE(t.o_orderkey, s.o_orderkey) AS o_orderkey, COALESCE(t.date, s.date) AS date,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_custkey ELSE t.o_custkey END AS o_custkey,
+       round(CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END, 6) AS o_totalprice,
+       t.o_orderpriority AS o_orderpriority,
+       CASE WHEN t.o_orderkey IS NOT NULL THEN t.created_at ELSE TIMESTAMP '2024-06-01 00:00:00' END AS created_at
+FROM t FULL JOIN s ON t.o_orderkey = s.o_orderkey AND t.date = s.date
+"""
+
+
+def q_upsert_narrow(spark, sf_dir):
+    """Only the balance (``lat``/``lng`` analogue) of a matched customer changes;
+    its name stays; new customers come in whole."""
+    c = table(spark, sf_dir, "customer")
+    target = c.filter(F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE", "MACHINERY"))
+    source = c.filter(F.col("c_mktsegment").isin("MACHINERY", "HOUSEHOLD", "FURNITURE")).select(
+        "c_custkey", F.upper("c_name").alias("c_name"), "c_nationkey",
+        (F.col("c_acctbal") + 100).alias("c_acctbal"), "c_mktsegment",
+    )
+    return round6(upsert(target, source, ["c_custkey"], update_cols=["c_acctbal"], created_col=None))
+
+
+UPSERT_NARROW_SQL = """
+WITH t AS (SELECT * FROM customer WHERE c_mktsegment IN ('BUILDING', 'AUTOMOBILE', 'MACHINERY')),
+s AS (SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal + 100 AS c_acctbal, c_mktsegment
+      FROM customer WHERE c_mktsegment IN ('MACHINERY', 'HOUSEHOLD', 'FURNITURE'))
+SELECT COALESCE(t.c_custkey, s.c_custkey) AS c_custkey,
+       CASE WHEN t.c_custkey IS NOT NULL THEN t.c_name ELSE s.c_name END AS c_name,
+       CASE WHEN t.c_custkey IS NOT NULL THEN t.c_nationkey ELSE s.c_nationkey END AS c_nationkey,
+       round(CASE WHEN s.c_custkey IS NOT NULL THEN s.c_acctbal ELSE t.c_acctbal END, 6) AS c_acctbal,
+       CASE WHEN t.c_custkey IS NOT NULL THEN t.c_mktsegment ELSE s.c_mktsegment END AS c_mktsegment
+FROM t FULL JOIN s ON t.c_custkey = s.c_custkey
+"""
+
+
+# ---------------------------------------------------------------------------
+# Data quality on lineitem / orders / customer
+# ---------------------------------------------------------------------------
+
+LINEITEM_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
+DQ_UNIQUE = [Q.compound_unique(["l_orderkey", "l_linenumber"])]
+DQ_BETWEEN = [
+    Q.between("l_discount", 0, 0.1),
+    Q.between("l_tax", 0, 0.06),
+    Q.between("l_quantity", 1, 50),
+    Q.between("l_quantity", 10, 40, mostly=0.5),
+]
+DQ_PAIR = [
+    Q.pair_ge("l_extendedprice", "l_quantity", severity=Q.WARNING),
+    Q.pair_ge("l_tax", "l_discount", severity=Q.WARNING),
+    Q.pair_ge("l_tax", "l_discount", or_equal=False, mostly=0.4, severity=Q.WARNING),
+]
+DQ_LOWER = [Q.between("l_extendedprice", 0, None), Q.between("l_discount", 0.02, None)]
+DQ_SUITE = [Q.columns_match_set(LINEITEM_COLUMNS + ["l_comment"]), *DQ_UNIQUE, *DQ_PAIR, *DQ_BETWEEN, *DQ_LOWER]
+DQ_STORE = [
+    Q.not_null("c_name"),
+    Q.not_null("c_mktsegment"),
+    Q.compound_unique(["c_custkey"]),
+    Q.max_length("c_name", 18),
+    Q.max_length("c_mktsegment", 9),
+]
+
+
+def _dq(spark, sf_dir, name, suite):
+    return run_suite(table(spark, sf_dir, name), suite)
+
+
+def q_dq_unique(spark, sf_dir):
+    return _dq(spark, sf_dir, "lineitem", DQ_UNIQUE)
+
+
+def q_dq_between(spark, sf_dir):
+    return _dq(spark, sf_dir, "lineitem", DQ_BETWEEN)
+
+
+def q_dq_pair(spark, sf_dir):
+    return _dq(spark, sf_dir, "lineitem", DQ_PAIR)
+
+
+def q_dq_lower(spark, sf_dir):
+    return _dq(spark, sf_dir, "lineitem", DQ_LOWER)
+
+
+def q_dq_suite(spark, sf_dir):
+    return _dq(spark, sf_dir, "lineitem", DQ_SUITE)
+
+
+def q_not_null_length(spark, sf_dir):
+    return _dq(spark, sf_dir, "customer", DQ_STORE)
+
+
+def _sql_lit(x) -> str:
+    return "NULL" if x is None else repr(float(x))
+
+
+def suite_sql(tbl: str, suite, columns: list[str]) -> str:
+    """Oracle for ``run_suite``: one SELECT per expectation, UNION ALL."""
+    parts = []
+    for i, e in enumerate(suite):
+        head = f"{i} AS idx, '{e.name}' AS expectation, '{e.label}' AS \"column\", '{e.severity}' AS severity"
+        if e.kind == "columns_match_set":
+            want = set(e.columns)
+            ev, un = len(want), len(want ^ set(columns))
+            body = f"SELECT {head}, CAST({ev} AS BIGINT) AS evaluated, CAST({un} AS BIGINT) AS unexpected"
+        elif e.kind == "compound_unique":
+            cols = ", ".join(e.columns)
+            some = " OR ".join(f"{c} IS NOT NULL" for c in e.columns)
+            body = (
+                f"SELECT {head}, CAST(coalesce(sum(n), 0) AS BIGINT) AS evaluated, "
+                f"CAST(coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS unexpected "
+                f"FROM (SELECT {cols}, count(*) AS n FROM {tbl} WHERE {some} GROUP BY {cols})"
+            )
+        elif e.kind == "between":
+            c = e.columns[0]
+            bad = " OR ".join(
+                x for x in ([f"{c} < {_sql_lit(e.lo)}"] if e.lo is not None else [])
+                + ([f"{c} > {_sql_lit(e.hi)}"] if e.hi is not None else [])
+            ) or "FALSE"
+            body = (
+                f"SELECT {head}, count({c}) AS evaluated, "
+                f"count(*) FILTER (WHERE {c} IS NOT NULL AND ({bad})) AS unexpected FROM {tbl}"
+            )
+        elif e.kind == "pair_ge":
+            a, b = e.columns
+            op = ">=" if e.or_equal else ">"
+            seen = f"({a} IS NOT NULL OR {b} IS NOT NULL)"
+            body = (
+                f"SELECT {head}, count(*) FILTER (WHERE {seen}) AS evaluated, "
+                f"count(*) FILTER (WHERE {seen} AND NOT coalesce({a} {op} {b}, FALSE)) AS unexpected FROM {tbl}"
+            )
+        elif e.kind == "not_null":
+            c = e.columns[0]
+            body = f"SELECT {head}, count(*) AS evaluated, count(*) FILTER (WHERE {c} IS NULL) AS unexpected FROM {tbl}"
+        elif e.kind == "max_length":
+            c = e.columns[0]
+            body = (
+                f"SELECT {head}, count({c}) AS evaluated, "
+                f"count(*) FILTER (WHERE length({c}) > {int(e.hi)}) AS unexpected FROM {tbl}"
+            )
+        else:
+            raise ValueError(e.kind)
+        parts.append(f"SELECT *, {e.mostly!r} AS mostly FROM ({body})")
+    union = "\nUNION ALL\n".join(parts)
+    return f"""
+SELECT CAST(idx AS INTEGER) AS idx, expectation, "column", severity,
+       CAST(evaluated AS BIGINT) AS evaluated, CAST(unexpected AS BIGINT) AS unexpected,
+       (evaluated = 0 OR (evaluated - unexpected) / evaluated >= mostly) AS success
+FROM ({union})
+"""
+
+
+def q_fk_orphans(spark, sf_dir):
+    """Line items whose order is not among the finished orders."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    finished = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+    return round6(orphans(li, finished, key="l_orderkey", dim_key="o_orderkey"))
+
+
+FK_ORPHANS_SQL = """
+SELECT l_orderkey, l_linenumber, l_partkey, round(l_quantity, 6) AS l_quantity FROM lineitem l
+WHERE l_orderkey IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderstatus = 'F' AND o.o_orderkey = l.l_orderkey)
+"""
+
+BATCH_DAY = dt.date(2024, 1, 15)
+
+
+def q_batch_pick(spark, sf_dir):
+    """One day's batch of events, with its zero-padded batch parameters."""
+    ev = table(spark, sf_dir, "events")
+    day = ev.filter(in_window("ts", run_window("daily", BATCH_DAY)))
+    return round6(day.select("event_id", "user_id", "ts", "value", *batch_params(F.to_date("ts"))))
+
+
+BATCH_PICK_SQL = """
+SELECT event_id, user_id, ts, round(value, 6) AS value,
+       strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day
+FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'
+"""
+
+
 # ---------------------------------------------------------------------------
 # Registry
 # ---------------------------------------------------------------------------
@@ -210,6 +737,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_mean": q_daily_mean,
     "daily_max": q_daily_max,
     "outer_combine": q_outer_combine,
+    "city_dedup": q_city_dedup,
+    "city_topk": q_city_topk,
+    "city_head": q_city_head,
+    "chunk_assign": q_chunk_assign,
+    "request_batches": q_request_batches,
+    "series_explode": q_series_explode,
+    "positional_zip": q_positional_zip,
+    "keyed_json_pivot": q_keyed_json_pivot,
+    "period_daily": q_period_daily,
+    "period_yearly": q_period_yearly,
+    "period_lag": q_period_lag,
+    "climate_join_discharge": q_climate_join_discharge,
+    "climate_join_discharge_left": q_climate_join_discharge_left,
+    "chunk_union": q_chunk_union,
+    "sentinel_null": q_sentinel_null,
+    "rename_coded": q_rename_coded,
+    "quantize_2": q_quantize_2,
+    "upsert_full": q_upsert_full,
+    "upsert_narrow": q_upsert_narrow,
+    "dq_unique": q_dq_unique,
+    "dq_between": q_dq_between,
+    "dq_pair": q_dq_pair,
+    "dq_lower": q_dq_lower,
+    "dq_suite": q_dq_suite,
+    "not_null_length": q_not_null_length,
+    "fk_orphans": q_fk_orphans,
+    "batch_pick": q_batch_pick,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -222,4 +776,31 @@ ORACLE_SQL: dict[str, str] = {
     "daily_mean": DAILY_MEAN_SQL,
     "daily_max": DAILY_MAX_SQL,
     "outer_combine": OUTER_COMBINE_SQL,
+    "city_dedup": CITY_DEDUP_SQL,
+    "city_topk": CITY_TOPK_SQL,
+    "city_head": CITY_HEAD_SQL,
+    "chunk_assign": CHUNK_ASSIGN_SQL,
+    "request_batches": REQUEST_BATCHES_SQL,
+    "series_explode": SERIES_EXPLODE_SQL,
+    "positional_zip": POSITIONAL_ZIP_SQL,
+    "keyed_json_pivot": KEYED_JSON_PIVOT_SQL,
+    "period_daily": _period_sql("1997-05-28", "1997-05-28"),
+    "period_yearly": _period_sql("1997-01-01", "1998-01-01"),
+    "period_lag": _period_sql("1997-05-27", "1997-05-27"),
+    "climate_join_discharge": _join_discharge_sql("INNER"),
+    "climate_join_discharge_left": _join_discharge_sql("LEFT"),
+    "chunk_union": CHUNK_UNION_SQL,
+    "sentinel_null": SENTINEL_NULL_SQL,
+    "rename_coded": RENAME_CODED_SQL,
+    "quantize_2": QUANTIZE_2_SQL,
+    "upsert_full": UPSERT_FULL_SQL,
+    "upsert_narrow": UPSERT_NARROW_SQL,
+    "dq_unique": suite_sql("lineitem", DQ_UNIQUE, LINEITEM_COLUMNS),
+    "dq_between": suite_sql("lineitem", DQ_BETWEEN, LINEITEM_COLUMNS),
+    "dq_pair": suite_sql("lineitem", DQ_PAIR, LINEITEM_COLUMNS),
+    "dq_lower": suite_sql("lineitem", DQ_LOWER, LINEITEM_COLUMNS),
+    "dq_suite": suite_sql("lineitem", DQ_SUITE, LINEITEM_COLUMNS),
+    "not_null_length": suite_sql("customer", DQ_STORE, CUSTOMER_COLS),
+    "fk_orphans": FK_ORPHANS_SQL,
+    "batch_pick": BATCH_PICK_SQL,
 }
