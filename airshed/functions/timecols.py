@@ -58,4 +58,4 @@ def file_stem(path: str | Column = "_metadata.file_path") -> Column:
 def date_from_file_name(path: str | Column = "_metadata.file_path") -> Column:
     """``.../YYYY-MM-DD.parquet`` -> date (NULL when the name does not match)."""
     text = F.regexp_extract(_c(path), r"(\d{4}-\d{2}-\d{2})\.parquet$", 1)
-    return F.try_to_date(text, F.lit("yyyy-MM-dd"))
+    return F.try_to_date(text, "yyyy-MM-dd")

@@ -60,6 +60,6 @@ def read_day(spark: SparkSession, table_path: str, day: dt.date, col: str = "dat
 
 
 def read_dated_file(spark: SparkSession, folder: str, day: dt.date) -> DataFrame:
-    """Batch pick by file name ``YYYY-MM-DD.parquet`` in a folder: only the
-    matching file is listed and read."""
-    return spark.read.option("pathGlobFilter", f"{day.isoformat()}.parquet").parquet(folder)
+    """Batch pick by name ``YYYY-MM-DD.parquet`` in a folder (a single file or
+    a Spark output folder): only the matching path is listed and read."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/{day.isoformat()}.parquet")
