@@ -83,8 +83,8 @@ def assign_chunks(
     """Fixed-size chunks in ``order``: chunk = position div size, pos = position mod size."""
     o = with_ordinal(df, order, out="_ord")
     return (
-        o.withColumn(chunk_col, F.floor(F.col("_ord") / size).cast("int"))
-        .withColumn(pos_col, (F.col("_ord") % size).cast("int"))
+        o.withColumn(chunk_col, F.expr(f"_ord div {int(size)}").cast("int"))
+        .withColumn(pos_col, (F.col("_ord") % int(size)).cast("int"))
         .drop("_ord")
     )
 

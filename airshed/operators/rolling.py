@@ -5,12 +5,16 @@ one; the mean skips missing values and is NULL unless at least ``min_rows``
 values are present. Row-based, not time-based: gaps in the hour grid are not
 padded, and the frame crosses midnight unless ``reset_by`` restarts it.
 
-Skew: ``Window.partitionBy(key)`` sends all rows of one key to one task. With
-``bucket_rows`` set, rows get their global position in (key, order) order,
-are cut into buckets of ``bucket_rows`` positions, and the last ``rows - 1``
-rows of each bucket are copied into the next one as a halo. The window is then
-partitioned by (key, bucket): no task holds more than ``bucket_rows + rows - 1``
-rows, whatever the key distribution, and the result is exact.
+Skew: ``Window.partitionBy(key)`` sends all rows of one key to one task. So
+the rows per key are counted first (a map-side-combined aggregate). Keys with
+at most ``bucket_rows`` rows take the plain window (one shuffle, and its
+hash partitioning on the key also serves a later ``groupBy`` on key + day).
+Hot keys -- at most rows / ``bucket_rows`` of them, so their set is bounded --
+get their global position in (key, order) order, are cut into buckets of
+``bucket_rows`` positions, and the last ``rows - 1`` rows of each bucket are
+copied into the next one as a halo. Their window is partitioned by
+(key, bucket): no task holds more than ``bucket_rows + rows - 1`` rows of a
+hot key, and the result is exact.
 """
 
 from __future__ import annotations
@@ -21,10 +25,32 @@ from pyspark.sql import functions as F
 from airshed.operators.ordinal import with_ordinal
 
 DEFAULT_BUCKET_ROWS = 1 << 16
+HOT_KEY_BROADCAST_LIMIT = 1_000_000
 
 
-def _as_col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _frame_cols(cols, outputs, w, min_rows):
+    return [
+        F.when(F.count(F.col(c)).over(w) >= min_rows, F.avg(F.col(c)).over(w)).alias(o) for c, o in zip(cols, outputs)
+    ]
+
+
+def _plain(df, groups, order, cols, outputs, halo, min_rows):
+    w = Window.partitionBy(*groups).orderBy(order).rowsBetween(-halo, 0)
+    return df.select("*", *_frame_cols(cols, outputs, w, min_rows))
+
+
+def _bucketed(df, groups, order, cols, outputs, halo, min_rows, bucket_rows):
+    pos = with_ordinal(df, [F.col(g) for g in groups] + [F.col(order)], out="_ord")
+    own = F.expr(f"_ord div {int(bucket_rows)}")
+    in_tail = (F.col("_ord") - own * bucket_rows) >= (bucket_rows - halo)
+    copies = F.when(in_tail & F.lit(halo > 0), F.array(own, own + 1)).otherwise(F.array(own))
+    spread = pos.withColumn("_own", own).withColumn("_b", F.explode(copies))
+    w = Window.partitionBy(*groups, "_b").orderBy("_ord").rowsBetween(-halo, 0)
+    return (
+        spread.select("*", *_frame_cols(cols, outputs, w, min_rows))
+        .filter(F.col("_b") == F.col("_own"))
+        .drop("_ord", "_own", "_b")
+    )
 
 
 def rolling_mean(
@@ -38,39 +64,35 @@ def rolling_mean(
     outputs: list[str] | None = None,
     bucket_rows: int | None = DEFAULT_BUCKET_ROWS,
 ) -> DataFrame:
-    """Add one rolling-mean column per input column (named by ``outputs``)."""
+    """Add one rolling-mean column per input column (named by ``outputs``).
+
+    ``order`` must be unique within a key (the source sorts by city and hour).
+    ``bucket_rows=None`` skips the hot-key split (for series whose length per
+    key is bounded by construction).
+    """
     min_rows = rows if min_rows is None else min_rows
     outputs = outputs or [f"{c}_rolling_{rows}" for c in cols]
-    keys = [key] if isinstance(key, str) else list(key)
-    groups: list[Column] = [F.col(k) for k in keys]
+    groups = [key] if isinstance(key, str) else list(key)
     if reset_by is not None:
         df = df.withColumn("_reset", reset_by)
-        groups.append(F.col("_reset"))
+        groups.append("_reset")
     halo = rows - 1
-
-    def frame_cols(w):
-        return [
-            F.when(F.count(F.col(c)).over(w) >= min_rows, F.avg(F.col(c)).over(w)).alias(o)
-            for c, o in zip(cols, outputs)
-        ]
+    args = (groups, order, cols, outputs, halo, min_rows)
 
     if bucket_rows is None:
-        w = Window.partitionBy(*groups).orderBy(order).rowsBetween(-halo, 0)
-        out = df.select("*", *frame_cols(w))
+        out = _plain(df, *args)
     else:
         if bucket_rows < max(halo, 1):
             raise ValueError("bucket_rows must be at least rows - 1")
-        pos = with_ordinal(df, groups + [F.col(order)], out="_ord")
-        own = F.floor(F.col("_ord") / bucket_rows)
-        in_tail = (F.col("_ord") - own * bucket_rows) >= (bucket_rows - halo)
-        copies = F.when(in_tail & F.lit(halo > 0), F.array(own, own + 1)).otherwise(F.array(own))
-        spread = pos.withColumn("_own", own).withColumn("_b", F.explode(copies))
-        w = Window.partitionBy(*groups, F.col("_b")).orderBy("_ord").rowsBetween(-halo, 0)
-        out = (
-            spread.select("*", *frame_cols(w))
-            .filter(F.col("_b") == F.col("_own"))
-            .drop("_ord", "_own", "_b")
-        )
+        hot = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > bucket_rows).select(*groups)
+        n_hot = hot.limit(HOT_KEY_BROADCAST_LIMIT + 1).count()
+        if n_hot == 0:
+            out = _plain(df, *args)
+        else:
+            hot_keys = F.broadcast(hot) if n_hot <= HOT_KEY_BROADCAST_LIMIT else hot
+            cold = _plain(df.join(hot_keys, groups, "left_anti"), *args)
+            warm = _bucketed(df.join(hot_keys, groups, "left_semi"), *args, bucket_rows)
+            out = cold.unionByName(warm)
     if reset_by is not None:
         out = out.drop("_reset")
     return out
