@@ -70,17 +70,20 @@ def daily_aggregate(
             F.col(key).isNotNull() & F.col(ts).isNotNull()
         ),
         srcs,
-    )
+    ).withColumn("_day", F.to_date(F.col(ts)))
+    # The window is partitioned by the key (plus the day when frames reset at
+    # midnight); grouping by the same attributes reuses that partitioning, so
+    # rolling + daily aggregate cost one shuffle.
+    window_key = [key, "_day"] if reset_daily else [key]
     rolled = [m for m in spec if m.how == "max_rolling"]
     for window in sorted({m.window for m in rolled}):
         these = sorted({m.src for m in rolled if m.window == window})
         df = rolling_mean(
             df,
             these,
-            key=key,
+            key=window_key,
             order=ts,
             rows=window,
-            reset_by=F.to_date(F.col(ts)) if reset_daily else None,
             outputs=[f"_{s}_roll{window}" for s in these],
             bucket_rows=bucket_rows,
         )
@@ -90,7 +93,7 @@ def daily_aggregate(
             aggs.append(F.max(F.col(_rolled(m))).alias(m.out))
         else:
             aggs.append(_SIMPLE[m.how](F.col(m.src)).alias(m.out))
-    return df.groupBy(F.col(key), F.to_date(F.col(ts)).alias("date")).agg(*aggs)
+    return df.groupBy(F.col(key), F.col("_day").alias("date")).agg(*aggs)
 
 
 def daily_air_quality(hourly: DataFrame, spec=AQ_SPEC, **kw) -> DataFrame:

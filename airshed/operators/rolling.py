@@ -6,7 +6,8 @@ values are present. Row-based, not time-based: gaps in the hour grid are not
 padded, and the frame crosses midnight unless ``reset_by`` restarts it.
 
 Skew: ``Window.partitionBy(key)`` sends all rows of one key to one task. So
-the rows per key are counted first (a map-side-combined aggregate). Keys with
+the rows per key are counted first (a map-side-combined aggregate; skipped
+when the whole input has at most ``bucket_rows`` rows). Keys with
 at most ``bucket_rows`` rows take the plain window (one shuffle, and its
 hash partitioning on the key also serves a later ``groupBy`` on key + day).
 Hot keys -- at most rows / ``bucket_rows`` of them, so their set is bounded --
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from airshed.operators.ordinal import with_ordinal
 
-DEFAULT_BUCKET_ROWS = 1 << 16
+DEFAULT_BUCKET_ROWS = 1 << 20
 HOT_KEY_BROADCAST_LIMIT = 1_000_000
 
 
@@ -85,7 +86,9 @@ def rolling_mean(
         if bucket_rows < max(halo, 1):
             raise ValueError("bucket_rows must be at least rows - 1")
         hot = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > bucket_rows).select(*groups)
-        n_hot = hot.limit(HOT_KEY_BROADCAST_LIMIT + 1).count()
+        # No key can be hot when the whole input fits in one bucket (cheap, bounded check).
+        small = df.limit(bucket_rows + 1).count() <= bucket_rows
+        n_hot = 0 if small else hot.limit(HOT_KEY_BROADCAST_LIMIT + 1).count()
         if n_hot == 0:
             out = _plain(df, *args)
         else:
