@@ -73,6 +73,23 @@ def top_cities(
     return df.orderBy(*ordering).limit(n).select(*cols)
 
 
+TOP_CITIES_SQL = """
+SELECT city_id, lat, lng FROM {cities}
+WHERE country = :country
+ORDER BY population DESC NULLS LAST, city_id
+LIMIT :n
+"""
+
+
+def top_cities_sql(spark, cities: DataFrame, country: str, n: int = CITIES_PER_RUN, query: str = TOP_CITIES_SQL) -> DataFrame:
+    """The same top-k as a SQL text with bound parameters (``:country``, ``:n``).
+
+    Values are bound, never spliced into the text; the predicate still reaches
+    the Parquet scan as a pushed filter.
+    """
+    return spark.sql(query, args={"country": country, "n": n}, cities=cities)
+
+
 def assign_chunks(
     df: DataFrame,
     order: list[str | Column],

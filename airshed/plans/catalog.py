@@ -23,7 +23,14 @@ from airshed.functions.clean import null_sentinel, quantize
 from airshed.functions.period import in_window, run_window
 from airshed.functions.timecols import batch_params
 from airshed.operators import quality as Q
-from airshed.operators.cities import assign_chunks, dedup_first, request_batches, scan_position, top_cities
+from airshed.operators.cities import (
+    assign_chunks,
+    dedup_first,
+    request_batches,
+    scan_position,
+    top_cities,
+    top_cities_sql,
+)
 from airshed.operators.combine import outer_combine, union_chunks
 from airshed.operators.daily import AQ_SPEC, Metric, daily_aggregate
 from airshed.operators.quality import orphans, run_suite
@@ -245,6 +252,22 @@ ORDER BY c_acctbal DESC NULLS LAST, c_custkey LIMIT 100
 """
 
 
+def q_city_topk_sql(spark, sf_dir):
+    """The top-k as SQL text with bound parameters over the customer table."""
+    cust = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("city_id"), F.col("c_nationkey").alias("lat"), F.col("c_acctbal").alias("lng"),
+        F.col("c_mktsegment").alias("country"), F.col("c_acctbal").alias("population"),
+    )
+    return round6(top_cities_sql(spark, cust, "MACHINERY", 100))
+
+
+CITY_TOPK_SQL_SQL = """
+SELECT c_custkey AS city_id, c_nationkey AS lat, round(c_acctbal, 6) AS lng FROM customer
+WHERE c_mktsegment = 'MACHINERY'
+ORDER BY c_acctbal DESC NULLS LAST, c_custkey LIMIT 100
+"""
+
+
 def q_city_head(spark, sf_dir):
     """First 100 by key (the unordered head made deterministic)."""
     cust = table(spark, sf_dir, "customer")
@@ -739,6 +762,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "outer_combine": q_outer_combine,
     "city_dedup": q_city_dedup,
     "city_topk": q_city_topk,
+    "city_topk_sql": q_city_topk_sql,
     "city_head": q_city_head,
     "chunk_assign": q_chunk_assign,
     "request_batches": q_request_batches,
@@ -778,6 +802,7 @@ ORACLE_SQL: dict[str, str] = {
     "outer_combine": OUTER_COMBINE_SQL,
     "city_dedup": CITY_DEDUP_SQL,
     "city_topk": CITY_TOPK_SQL,
+    "city_topk_sql": CITY_TOPK_SQL_SQL,
     "city_head": CITY_HEAD_SQL,
     "chunk_assign": CHUNK_ASSIGN_SQL,
     "request_batches": REQUEST_BATCHES_SQL,

@@ -31,6 +31,18 @@ def write_chunks(chunked: DataFrame, path: str, chunk_col: str = "chunk_id") ->
     )
 
 
+def write_raw_chunks(raw: DataFrame, path: str, run_col: str = "run_date", chunk_col: str = "chunk_id") -> None:
+    """Raw responses keyed by run date and chunk; a rerun replaces exactly the
+    (run date, chunk) folders it produces (dynamic partition overwrite)."""
+    (
+        raw.repartition(F.col(run_col), F.col(chunk_col))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(run_col, chunk_col)
+        .parquet(path)
+    )
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,

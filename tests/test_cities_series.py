@@ -140,3 +140,12 @@ def test_pivot_plan_has_no_exchange(spark):
     plan = pivot_keyed_series(raw, LAND_SURFACE_VARS)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert F is not None
+
+
+def test_top_cities_sql_binds_parameters(spark):
+    from airshed.operators.cities import top_cities_sql
+
+    got = [r.city_id for r in top_cities_sql(spark, _cities(spark), "A", 3).collect()]
+    assert got == [3, 4, 1]
+    tricky = [r.city_id for r in top_cities_sql(spark, _cities(spark), "A' OR '1'='1", 3).collect()]
+    assert tricky == []

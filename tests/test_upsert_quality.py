@@ -170,3 +170,18 @@ def test_suite_counts_in_one_pass(spark):
     plan = Q.run_suite(df, Q.AIR_QUALITY_SUITE)._jdf.queryExecution().executedPlan().toString()
     # one aggregate for 7 row checks (partial+final) + one for uniqueness (2 levels)
     assert plan.count("HashAggregate") <= 6
+
+
+def test_write_chunks_and_raw_chunks(spark, tmpdir_path):
+    from airshed.sources.writers import write_chunks, write_raw_chunks
+
+    chunked = spark.createDataFrame([(c, p, c * 10 + p) for c in range(3) for p in range(4)], "chunk_id int, pos int, city_id long")
+    write_chunks(chunked, os.path.join(tmpdir_path, "chunks"))
+    back = spark.read.parquet(os.path.join(tmpdir_path, "chunks", "chunk_id=1"))
+    assert [r.pos for r in back.collect()] == [0, 1, 2, 3]
+    raw = spark.createDataFrame([(D1, 0, 1.0), (D1, 1, 2.0), (D2, 0, 3.0)], "run_date date, chunk_id int, v double")
+    p = os.path.join(tmpdir_path, "raw")
+    write_raw_chunks(raw, p)
+    write_raw_chunks(raw.filter("chunk_id = 0").withColumn("v", F.col("v") * 10), p)  # rerun of chunk 0
+    got = sorted((r.run_date, r.chunk_id, r.v) for r in spark.read.parquet(p).collect())
+    assert got == [(D1, 0, 10.0), (D1, 1, 2.0), (D2, 0, 30.0)]
