@@ -61,6 +61,16 @@ def explode_series(
     )
 
 
+def alignment_violations(
+    left: DataFrame, right: DataFrame, left_var: str, right_var: str, on=("chunk_id", "pos")
+) -> DataFrame:
+    """Responses of the same city whose vectors differ in length between two
+    feeds (positional alignment of their rows would be wrong)."""
+    a = left.select(*on, F.size(F.col(left_var)).alias("left_len"))
+    b = right.select(*on, F.size(F.col(right_var)).alias("right_len"))
+    return a.join(b, list(on), "inner").filter(~F.col("left_len").eqNullSafe(F.col("right_len")))
+
+
 def zip_positional(left: DataFrame, right: DataFrame, on=("chunk_id", "pos")) -> DataFrame:
     """Pair rows by position inside their chunk; stops at the shorter side."""
     return left.join(right, list(on), "inner")

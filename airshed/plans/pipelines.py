@@ -17,8 +17,14 @@ from airshed.functions.clean import null_sentinel, to_spec
 from airshed.functions.period import RunWindow, in_window, run_window
 from airshed.operators.cities import assign_chunks, clean_cities, request_batches, top_cities
 from airshed.operators.daily import AQ_SPEC, daily_aggregate
-from airshed.operators.quality import SUITES, gate, run_suite
-from airshed.operators.series import explode_series, join_discharge, pivot_keyed_series, zip_positional
+from airshed.operators.quality import SUITES, cities_store_suite, gate, run_suite
+from airshed.operators.series import (
+    alignment_violations,
+    explode_series,
+    join_discharge,
+    pivot_keyed_series,
+    zip_positional,
+)
 from airshed.schemas import (
     AIR_QUALITY_VARS,
     CHUNK_SIZE,
@@ -52,6 +58,8 @@ def bootstrap_cities(spark: SparkSession, csv_path: str, clean_csv_path: str, ci
     clean = clean_cities(read_cities_csv(spark, csv_path))
     write_csv(clean, clean_csv_path)
     source = cities_frame(spark.read.schema(clean.schema).option("header", True).csv(clean_csv_path))
+    # Store constraints (NOT NULL, primary key, unique coordinates, lengths) gate the load.
+    gate(run_suite(source, cities_store_suite()))
     return merge_into(
         spark, cities_path, source, ["city_id"], update_cols=["lat", "lng"],
         partition_col=None, created_col=None, target_schema=CITIES_SCHEMA,
@@ -96,9 +104,17 @@ def _with_city(rows: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def climate_daily(
-    raw_climate: DataFrame, raw_discharge: DataFrame, chunks: DataFrame, how: str = "inner"
+    raw_climate: DataFrame, raw_discharge: DataFrame, chunks: DataFrame, how: str = "inner", strict: bool = True
 ) -> DataFrame:
-    """Climate + discharge series -> one row per (date, city_id)."""
+    """Climate + discharge series -> one row per (date, city_id).
+
+    ``strict``: a city whose climate and discharge vectors differ in length is
+    an error (checked on the raw rows, one per city: a bounded-cost job).
+    """
+    if strict:
+        bad = alignment_violations(raw_climate, raw_discharge, CLIMATE_VARS[0], DISCHARGE_VARS[0]).limit(1).collect()
+        if bad:
+            raise ValueError(f"climate and discharge series differ in length, e.g. {bad[0].asDict()}")
     climate = _with_city(explode_series(raw_climate, CLIMATE_VARS), chunks)
     discharge = _with_city(explode_series(raw_discharge, DISCHARGE_VARS), chunks)
     joined = join_discharge(climate, discharge, keys=("city_id", "date"), how=how)

@@ -127,3 +127,23 @@ def test_yearly_backfill(spark, world):
     climate = spark.read.parquet(os.path.join(out, "daily_climate"))
     assert sorted({r.date for r in climate.collect()}) == [dt.date(2024, 12, 30), dt.date(2024, 12, 31), dt.date(2025, 1, 1)]
     assert climate.count() == 12
+
+
+def test_climate_and_discharge_lengths_must_agree(spark, world):
+    root, cities = world
+    chunks = P.select_city_chunks(spark, cities, os.path.join(root, "chunks"), n=100, size=2)
+    raw = _raw_tables(spark, chunks, days=2)
+    short = raw["discharge"].withColumn("river_discharge", F.slice("river_discharge", 1, 1)).withColumn(
+        "end_s", F.col("start_s") + 86400
+    )
+    with pytest.raises(ValueError, match="differ in length"):
+        P.climate_daily(raw["climate"], short, chunks)
+    assert P.climate_daily(raw["climate"], short, chunks, how="left", strict=False).count() == 8
+
+
+def test_city_store_constraints_gate_bootstrap(spark, tmpdir_path):
+    csv = os.path.join(tmpdir_path, "bad.csv")
+    with open(csv, "w") as f:
+        f.write(CSV + "E,E,,5.0,Z,ZZZ,ZZZ,,,1,16\n")  # NULL lat and a 3-letter iso2
+    with pytest.raises(DataQualityError, match="lat|iso2"):
+        P.bootstrap_cities(spark, csv, os.path.join(tmpdir_path, "c1"), os.path.join(tmpdir_path, "cities"))

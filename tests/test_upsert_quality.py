@@ -185,3 +185,17 @@ def test_write_chunks_and_raw_chunks(spark, tmpdir_path):
     write_raw_chunks(raw.filter("chunk_id = 0").withColumn("v", F.col("v") * 10), p)  # rerun of chunk 0
     got = sorted((r.run_date, r.chunk_id, r.v) for r in spark.read.parquet(p).collect())
     assert got == [(D1, 0, 10.0), (D1, 1, 2.0), (D2, 0, 30.0)]
+
+
+def test_between_bounds_inclusive(spark):
+    df = spark.createDataFrame([(0.0,), (100.0,), (-0.001,), (100.001,), (None,)], "cloud_cover_mean double")
+    r = Q.run_suite(df, [Q.between("cloud_cover_mean", 0, 100)]).first()
+    assert (r.evaluated, r.unexpected) == (4, 2)
+
+
+def test_column_set_missing_and_reordered(spark):
+    df = spark.createDataFrame([(1, 2)], "date long, city_id long")
+    r = Q.run_suite(df, [Q.columns_match_set(["city_id", "date"])]).first()
+    assert r.success and r.unexpected == 0
+    r2 = Q.run_suite(df, [Q.columns_match_set(["city_id", "date", "pm10_mean"])]).first()
+    assert not r2.success and r2.unexpected == 1
