@@ -51,15 +51,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def round6(df: DataFrame) -> DataFrame:
-    """Compare hygiene: doubles to 6 places."""
-    return df.select(
-        *[
-            F.round(F.col(f.name), 6).alias(f.name)
-            if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    """Compare hygiene: doubles to 6 places; session-zone timestamps as UTC
+    wall-clock ``timestamp_ntz`` (the session is UTC, see ``table``)."""
+
+    def fix(f):
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            return F.round(F.col(f.name), 6).alias(f.name)
+        if isinstance(f.dataType, T.TimestampType):
+            return F.col(f.name).cast("timestamp_ntz").alias(f.name)
+        return F.col(f.name)
+
+    return df.select(*[fix(f) for f in df.schema.fields])
 
 
 # ---------------------------------------------------------------------------
@@ -748,6 +750,34 @@ FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'
 """
 
 
+def q_aq_daily_validated(spark, sf_dir):
+    """The flagship's daily frame checked by the air-quality pre-load suite."""
+    daily = daily_aggregate(events_as_hourly(table(spark, sf_dir, "events")), AQ_SPEC)
+    return run_suite(daily, Q.AIR_QUALITY_SUITE)
+
+
+def q_quantize_declared(spark, sf_dir):
+    """Measures quantised to their declared (precision, scale), HALF_UP."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax")
+    q = quantize(li, DECLARED)
+    return q.select("l_orderkey", "l_linenumber", *[F.col(c).cast("double").alias(c) for c in DECLARED])
+
+
+DECLARED = {
+    "l_extendedprice": T.DecimalType(12, 2),
+    "l_discount": T.DecimalType(6, 1),
+    "l_tax": T.DecimalType(5, 3),
+}
+
+QUANTIZE_DECLARED_SQL = """
+SELECT l_orderkey, l_linenumber,
+  CAST(CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(12, 2)) AS DOUBLE) AS l_extendedprice,
+  CAST(CAST(CAST(l_discount AS VARCHAR) AS DECIMAL(6, 1)) AS DOUBLE) AS l_discount,
+  CAST(CAST(CAST(l_tax AS VARCHAR) AS DECIMAL(5, 3)) AS DOUBLE) AS l_tax
+FROM lineitem
+"""
+
+
 # ---------------------------------------------------------------------------
 # Registry
 # ---------------------------------------------------------------------------
@@ -788,6 +818,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "not_null_length": q_not_null_length,
     "fk_orphans": q_fk_orphans,
     "batch_pick": q_batch_pick,
+    "aq_daily_validated": q_aq_daily_validated,
+    "quantize_declared": q_quantize_declared,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -828,4 +860,6 @@ ORACLE_SQL: dict[str, str] = {
     "not_null_length": suite_sql("customer", DQ_STORE, CUSTOMER_COLS),
     "fk_orphans": FK_ORPHANS_SQL,
     "batch_pick": BATCH_PICK_SQL,
+    "aq_daily_validated": suite_sql(f"({_aq_daily_sql('city_id')})", Q.AIR_QUALITY_SUITE, Q.AIR_QUALITY_COLUMNS),
+    "quantize_declared": QUANTIZE_DECLARED_SQL,
 }
