@@ -23,6 +23,22 @@ def duckdb_run(sf_dir: str, sql: str):
     return cols, cur.fetchall()
 
 
+SPARK_TO_DUCKDB = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT", "double": "DOUBLE",
+    "float": "FLOAT", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def duckdb_types(sf_dir: str, sql: str) -> dict[str, str]:
+    import duckdb
+
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir.rstrip('/')}/{t}.parquet')")
+    return {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+
+
 def _norm(v):
     if v is None:
         return (0, "")
@@ -66,5 +82,12 @@ def compare(spark, sf_dir: str, name: str, query, sql: str) -> dict:
     elif s_rows != o_rows:
         diff = [(a, b) for a, b in zip(s_rows, o_rows) if a != b][:3]
         res["first_diffs"] = diff
-    res["ok"] = res["columns_match"] and res["values_match"]
+    want = duckdb_types(sf_dir, sql)
+    type_diff = {
+        c: (t, want.get(c)) for c, t in df.dtypes if SPARK_TO_DUCKDB.get(t, t.upper()) != want.get(c)
+    }
+    res["types_match"] = not type_diff
+    if type_diff:
+        res["type_diff"] = type_diff
+    res["ok"] = res["columns_match"] and res["values_match"] and res["types_match"]
     return res
