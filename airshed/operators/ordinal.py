@@ -6,10 +6,12 @@ a hot key over many partitions), sorted inside each partition, and every row
 gets ``offset(partition) + index-in-partition``. The offsets table has one row
 per partition, so broadcasting it has a proven size bound.
 
-The sorted frame is checkpointed to the shared checkpoint folder: the counts
-and the rows must see the very same partition layout, and two separately
-planned range exchanges would sample different bounds. The checkpoint also
-cuts lineage, so a lost executor cannot change any position.
+The id ``partition << 33 | index`` is computed inside the job that writes the
+sorted frame as a Parquet table in the shared checkpoint folder, so it is
+stored, not recomputed: the per-partition counts (read from the one ``_mid``
+column) and the rows see the very same layout, and lineage is cut. A retried
+or recomputed task reproduces its ids, because the range bounds are fixed for
+the shuffle and the order is total.
 
 An input proven to hold at most ``small_rows`` rows (the check reads no more
 than ``small_rows + 1`` rows) takes one ``row_number()`` window instead: a
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airshed.session import checkpoint_dir, shuffle_partitions
+from airshed.session import scratch_path, shuffle_partitions
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | index
 SMALL_ROWS = 1_000_000
@@ -48,11 +50,17 @@ def with_ordinal(
     small_rows = SMALL_ROWS if small_rows is None else small_rows
     if small_rows and df.limit(small_rows + 1).count() <= small_rows:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order_cols)) - 1)
-    n = num_partitions or shuffle_partitions(df.sparkSession)
-    checkpoint_dir(df.sparkSession)
-    layout = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).checkpoint(eager=True)
+    spark = df.sparkSession
+    n = num_partitions or shuffle_partitions(spark)
+    path = scratch_path(spark, "ordinal")
+    (
+        df.repartitionByRange(n, *order_cols)
+        .sortWithinPartitions(*order_cols)
+        .withColumn("_mid", F.monotonically_increasing_id())
+        .write.parquet(path)
+    )
     sorted_df = (
-        layout.withColumn("_mid", F.monotonically_increasing_id())
+        spark.read.parquet(path)
         .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
         .withColumn("_loc", F.col("_mid") - F.shiftleft(F.col("_pid"), _LOCAL_BITS))
     )
