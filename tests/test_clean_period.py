@@ -126,3 +126,15 @@ def test_types_of_decimal_spec():
     s = DAILY_LAND_SURFACE.schema()
     assert s["all_sky_surface_albedo"].dataType == T.DecimalType(6, 4)
     assert DAILY_LAND_SURFACE.schema(scale=2)["all_sky_surface_albedo"].dataType == T.DecimalType(38, 2)
+
+
+def test_quantize_property_random_doubles(spark):
+    import random
+
+    rng = random.Random(11)
+    vals = [round(rng.uniform(-1000, 1000), 3) for _ in range(1500)]
+    vals += [float(np.float32(rng.uniform(-500, 500))) for _ in range(1500)]
+    vals += [round(rng.uniform(0, 1000), 2) * round(rng.uniform(0, 1), 2) for _ in range(1500)]
+    df = spark.createDataFrame([(v,) for v in vals], "pm2_5_mean double")
+    got = [r[0] for r in quantize(df, DAILY_AIR_QUALITY, scale=2).collect()]
+    assert got == [_ref_quant(v) for v in vals]
