@@ -195,3 +195,22 @@ def test_bucketed_rolling_through_checkpointed_ordinal(spark, monkeypatch):
         assert (got[k] is None) == (ref[k] is None)
         if ref[k] is not None:
             assert got[k] == pytest.approx(ref[k], abs=1e-9)
+
+
+def test_hot_key_third_of_rows(spark):
+    """One city holds a third of all hourly rows: it is split into buckets
+    (with halos) while the others take the plain window; both agree with the
+    unsplit window exactly."""
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(0, t0 + dt.timedelta(hours=i), float(i % 97) if i % 13 else None) for i in range(3000)]
+    for k in range(1, 101):
+        rows += [(k, t0 + dt.timedelta(hours=i), float((k * i) % 89)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, t timestamp, v double").repartition(6)
+    split = rolling_mean(df, ["v"], key="k", order="t", outputs=["r"], bucket_rows=256)
+    whole = rolling_mean(df, ["v"], key="k", order="t", outputs=["r"], bucket_rows=None)
+    a = {(r.k, r.t): r.r for r in split.collect()}
+    b = {(r.k, r.t): r.r for r in whole.collect()}
+    assert len(a) == len(rows) and a.keys() == b.keys()
+    assert all((a[x] is None) == (b[x] is None) and (a[x] is None or abs(a[x] - b[x]) < 1e-9) for x in b)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "LeftAnti" in plan  # hot rows split off, cold rows plain
