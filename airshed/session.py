@@ -70,3 +70,14 @@ def ensure_utc(spark: SparkSession) -> None:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def drop_scratch(spark: SparkSession, path: str) -> bool:
+    """Delete a scratch table made by ``scratch_path`` (through the Hadoop
+    FileSystem of that path, so it works for any shared store)."""
+    if "/airshed-" not in path:
+        raise ValueError(f"not a scratch path: {path}")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True))

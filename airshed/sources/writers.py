@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airshed.operators.upsert import assert_unique_keys, last_per_key, upsert
-from airshed.session import scratch_path
+from airshed.session import drop_scratch, scratch_path
 from airshed.sources.readers import try_read_parquet
 
 MAX_PRUNE_VALUES = 100_000  # distinct partition values listed as literals
@@ -124,4 +124,5 @@ def merge_into(
         staged.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).write.mode(
             "overwrite"
         ).parquet(path)
+    drop_scratch(spark, stage)  # the target now holds the merged rows
     return spark.read.parquet(path)

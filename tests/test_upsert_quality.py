@@ -199,3 +199,14 @@ def test_column_set_missing_and_reordered(spark):
     assert r.success and r.unexpected == 0
     r2 = Q.run_suite(df, [Q.columns_match_set(["city_id", "date", "pm10_mean"])]).first()
     assert not r2.success and r2.unexpected == 1
+
+
+def test_merge_into_leaves_no_staging_copy(spark, tmpdir_path):
+    from airshed.session import checkpoint_dir
+
+    before = {d for d in os.listdir(checkpoint_dir(spark)) if d.startswith("airshed-merge-")}
+    src = spark.createDataFrame([(D1, 1, 1.0)], "date date, city_id long, m double")
+    merge_into(spark, os.path.join(tmpdir_path, "t"), src, ["date", "city_id"], now=T0)
+    merge_into(spark, os.path.join(tmpdir_path, "t"), src, ["date", "city_id"], now=T0)
+    after = {d for d in os.listdir(checkpoint_dir(spark)) if d.startswith("airshed-merge-")}
+    assert after == before
