@@ -52,14 +52,27 @@ def cities_frame(clean: DataFrame) -> DataFrame:
     return clean.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CITIES_SCHEMA.fields])
 
 
-def bootstrap_cities(spark: SparkSession, csv_path: str, clean_csv_path: str, cities_path: str) -> DataFrame:
-    """CSV -> dedup/cast/rename -> cleaned CSV -> narrow upsert into cities
-    (an existing city only gets new coordinates; other columns stay)."""
+def bootstrap_cities(
+    spark: SparkSession, csv_path: str, clean_csv_path: str, cities_path: str, mode: str = "upsert"
+) -> DataFrame:
+    """CSV -> dedup/cast/rename -> cleaned CSV -> cities table.
+
+    ``upsert``: narrow upsert (an existing city only gets new coordinates;
+    other columns stay). ``replace``: bulk load of the cleaned CSV (header row
+    skipped) replacing the whole table.
+    """
+    if mode not in ("upsert", "replace"):
+        raise ValueError("mode must be 'upsert' or 'replace'")
     clean = clean_cities(read_cities_csv(spark, csv_path))
     write_csv(clean, clean_csv_path)
     source = cities_frame(spark.read.schema(clean.schema).option("header", True).csv(clean_csv_path))
     # Store constraints (NOT NULL, primary key, unique coordinates, lengths) gate the load.
     gate(run_suite(source, cities_store_suite()))
+    if mode == "replace":
+        source.repartitionByRange(F.col("city_id")).sortWithinPartitions("city_id").write.mode("overwrite").parquet(
+            cities_path
+        )
+        return spark.read.parquet(cities_path)
     return merge_into(
         spark, cities_path, source, ["city_id"], update_cols=["lat", "lng"],
         partition_col=None, created_col=None, target_schema=CITIES_SCHEMA,

@@ -147,3 +147,13 @@ def test_city_store_constraints_gate_bootstrap(spark, tmpdir_path):
         f.write(CSV + "E,E,,5.0,Z,ZZZ,ZZZ,,,1,16\n")  # NULL lat and a 3-letter iso2
     with pytest.raises(DataQualityError, match="lat|iso2"):
         P.bootstrap_cities(spark, csv, os.path.join(tmpdir_path, "c1"), os.path.join(tmpdir_path, "cities"))
+
+
+def test_bootstrap_replace_mode(spark, world, tmpdir_path):
+    root, _ = world
+    csv2 = os.path.join(tmpdir_path, "worldcities3.csv")
+    with open(csv2, "w") as f:
+        f.write(CSV.replace("A,A,1.0,1.0", "Renamed,Renamed,1.5,1.25").replace("D,D,4.0,4.0,Y,YY,YYY,,,,15\n", ""))
+    out = P.bootstrap_cities(spark, csv2, os.path.join(tmpdir_path, "clean3"), os.path.join(root, "cities"), mode="replace")
+    rows = {r.city_id: r for r in out.collect()}
+    assert set(rows) == {11, 12, 14} and rows[11].city == "Renamed"  # whole table replaced
