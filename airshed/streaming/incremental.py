@@ -18,6 +18,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -57,11 +58,16 @@ def start_loader(
 
     def load(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
-        daily = transform(batch)
-        if suite:
-            gate(run_suite(daily, suite))
-        stamp = now() if now else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        merge_into(session, target_path, to_spec(daily, spec), list(spec.keys), now=stamp, target_schema=spec.schema())
+        # Validation, the key check and the merge all read the daily frame:
+        # keep it (far smaller than the raw batch) for the batch's lifetime.
+        daily = transform(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if suite:
+                gate(run_suite(daily, suite))
+            stamp = now() if now else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            merge_into(session, target_path, to_spec(daily, spec), list(spec.keys), now=stamp, target_schema=spec.schema())
+        finally:
+            daily.unpersist()
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
