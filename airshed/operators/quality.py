@@ -265,15 +265,28 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def orphans(fact: DataFrame, dim: DataFrame, key: str = "city_id", dim_key: str | None = None, broadcast_max_rows: int = 1_000_000) -> DataFrame:
+def orphans(
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str = "city_id",
+    dim_key: str | None = None,
+    broadcast_max_rows: int = 1_000_000,
+) -> DataFrame:
     """Fact rows whose key has no row in ``dim`` (foreign-key violations).
 
     NULL keys are not violations (a NULL foreign key is allowed by SQL).
+    A dimension proven small is broadcast: no shuffle of the fact table.
+    Otherwise the fact keys are deduplicated first (a hot key collapses on the
+    map side), the distinct keys are anti-joined with the dimension, and the
+    orphan keys select their fact rows (broadcast when provably few).
     """
     dk = dim_key or key
     keys = dim.select(F.col(dk).alias(key))
-    keys = bounded_broadcast(keys, broadcast_max_rows)
-    return fact.filter(F.col(key).isNotNull()).join(keys, key, "left_anti")
+    facts = fact.filter(F.col(key).isNotNull())
+    if dim.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
+        return facts.join(F.broadcast(keys), key, "left_anti")
+    missing = facts.select(key).distinct().join(keys.distinct(), key, "left_anti")
+    return facts.join(bounded_broadcast(missing, broadcast_max_rows), key, "left_semi")
 
 
 def cities_store_suite() -> list[Expectation]:

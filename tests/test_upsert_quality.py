@@ -210,3 +210,13 @@ def test_merge_into_leaves_no_staging_copy(spark, tmpdir_path):
     merge_into(spark, os.path.join(tmpdir_path, "t"), src, ["date", "city_id"], now=T0)
     after = {d for d in os.listdir(checkpoint_dir(spark)) if d.startswith("airshed-merge-")}
     assert after == before
+
+
+def test_orphans_large_dimension_path(spark):
+    cities = spark.createDataFrame([(k,) for k in range(0, 50)], "city_id long")
+    fact = spark.createDataFrame(
+        [(D1, 0)] * 300 + [(D1, k) for k in range(40, 60)] + [(D1, None)], "date date, city_id long"
+    )
+    small = sorted(r.city_id for r in Q.orphans(fact, cities).collect())
+    large = sorted(r.city_id for r in Q.orphans(fact, cities, broadcast_max_rows=10).collect())
+    assert small == large == list(range(50, 60))
