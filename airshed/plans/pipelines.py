@@ -112,8 +112,10 @@ def city_requests(chunks: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _with_city(rows: DataFrame, chunks: DataFrame) -> DataFrame:
-    return zip_positional(rows, chunks.select("chunk_id", "pos", "city_id")).drop("chunk_id", "pos")
+def _with_city(raw: DataFrame, chunks: DataFrame) -> DataFrame:
+    """City id onto the raw responses (one row per city and run, unique
+    (chunk, pos) keys), before the series are exploded into time steps."""
+    return zip_positional(raw, chunks.select("chunk_id", "pos", "city_id")).drop("chunk_id", "pos")
 
 
 def climate_daily(
@@ -128,14 +130,14 @@ def climate_daily(
         bad = alignment_violations(raw_climate, raw_discharge, CLIMATE_VARS[0], DISCHARGE_VARS[0]).limit(1).collect()
         if bad:
             raise ValueError(f"climate and discharge series differ in length, e.g. {bad[0].asDict()}")
-    climate = _with_city(explode_series(raw_climate, CLIMATE_VARS), chunks)
-    discharge = _with_city(explode_series(raw_discharge, DISCHARGE_VARS), chunks)
+    climate = explode_series(_with_city(raw_climate, chunks), CLIMATE_VARS, keys=("city_id",))
+    discharge = explode_series(_with_city(raw_discharge, chunks), DISCHARGE_VARS, keys=("city_id",))
     joined = join_discharge(climate, discharge, keys=("city_id", "date"), how=how)
     return joined.select(F.to_date("date").alias("date"), "city_id", *CLIMATE_VARS, *DISCHARGE_VARS)
 
 
 def air_quality_hourly(raw_air: DataFrame, chunks: DataFrame) -> DataFrame:
-    return _with_city(explode_series(raw_air, AIR_QUALITY_VARS), chunks)
+    return explode_series(_with_city(raw_air, chunks), AIR_QUALITY_VARS, keys=("city_id",))
 
 
 def air_quality_daily(raw_air: DataFrame, chunks: DataFrame, reset_daily: bool = False, spec=AQ_SPEC) -> DataFrame:
