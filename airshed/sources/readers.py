@@ -15,9 +15,17 @@ from airshed.schemas import WORLD_CITIES_CSV_SCHEMA
 
 
 def read_cities_csv(spark: SparkSession, path: str, schema: T.StructType = WORLD_CITIES_CSV_SCHEMA) -> DataFrame:
-    """City list CSV with a header row; the file order is kept in ``_pos``."""
-    df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
-    return scan_position(df)
+    """City list CSV with a header row; the file order is kept in ``_pos``.
+
+    Columns are matched by header name, not position (no inference pass: read
+    as text, then cast to the declared types; a bad number fails the job).
+    A column missing from the header is an error; extra columns are ignored.
+    """
+    raw = scan_position(spark.read.option("header", True).option("mode", "FAILFAST").csv(path))
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"CSV header lacks columns {missing}")
+    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], "_pos")
 
 
 def read_parquet(spark: SparkSession, *paths: str, schema: T.StructType | None = None) -> DataFrame:

@@ -147,3 +147,24 @@ def test_top_cities_sql_binds_parameters(spark):
     assert got == [3, 4, 1]
     tricky = [r.city_id for r in top_cities_sql(spark, _cities(spark), "A' OR '1'='1", 3).collect()]
     assert tricky == []
+
+
+def test_city_csv_is_read_by_header_name(spark, tmpdir_path):
+    import csv as csvmod
+    import io
+
+    rows = list(csvmod.reader(io.StringIO(CSV)))
+    order = [10, 9, 0, 2, 3, 1, 4, 5, 6, 7, 8]  # id and population first, the rest shuffled
+    p = os.path.join(tmpdir_path, "reordered.csv")
+    with open(p, "w", newline="") as f:
+        csvmod.writer(f).writerows([[r[i] for i in order] for r in rows])
+    a = sorted(map(tuple, clean_cities(read_cities_csv(spark, p)).collect()))
+    p0 = os.path.join(tmpdir_path, "plain.csv")
+    with open(p0, "w") as f:
+        f.write(CSV)
+    assert a == sorted(map(tuple, clean_cities(read_cities_csv(spark, p0)).collect()))
+    bad = os.path.join(tmpdir_path, "bad.csv")
+    with open(bad, "w") as f:
+        f.write("city,lat\nX,1.0\n")
+    with pytest.raises(ValueError, match="lacks columns"):
+        read_cities_csv(spark, bad)
