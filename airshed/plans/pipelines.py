@@ -177,7 +177,8 @@ def load_daily(
     spec: TableSpec = FEEDS[feed]
     frame = daily.filter(in_window("date", window))
     write_partitioned(frame, transformed_path)
-    staged = spark.read.parquet(transformed_path).filter(in_window("date", window))
+    # explicit schema: an empty run (no raw rows) leaves no file to infer one from
+    staged = spark.read.schema(frame.schema).parquet(transformed_path).filter(in_window("date", window))
     failed: list = []
     if validate:
         report = run_suite(staged, SUITES[feed])

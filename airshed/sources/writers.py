@@ -125,4 +125,5 @@ def merge_into(
             "overwrite"
         ).parquet(path)
     drop_scratch(spark, stage)  # the target now holds the merged rows
-    return spark.read.parquet(path)
+    # explicit schema: a new table fed by an empty source has no file to infer one from
+    return spark.read.schema(merged.schema).parquet(path)

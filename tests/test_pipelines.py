@@ -157,3 +157,37 @@ def test_bootstrap_replace_mode(spark, world, tmpdir_path):
     out = P.bootstrap_cities(spark, csv2, os.path.join(tmpdir_path, "clean3"), os.path.join(root, "cities"), mode="replace")
     rows = {r.city_id: r for r in out.collect()}
     assert set(rows) == {11, 12, 14} and rows[11].city == "Renamed"  # whole table replaced
+
+
+def test_cli_cities_daily_backfill(spark, tmpdir_path):
+    from airshed.plans import cli
+    from airshed.sources.writers import write_raw_chunks
+
+    csv = os.path.join(tmpdir_path, "worldcities.csv")
+    with open(csv, "w") as f:
+        f.write(CSV)
+    out = os.path.join(tmpdir_path, "out")
+    chunks_path = os.path.join(out, "city_chunks")
+    res = cli.main(["cities", "--csv", csv, "--clean-csv", os.path.join(out, "clean"), "--cities",
+                    os.path.join(out, "cities"), "--chunks", chunks_path, "--size", "2"], spark=spark)
+    assert res == [{"cities": 4, "chunked": 4}]
+    chunks = spark.read.parquet(chunks_path)
+    raw_dir = os.path.join(tmpdir_path, "raw")
+    for feed, df in _raw_tables(spark, chunks).items():
+        if feed == "land_surface":
+            df = df.join(chunks.select("city_id", "chunk_id"), "city_id")
+        write_raw_chunks(df.withColumn("run_date", F.lit(DAY)), os.path.join(raw_dir, feed))
+    res = cli.main(["daily", "--day", DAY.isoformat(), "--raw", raw_dir, "--chunks", chunks_path, "--out", out], spark=spark)
+    assert sorted(r["feed"] for r in res) == ["air_quality", "climate", "land_surface"]
+    assert spark.read.parquet(os.path.join(out, "daily_air_quality")).count() == 4
+    other = cli.main(["daily", "--day", "2024-03-09", "--raw", raw_dir, "--chunks", chunks_path, "--out",
+                      os.path.join(tmpdir_path, "empty"), "--feeds", "air_quality"], spark=spark)
+    assert other[0]["feed"] == "air_quality"  # a day without raw rows loads nothing, without failing
+    empty = os.path.join(tmpdir_path, "empty", "daily_air_quality")
+    assert not any(f.endswith(".parquet") for _, _, fs in os.walk(empty) for f in fs)
+    back = os.path.join(tmpdir_path, "back")
+    res = cli.main(["backfill", "--start", DAY.isoformat(), "--end", (DAY + dt.timedelta(days=1)).isoformat(),
+                    "--raw", raw_dir, "--chunks", chunks_path, "--out", back, "--feeds", "climate", "discharge"],
+                   spark=spark)
+    assert [r["feed"] for r in res] == ["climate"]
+    assert spark.read.parquet(os.path.join(back, "daily_climate")).count() == 4
