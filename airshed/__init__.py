@@ -22,13 +22,24 @@ from airshed.operators.cities import (
 from airshed.operators.combine import outer_combine, union_chunks
 from airshed.operators.daily import AQ_SPEC, Metric, daily_aggregate, daily_air_quality
 from airshed.operators.ordinal import with_ordinal
-from airshed.operators.quality import gate, orphans, run_suite
+from airshed.operators.quality import (
+    AIR_QUALITY_SUITE,
+    CLIMATE_SUITE,
+    LAND_SURFACE_SUITE,
+    gate,
+    orphans,
+    run_suite,
+)
 from airshed.operators.rolling import rolling_mean
 from airshed.operators.series import explode_series, join_discharge, pivot_keyed_series, zip_positional
 from airshed.operators.upsert import upsert
+from airshed.schemas import DAILY_AIR_QUALITY, DAILY_CLIMATE, DAILY_LAND_SURFACE
 from airshed.session import build_session, checkpoint_dir
+from airshed.sources.writers import merge_into
 
 __all__ = [
+    "AIR_QUALITY_SUITE", "CLIMATE_SUITE", "DAILY_AIR_QUALITY", "DAILY_CLIMATE", "DAILY_LAND_SURFACE",
+    "LAND_SURFACE_SUITE", "merge_into",
     "AQ_SPEC", "Metric", "RunWindow", "assign_chunks", "build_session", "cast_integral", "checkpoint_dir",
     "clean_cities", "daily_aggregate", "daily_air_quality", "dedup_first", "explode_series", "gate",
     "in_window", "join_discharge", "null_nan", "null_sentinel", "orphans", "outer_combine",
