@@ -37,6 +37,14 @@ from airshed.operators.quality import orphans, run_suite
 from airshed.operators.rolling import rolling_mean
 from airshed.operators.series import explode_series, join_discharge, pivot_keyed_series, zip_positional
 from airshed.operators.upsert import upsert
+from airshed.plans.pipelines import air_quality_daily, climate_daily, land_surface_daily
+from airshed.schemas import (
+    AIR_QUALITY_VARS,
+    CLIMATE_VARS,
+    DISCHARGE_VARS,
+    LAND_SURFACE_RENAME,
+    LAND_SURFACE_VARS,
+)
 from airshed.session import ensure_utc
 
 TABLES = (
@@ -778,6 +786,118 @@ FROM lineitem
 """
 
 
+# ---------------------------------------------------------------------------
+# The per-feed pipeline functions on whole tables: embeddings as raw series
+# responses (chunks from assign_chunks), events as keyed land-surface bodies
+# ---------------------------------------------------------------------------
+
+EMB_LEN = 64  # every embedding has 64 values (checked by the strict explode)
+
+
+def _raw_from_embeddings(spark, sf_dir, variables, interval_s):
+    """One raw response per embedding: chunk/pos from the city ids in id order,
+    a label-dependent start, and the vector (or its reverse) per variable."""
+    emb = table(spark, sf_dir, "embeddings")
+    ids = assign_chunks(emb.select(F.col("vec_id").alias("city_id")), ["city_id"], size=50)
+    start = F.lit(SERIES_EPOCH) + F.col("label").cast("long") * 86400
+    raw = emb.join(ids, emb["vec_id"] == ids["city_id"]).select(
+        "chunk_id", "pos", start.alias("start_s"),
+        (start + F.size("embedding").cast("long") * interval_s).alias("end_s"),
+        F.lit(interval_s).alias("interval_s"),
+        *[(F.col("embedding") if i % 2 == 0 else F.reverse("embedding")).alias(v) for i, v in enumerate(variables)],
+    )
+    return raw, ids
+
+
+def _series_value_sql(i: int) -> str:
+    return "embedding[i + 1]" if i % 2 == 0 else f"embedding[{EMB_LEN} - i]"
+
+
+def q_climate_pipeline(spark, sf_dir):
+    raw_climate, ids = _raw_from_embeddings(spark, sf_dir, CLIMATE_VARS, 86400)
+    raw_discharge, _ = _raw_from_embeddings(spark, sf_dir, DISCHARGE_VARS, 86400)
+    return round6(climate_daily(raw_climate, raw_discharge, ids))
+
+
+CLIMATE_PIPELINE_SQL = (
+    f"SELECT CAST(make_timestamp(CAST(({SERIES_EPOCH} + label * 86400 + i * 86400) AS BIGINT) * 1000000) AS DATE)"
+    " AS date, vec_id AS city_id,\n"
+    + ",\n".join(f"  round(CAST({_series_value_sql(k)} AS DOUBLE), 6) AS {v}" for k, v in enumerate(CLIMATE_VARS))
+    + ",\n  round(CAST(embedding[i + 1] AS DOUBLE), 6) AS river_discharge\n"
+    + "FROM embeddings, range(CAST(len(embedding) AS BIGINT)) t(i)"
+)
+
+
+def q_air_quality_pipeline(spark, sf_dir):
+    raw_air, ids = _raw_from_embeddings(spark, sf_dir, AIR_QUALITY_VARS, 3600)
+    return round6(air_quality_daily(raw_air, ids))
+
+
+def _air_quality_pipeline_sql() -> str:
+    cols = ",\n".join(
+        f"    CAST({_series_value_sql(k)} AS DOUBLE) AS {v}" for k, v in enumerate(AIR_QUALITY_VARS)
+    )
+    return f"""
+WITH h AS (
+  SELECT vec_id AS city_id,
+    make_timestamp(CAST(({SERIES_EPOCH} + label * 86400 + i * 3600) AS BIGINT) * 1000000) AS date,
+{cols}
+  FROM embeddings, range(CAST(len(embedding) AS BIGINT)) t(i)),
+r AS (
+  SELECT *,
+    CASE WHEN count(ozone) OVER w = 8 THEN avg(ozone) OVER w END AS o3_8h,
+    CASE WHEN count(carbon_monoxide) OVER w = 8 THEN avg(carbon_monoxide) OVER w END AS co_8h
+  FROM h WINDOW w AS (PARTITION BY city_id ORDER BY date ROWS BETWEEN 7 PRECEDING AND CURRENT ROW))
+SELECT city_id, CAST(date AS DATE) AS date,
+  round(avg(pm2_5), 6) AS pm2_5_mean, round(avg(pm10), 6) AS pm10_mean,
+  round(avg(carbon_dioxide), 6) AS carbon_dioxide_mean, round(max(o3_8h), 6) AS ozone_8h_max,
+  round(max(co_8h), 6) AS carbon_monoxide_8h_max, round(max(nitrogen_dioxide), 6) AS nitrogen_dioxide_1h_max,
+  round(max(sulphur_dioxide), 6) AS sulphur_dioxide_1h_max
+FROM r GROUP BY city_id, CAST(date AS DATE)
+"""
+
+
+# event type -> coded land-surface variable (the other five stay absent -> NULL)
+LAND_CODES = {"click": "PS", "error": "TS", "view": "TQV", "signup": "SLP", "purchase": "GWETROOT"}
+
+
+def q_land_surface_pipeline(spark, sf_dir):
+    """Per user, a keyed JSON body {CODE: {yyyymmdd: daily sum, or -999 on days
+    with 3+ events of that type}} built from events; then the land-surface
+    transform: pivot, descriptive names, -999 -> NULL."""
+    ev = table(spark, sf_dir, "events")
+    code = F.create_map(*[x for k, v in LAND_CODES.items() for x in (F.lit(k), F.lit(v))])[F.col("event_type")]
+    per_day = ev.groupBy(F.col("user_id").alias("city_id"), code.alias("var"), F.date_format("ts", "yyyyMMdd").alias("d")).agg(
+        F.when(F.count(F.lit(1)) >= 3, F.lit(-999.0)).otherwise(F.sum("value")).alias("v")
+    )
+    per_var = per_day.groupBy("city_id", "var").agg(F.map_from_entries(F.collect_list(F.struct("d", "v"))).alias("m"))
+    bodies = per_var.groupBy("city_id").agg(
+        F.to_json(
+            F.struct(F.struct(F.map_from_entries(F.collect_list(F.struct("var", "m"))).alias("parameter")).alias("properties"))
+        ).alias("body")
+    )
+    return round6(land_surface_daily(bodies))
+
+
+def _land_surface_pipeline_sql() -> str:
+    cols = []
+    for coded in LAND_SURFACE_VARS:
+        out = LAND_SURFACE_RENAME[coded]
+        types = [t for t, c in LAND_CODES.items() if c == coded]
+        if types:
+            t = types[0]
+            cols.append(
+                f"  round(CASE WHEN count(*) FILTER (WHERE event_type = '{t}') >= 3 THEN NULL"
+                f" ELSE sum(value) FILTER (WHERE event_type = '{t}') END, 6) AS {out}"
+            )
+        else:
+            cols.append(f"  CAST(NULL AS DOUBLE) AS {out}")
+    return (
+        "SELECT CAST(ts AS DATE) AS date,\n" + ",\n".join(cols)
+        + ",\n  user_id AS city_id\nFROM events GROUP BY user_id, CAST(ts AS DATE)"
+    )
+
+
 # ---------------------------------------------------------------------------
 # Registry
 # ---------------------------------------------------------------------------
@@ -820,6 +940,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_pick": q_batch_pick,
     "aq_daily_validated": q_aq_daily_validated,
     "quantize_declared": q_quantize_declared,
+    "climate_pipeline": q_climate_pipeline,
+    "air_quality_pipeline": q_air_quality_pipeline,
+    "land_surface_pipeline": q_land_surface_pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -862,4 +985,7 @@ ORACLE_SQL: dict[str, str] = {
     "batch_pick": BATCH_PICK_SQL,
     "aq_daily_validated": suite_sql(f"({_aq_daily_sql('city_id')})", Q.AIR_QUALITY_SUITE, Q.AIR_QUALITY_COLUMNS),
     "quantize_declared": QUANTIZE_DECLARED_SQL,
+    "climate_pipeline": CLIMATE_PIPELINE_SQL,
+    "air_quality_pipeline": _air_quality_pipeline_sql(),
+    "land_surface_pipeline": _land_surface_pipeline_sql(),
 }
