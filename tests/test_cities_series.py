@@ -168,3 +168,20 @@ def test_city_csv_is_read_by_header_name(spark, tmpdir_path):
         f.write("city,lat\nX,1.0\n")
     with pytest.raises(ValueError, match="lacks columns"):
         read_cities_csv(spark, bad)
+
+
+def test_outer_combine_paths(spark):
+    from airshed.operators.combine import outer_combine, union_chunks
+
+    a = spark.createDataFrame([(1, 10.0), (2, 20.0)], "k long, a double")
+    b = spark.createDataFrame([(2, "x"), (3, "y")], "k long, b string")
+    c = spark.createDataFrame([(3, True)], "k long, c boolean")
+    fused = sorted(map(tuple, outer_combine([a, b, c], ["k"]).collect()))
+    joined = sorted(map(tuple, outer_combine([a, b, c], ["k"], unique_keys=False).select("k", "a", "b", "c").collect()))
+    assert fused == joined == [(1, 10.0, None, None), (2, 20.0, "x", None), (3, None, "y", True)]
+    dup = spark.createDataFrame([(2, "z")], "k long, b2 string").unionByName(spark.createDataFrame([(2, "w")], "k long, b2 string"))
+    assert outer_combine([a, dup], ["k"], unique_keys=False).filter("k = 2").count() == 2
+    with pytest.raises(ValueError, match="disjoint"):
+        outer_combine([a, a], ["k"])
+    u = union_chunks([a, b])
+    assert u.columns == ["k", "a", "b"] and u.count() == 4
