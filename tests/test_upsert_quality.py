@@ -220,3 +220,27 @@ def test_orphans_large_dimension_path(spark):
     small = sorted(r.city_id for r in Q.orphans(fact, cities).collect())
     large = sorted(r.city_id for r in Q.orphans(fact, cities, broadcast_max_rows=10).collect())
     assert small == large == list(range(50, 60))
+
+
+def test_merge_into_crash_before_commit_then_rerun(spark, tmpdir_path, monkeypatch):
+    from airshed.sources import writers
+
+    path = os.path.join(tmpdir_path, "t")
+    first = spark.createDataFrame([(D1, 1, 1.0), (D2, 2, 2.0)], "date date, city_id long, m double")
+    merge_into(spark, path, first, ["date", "city_id"], now=T0)
+    before = sorted(map(tuple, spark.read.parquet(path).collect()))
+    src = spark.createDataFrame([(D2, 2, 20.0), (D3, 3, 30.0)], "date date, city_id long, m double")
+
+    real = writers.write_partitioned
+
+    def crash(*a, **k):
+        raise RuntimeError("executor lost while writing the table")
+
+    monkeypatch.setattr(writers, "write_partitioned", crash)
+    with pytest.raises(RuntimeError):
+        merge_into(spark, path, src, ["date", "city_id"], now=NOW)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == before  # target untouched
+    monkeypatch.setattr(writers, "write_partitioned", real)
+    merge_into(spark, path, src, ["date", "city_id"], now=NOW)
+    got = sorted((r.date, r.city_id, r.m, r.created_at) for r in spark.read.parquet(path).collect())
+    assert got == [(D1, 1, 1.0, T0), (D2, 2, 20.0, T0), (D3, 3, 30.0, NOW)]
