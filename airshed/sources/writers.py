@@ -116,14 +116,19 @@ def merge_into(
     merged = upsert(target, source, keys, update_cols, now, created_col)
     stage = scratch_path(spark, "merge")
     merged.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    if partition_col:
-        write_partitioned(staged, path, partition_col, cluster_col)
-    else:
-        order = [c for c in keys]
-        staged.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).write.mode(
-            "overwrite"
-        ).parquet(path)
+    try:
+        staged = spark.read.parquet(stage)
+        if partition_col:
+            write_partitioned(staged, path, partition_col, cluster_col)
+        else:
+            order = list(keys)
+            staged.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).write.mode(
+                "overwrite"
+            ).parquet(path)
+    except Exception as e:
+        # Kept: if the commit broke off half-way, this is the one whole copy of the merged rows.
+        e.add_note(f"merged rows kept at {stage}")
+        raise
     drop_scratch(spark, stage)  # the target now holds the merged rows
     # explicit schema: a new table fed by an empty source has no file to infer one from
     return spark.read.schema(merged.schema).parquet(path)

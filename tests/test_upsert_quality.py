@@ -237,9 +237,11 @@ def test_merge_into_crash_before_commit_then_rerun(spark, tmpdir_path, monkeypat
         raise RuntimeError("executor lost while writing the table")
 
     monkeypatch.setattr(writers, "write_partitioned", crash)
-    with pytest.raises(RuntimeError):
+    with pytest.raises(RuntimeError) as err:
         merge_into(spark, path, src, ["date", "city_id"], now=NOW)
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == before  # target untouched
+    kept = err.value.__notes__[0].split(" at ")[1]
+    assert spark.read.parquet(kept).count() == 3  # the merged rows survive for recovery
     monkeypatch.setattr(writers, "write_partitioned", real)
     merge_into(spark, path, src, ["date", "city_id"], now=NOW)
     got = sorted((r.date, r.city_id, r.m, r.created_at) for r in spark.read.parquet(path).collect())
