@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,7 +48,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
         master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not re.match(r"local(\[[^,\]]*\])?$", master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="airshed-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
