@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from airshed.llm import mixing
+from airshed.llm import line_dedup, mixing, quality_rules
 
 QUERIES = {
+    "op4_quality_rules": quality_rules.q_quality_rules,
     "op6_mix_sources": mixing.q_mix,
+    "op8_line_dedup": line_dedup.q_line_dedup,
 }
 
 ORACLE_SQL = {
     "op6_mix_sources": mixing.ORACLE,
+    "op8_line_dedup": line_dedup.ORACLE,
 }

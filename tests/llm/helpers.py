@@ -1,0 +1,69 @@
+"""Shared fixtures of the operator tests: awkward documents and frames."""
+
+from __future__ import annotations
+
+import random
+
+DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def words(text: str | None) -> list[str]:
+    out, cur = [], ""
+    for c in text or "":
+        if c in SPACES:
+            if cur:
+                out.append(cur)
+            cur = ""
+        else:
+            cur += c
+    return out + [cur] if cur else out
+
+
+def prose(rng: random.Random, n: int) -> str:
+    syl = ["the", "an", "er", "on", "re", "st", "ing", "tion", "éa", "ö"]
+    return " ".join("".join(rng.choice(syl) for _ in range(rng.randint(1, 4))) for _ in range(n))
+
+
+def awkward_docs(seed: int = 7) -> list[tuple]:
+    """(doc_id, text, lang, source, n_chars): nulls, empty and long texts, ties,
+    repeated rows, odd spaces, copies and near copies."""
+    rng = random.Random(seed)
+    base = [prose(rng, rng.randint(5, 120)) for _ in range(30)]
+    line = "a line that many documents share, long enough to count as one"
+    rows = [(i, t, "en" if i % 2 else "fr", f"s{i % 4}", len(t)) for i, t in enumerate(base)]
+    rows += [
+        (100, None, "en", "s0", None),
+        (101, "", "en", "s1", 0),
+        (102, " \t\n\x0b\x0c\r ", None, None, 7),
+        (103, "one", "en", None, 3),
+        (104, "two words", None, "s2", 9),
+        (105, "Ünï " * 3000, "de", "s2", 12000),
+        (106, "x" * 20000, "en", "s3", 20000),
+        (107, base[3].upper(), "en", "s3", 1),
+        (108, base[4] + "\n" + line, "en", "s3", 1),
+        (109, base[4] + "\n" + line + "\n" + line, "en", "s3", 1),
+        (109, base[4] + "\n" + line + "\n" + line, "en", "s3", 1),
+        (None, base[5] + "\n " + line.upper() + "\t", "en", "s0", 1),
+        (110, line + "\n\n" + base[6], "en", "s0", 1),
+        (111, line + "\r\n" + base[7], "en", "s0", 1),
+        (112, "\n" + line, "en", "s0", 1),
+        (113, "###$$ | || &&& " * 30, "en", "s0", 1),
+        (114, base[8], "en", "s0", 1),
+        (115, base[8], "en", "s0", 1),
+    ]
+    return rows
+
+
+def with_clashes(df):
+    """The same rows with extra columns named like internal ones."""
+    from pyspark.sql import functions as F
+
+    names = ["size", "kept", "score", "_words", "_d", "_s", "h1", "row_key", "target", "sig", "component_id", "payload", "_key"]
+    return df.select("*", *[F.lit(f"x{i}").alias(n) for i, n in enumerate(names)])
+
+
+def same(got, want) -> None:
+    """Equal as multisets of rows, None included."""
+    key = lambda r: tuple((x is not None, str(x)) for x in r)
+    assert sorted(got, key=key) == sorted(want, key=key)
