@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from airshed.llm import line_dedup, mixing, quality_rules
+from airshed.llm import line_dedup, mixing, near_dedup, quality_rules
 
 QUERIES = {
+    "op3_near_dedup": near_dedup.q_near_dedup,
     "op4_quality_rules": quality_rules.q_quality_rules,
     "op6_mix_sources": mixing.q_mix,
     "op8_line_dedup": line_dedup.q_line_dedup,
 }
 
 ORACLE_SQL = {
+    "op3_near_dedup": near_dedup.ORACLE,
     "op6_mix_sources": mixing.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
 }
