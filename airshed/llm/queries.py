@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from airshed.llm import line_dedup, mixing, near_dedup, quality_rules
+from airshed.llm import line_dedup, mixing, near_dedup, quality_rules, toxicity, warc
 
 QUERIES = {
+    "op5_warc": warc.q_warc,
+    "op7_toxicity": toxicity.q_toxicity,
     "op3_near_dedup": near_dedup.q_near_dedup,
     "op4_quality_rules": quality_rules.q_quality_rules,
     "op6_mix_sources": mixing.q_mix,
@@ -12,6 +14,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op5_warc": warc.ORACLE,
     "op3_near_dedup": near_dedup.ORACLE,
     "op6_mix_sources": mixing.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
