@@ -14,11 +14,12 @@ their sets have a Jaccard similarity of at least 0.85, confirmed on full sets.
    Neighbours of FIRST_TREES trees are confirmed and joined to components.
 4. Then what is left at the least depth: in every region of any tree that
    still holds more than one component, the rows of different components are
-   compared (in blocks of at most BLOCK rows where a region is large; no row
-   or partner is left out). A region that the neighbours settled, like a
-   group of many near copies, costs nothing here.
+   compared, likeliest first, until they are one component or no pair is left
+   (in blocks of about BLOCK rows where a region is large; no row or partner
+   is left out). A region that the neighbours settled costs nothing here. Only
+   links leave a block, at most one per component, never the pairs tried.
    Size ratio and a 2-bit sketch of the signature (5 standard deviations of
-   margin) sort out pairs before the sets are fetched.
+   margin) sort out pairs before sets are compared.
 5. Components of all confirmed links give the class of every document.
 
 A linked pair shares MIN_DEPTH minhashes in some tree with probability at
@@ -48,8 +49,8 @@ from airshed.session import shuffle_partitions
 SHINGLE = 3
 PERCENT = 85
 TREES, DEPTH, MIN_DEPTH = 12, 8, 3
-FIRST_TREES = 4
-BLOCK = 4096
+FIRST_TREES = 6
+BLOCK = 1024
 
 _PREFIX = 1 + 4 * MIN_DEPTH  # bytes of a region's key: tree, then values
 _MINHASHES = TREES * DEPTH
@@ -189,59 +190,101 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit(tail, np.ones(1, bool), np.zeros(0, bool))
 
 
-def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within a region block, rows sorted by block."""
-
-    def pairs(rows):
-        node, comp, n, side = (np.array([r[k] for r in rows]) for k in (1, 2, 3, 4))
-        sketch = np.frombuffer(b"".join(r[5] for r in rows), np.uint64).reshape(len(rows), -1)
-        two = side.any() and not side.all()
-        a, b = [], []
-        for i in range(len(rows) - 1):
-            ok = (comp[i + 1 :] != comp[i]) & _near(n[i + 1 :], n[i])
-            if two:
-                ok &= side[i + 1 :] != side[i]
-            j = np.flatnonzero(ok) + i + 1
-            if len(j):
-                j = j[_equal(sketch[j], sketch[i]) >= MIN_EQUAL]
-                a.append(np.full(len(j), node[i]))
-                b.append(node[j])
-        a = np.concatenate(a) if a else np.zeros(0, np.int64)
-        b = np.concatenate(b) if b else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two sets, given as sorted arrays."""
+    both = np.concatenate([x, y])
+    both.sort()
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    common = _common(x, y)
+    return 100 * common >= PERCENT * (len(x) + len(y) - common)
+
+
+def _settle_block(rows: list[tuple]) -> list[tuple[int, int]]:
+    """Links that join different components of a block, likeliest pairs first.
+    A pair that shares a region in an earlier tree is settled there."""
+    _, tree, node, comp, n, side, sketch, shingles, prefixes = zip(*rows, strict=True)
+    node, n, side = np.array(node), np.array(n), np.array(side)
+    sketch = np.frombuffer(b"".join(sketch), np.uint64).reshape(len(rows), -1)
+    prefixes = np.frombuffer(b"".join(prefixes), f"V{4 * MIN_DEPTH}").reshape(len(rows), TREES)[:, : tree[0]]
+    ids = {c: i for i, c in enumerate(dict.fromkeys(comp))}
+    comp = np.array([ids[c] for c in comp])
+    two = side.any() and not side.all()
+    found = []
+    for i in range(len(rows) - 1):
+        ok = (comp[i + 1 :] != comp[i]) & _near(n[i + 1 :], n[i])
+        if two:
+            ok &= side[i + 1 :] != side[i]
+        j = np.flatnonzero(ok) + i + 1
+        if len(j):
+            equal = _equal(sketch[j], sketch[i])
+            j, equal = j[equal >= MIN_EQUAL], equal[equal >= MIN_EQUAL]
+        if len(j) and tree[0]:
+            new = ~(prefixes[j] == prefixes[i]).any(axis=1)
+            j, equal = j[new], equal[new]
+        if len(j):
+            found.append(np.stack([np.full(len(j), i), j, equal], axis=1))
+    if not found:
+        return []
+    found = np.concatenate(found)
+    sets = [np.frombuffer(x, np.uint64) for x in shingles]
+    root = list(range(len(ids)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    links = []
+    for i, j, _ in found[np.argsort(-found[:, 2], kind="stable")].tolist():
+        x, y = find(comp[i]), find(comp[j])
+        if x != y and _linked(sets[i], sets[j]):
+            root[x] = y
+            links.append((int(node[i]), int(node[j])))
+    return links
+
+
+_BLOCK_COLS = ("block", "tree", "node", "comp", "n", "side", "sketch", "shingles", "prefixes")
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_settle_block`` for every block of a partition sorted by block."""
+
+    def out(links):
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     held: list[tuple] = []
     for batch in batches:
-        for r in zip(*(column(batch, c).to_pylist() for c in ("block", "node", "comp", "n", "side", "sketch")), strict=True):
+        for r in zip(*(column(batch, c).to_pylist() for c in _BLOCK_COLS), strict=True):
             if held and held[0][0] != r[0]:
                 if len(held) > 1:
-                    yield pairs(held)
+                    yield out(_settle_block(held))
                 held = []
             held.append(r)
     if len(held) > 1:
-        yield pairs(held)
+        yield out(_settle_block(held))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher = WordHasher()
+    """Full sets, and the least-depth prefix of every tree."""
+    hasher, minhash = WordHasher(), MinHasher()
     for b in batches:
-        out = []
+        out, prefixes = [], []
         for _, texts in chunked(text_bytes(b)):
             h, cut = shingle_hashes(*hasher(texts))
+            heads = minhash(h, cut).reshape(len(texts), TREES, DEPTH)[:, :, :MIN_DEPTH]
             out += [np.unique(h[cut[i] : cut[i + 1]]).tobytes() for i in range(len(texts))]
-        yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(out, pa.binary())], names=["node", "shingles"])
+            prefixes += [x.tobytes() for x in heads]
+        cols = [column(b, "doc_id"), pa.array(out, pa.binary()), pa.array(prefixes, pa.binary())]
+        yield pa.RecordBatch.from_arrays(cols, names=["node", "shingles", "prefixes"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        keep = []
-        for x, y in zip(column(b, "set_a").to_pylist(), column(b, "set_b").to_pylist(), strict=True):
-            u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.concatenate([u, v])
-            both.sort()
-            common = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * common >= PERCENT * (len(both) - common))
-        keep = pa.array(keep, pa.bool_())
+        both = zip(column(b, "set_a").to_pylist(), column(b, "set_b").to_pylist(), strict=True)
+        keep = pa.array([_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in both], pa.bool_())
         yield pa.RecordBatch.from_arrays([column(b, c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
 
@@ -281,7 +324,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # sets of all documents that share a region with another one
     crowded = members.groupBy("region").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("region")
     nodes = members.join(crowded, "region", "left_semi").select(F.col("node").alias("doc_id")).distinct()
-    sets = materialize(rows.join(materialize(nodes, "dd-nodes"), "doc_id", "left_semi").mapInArrow(_sets, "node long, shingles binary"), "dd-sets")
+    sets = materialize(rows.join(materialize(nodes, "dd-nodes"), "doc_id", "left_semi").mapInArrow(_sets, "node long, shingles binary, prefixes binary"), "dd-sets")
 
     first_pairs = events.where("kind = 'pair'").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first_pairs = materialize(first_pairs, "dd-pairs")
@@ -298,16 +341,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         lambda j: F.struct(F.least(j, mine).alias("i"), F.greatest(j, mine).alias("j"), (j < mine).alias("side")),
     )
     dealt = placed.join(mixed, "region").select("region", "node", "n", "sketch", "comp", F.explode(blocks).alias("_b"))
-    dealt = dealt.select(
-        F.concat("region", F.lit("/").cast("binary"), F.concat_ws("/", "_b.i", "_b.j").cast("binary")).alias("block"),
-        "node", "comp", "n", "_b.side", "sketch",
-    )
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8192")
-    cross = dealt.repartition("block").sortWithinPartitions("block", "node").mapInArrow(_cross_pairs, "a long, b long")
-    more_pairs = materialize(cross.distinct().join(first_pairs, ["a", "b"], "left_anti"), "dd-pairs")
-    small_batches(spark)
-    more_links = materialize(confirmed(more_pairs, sets), "dd-links")
-    for t in (sets, events, placed, mixed, more_pairs, first_pairs):
+    block = F.concat("region", F.concat_ws("/", F.lit(""), "_b.i", "_b.j").cast("binary"))
+    tree = F.conv(F.hex(F.substring("region", 1, 1)), 16, 10).cast("int")
+    dealt = dealt.select(block.alias("block"), tree.alias("tree"), "node", "comp", "n", "_b.side", "sketch").join(sets, "node")
+    by_block = dealt.select(*_BLOCK_COLS).repartition("block").sortWithinPartitions("block", "node")
+    more_links = materialize(by_block.mapInArrow(_settle, "a long, b long"), "dd-links")
+    for t in (sets, events, placed, mixed, first_pairs):
         release(t)
 
     final = materialize(components(first_links.union(more_links)), "dd-final")
