@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from airshed.llm import line_dedup, mixing, near_dedup, quality_rules, toxicity, warc
+from airshed.llm import language_id, line_dedup, mixing, near_dedup, pii, quality_rules, toxicity, warc
 
 QUERIES = {
+    "op2_pii": pii.q_pii,
+    "op9_language_id": language_id.q_language_id,
     "op5_warc": warc.q_warc,
     "op7_toxicity": toxicity.q_toxicity,
     "op3_near_dedup": near_dedup.q_near_dedup,
