@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airshed.llm.common import WORD_RE, materialize
+from airshed.llm.common import WORD_RE, materialize, table
 
 #: Weights by source order, budget and cap as shares of the sizes.
 WEIGHTS = (3, 1, 2)
@@ -70,8 +70,9 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Data
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS
 ) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, before
-    (words of its source shuffled ahead of it), virtual_finish, taken."""
+    """One row per document: doc_id, row_key (hash of the text), source, size,
+    source_size, target, before (words of its source shuffled ahead of it),
+    virtual_finish, taken."""
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
     sized = materialize(
         docs.select(
@@ -79,6 +80,7 @@ def mix(
             F.col(source_col).alias("source"),
             F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD_RE)).cast("long").alias("size"),
             key.alias("_key"),
+            F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("row_key"),
         ),
         "mix-sizes",
     ).withColumns({"_hi": F.substring("_key", 1, 2), "_lo": F.substring("_key", 3, 2)})
@@ -99,7 +101,7 @@ def mix(
     in_cell = Window.partitionBy("source", "_hi", "_lo").orderBy("_key", "doc_id", "size").rowsBetween(running, -1)
     rows = sized.withColumn("_in_cell", F.coalesce(F.sum("size").over(in_cell), zero))
     rows = rows.join(offsets, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_hi") == F.col("_h")) & (F.col("_lo") == F.col("_l")))
-    rows = rows.select("doc_id", "source", "size", (F.col("_off") + F.col("_in_cell")).alias("before"))
+    rows = rows.select("doc_id", "row_key", "source", "size", (F.col("_off") + F.col("_in_cell")).alias("before"))
     targets = source_targets(sized, weights).withColumnRenamed("source", "_s")
     rows = rows.join(targets, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     return rows.withColumns(
@@ -120,19 +122,17 @@ def schedule(mixed: DataFrame) -> DataFrame:
     """The mix in order: a row per document and pass that gives words, sorted
     globally by virtual finish time and cut at the budget (virtual time 1)."""
     per_pass = F.array(*[F.struct(F.lit(e).alias("epoch"), _taken(e).alias("words")) for e in range(EPOCHS)])
-    rows = mixed.select("doc_id", "source", "size", "before", "source_size", "target", F.explode(per_pass).alias("_p"))
+    rows = mixed.select("doc_id", "row_key", "source", "size", "before", "source_size", "target", F.explode(per_pass).alias("_p"))
     finish = (F.col("before") + F.col("_p.epoch") * F.col("source_size") + F.col("size")) / F.col("target")
     return (
         rows.where("_p.words > 0")
-        .select("doc_id", "source", "_p.epoch", "_p.words", "size", finish.alias("virtual_finish"))
+        .select("doc_id", "row_key", "source", "_p.epoch", "_p.words", "size", finish.alias("virtual_finish"))
         .orderBy("virtual_finish", "source", "epoch", "doc_id")
     )
 
 
 def q_mix(spark, sf_dir: str) -> DataFrame:
     """op6: what the mix takes of every document, sorted by virtual finish time."""
-    from airshed.llm.common import table
-
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "virtual_finish").orderBy("virtual_finish", "doc_id")
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from airshed.llm import decontaminate, language_id, line_dedup, mixing, near_dedup, pii, quality_rules, toxicity, warc
+from airshed.llm import decontaminate, language_id, line_dedup, mixing, near_dedup, pii, quality_rules, token_ids, toxicity, warc
 
 QUERIES = {
+    "op10_token_ids": token_ids.q_token_ids,
     "op1_decontaminate": decontaminate.q_decontaminate,
     "op2_pii": pii.q_pii,
     "op9_language_id": language_id.q_language_id,
