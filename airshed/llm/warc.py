@@ -5,10 +5,12 @@
    others are revisits of it. Only digests and ids move for that.
 2. Shards: the records in page-id order, cut by their exact running size, so
    the files do not depend on how the input or the shuffle is partitioned.
-3. A task sorts a shard's records by id and writes them as gzip members; a
-   file is closed once it has ``roll_bytes`` compressed bytes. Record ids,
-   lengths and digests are made anew from the payload; nothing depends on the
-   clock or the machine, so a rerun writes the same bytes.
+3. Records are made and compressed where the pages are read (each is a gzip
+   member of its own), so only compressed bytes are joined and sorted. A task
+   sorts a shard's records by id and appends them; a file is closed once it
+   has ``roll_bytes`` compressed bytes. Record ids, lengths and digests are
+   made anew from the payload; nothing depends on the clock or the machine, so
+   a rerun writes the same bytes.
 4. Every file is first written under a name of its own task attempt. The
    manifest (a Parquet table, committed by Spark, one row per file) names the
    attempts that count; a second job renames those, and may be repeated. Files
@@ -116,8 +118,8 @@ class _File:
         self.sha.update(data)
         self.size += len(data)
 
-    def add(self, page_id: int | None, record: bytes) -> None:
-        self._write(_member(record))
+    def add(self, page_id: int | None, member: bytes) -> None:
+        self._write(member)
         self.first = page_id if self.records == 0 else self.first
         self.last = page_id
         self.records += 1
@@ -127,22 +129,32 @@ class _File:
         return self.shard, self.part, self.name, self.attempt, self.records, self.size, self.sha.hexdigest(), self.first, self.last
 
 
+def _responses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every page as a compressed response record."""
+    for b in batches:
+        digests, members = [], []
+        for page_id, url, html in zip(*(column(b, c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
+            payload = (html or "").encode()
+            digests.append(hashlib.sha1(payload).hexdigest())
+            members.append(_member(page_record(page_id, url, payload, digests[-1], len(payload), False, None)))
+        cols = [column(b, "page_id"), column(b, "url"), pa.array(digests, pa.string()), pa.array(members, pa.binary())]
+        yield pa.RecordBatch.from_arrays(cols, names=["page_id", "url", "digest", "member"])
+
+
 def _writer(dest: str, roll_bytes: int):
-    names = ("shard", "page_id", "url", "html", "digest", "n_bytes", "is_revisit", "refers_to")
+    names = ("shard", "page_id", "url", "member", "digest", "n_bytes", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(dest)
         file = None
         for b in batches:
-            for shard, page_id, url, html, digest, n_bytes, is_revisit, refers_to in zip(
-                *(column(b, c).to_pylist() for c in names), strict=True
-            ):
+            for shard, page_id, url, member, digest, n_bytes, refers_to in zip(*(column(b, c).to_pylist() for c in names), strict=True):
                 if file is not None and (file.shard != shard or file.size >= roll_bytes):
                     part = file.part + 1 if file.shard == shard else 0
                     yield _batch([file.close()], _MANIFEST)
                     file = _File(fs, root, shard, part)
                 file = file or _File(fs, root, shard, 0)
-                file.add(page_id, page_record(page_id, url, (html or "").encode(), digest, n_bytes, is_revisit, refers_to))
+                file.add(page_id, member or _member(page_record(page_id, url, b"", digest, n_bytes, True, refers_to)))
         if file is not None:
             yield _batch([file.close()], _MANIFEST)
 
@@ -191,11 +203,12 @@ def write_archives(pages: DataFrame, dest: str, shard_bytes: int = SHARD_BYTES,
     small_batches(spark)
     plan = materialize(plan_records(pages, shard_bytes), "warc-plan")
     shards = (plan.agg(F.max("shard")).first()[0] or 0) + 1
-    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    named = pages.select(F.col("page_id").cast("long"), "url", "html", F.sha1(payload).alias("digest"))
+    plain = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").alias("url"), F.col("html").alias("html"))
+    made = plain.mapInArrow(_responses, "page_id long, url string, digest string, member binary")
     right = plan.select(F.col("page_id").alias("_p"), F.col("digest").alias("_d"), "n_bytes", "shard", "is_revisit", "refers_to")
-    rows = named.join(right, F.col("page_id").eqNullSafe(F.col("_p")) & (F.col("digest") == F.col("_d")))
-    rows = rows.select("shard", "page_id", "url", F.when(~F.col("is_revisit"), F.col("html")).alias("html"), "digest", "n_bytes", "is_revisit", "refers_to")
+    rows = made.join(right, F.col("page_id").eqNullSafe(F.col("_p")) & (F.col("digest") == F.col("_d")))
+    member = F.when(~F.col("is_revisit"), F.col("member"))
+    rows = rows.select("shard", "page_id", "url", member.alias("member"), "digest", "n_bytes", "refers_to")
     tasks = min(shards, MAX_TASKS)
     by_shard = rows.repartitionById(tasks, F.pmod("shard", F.lit(tasks)).cast("int")).sortWithinPartitions("shard", "page_id", "digest", "url")
     fs, root = pafs.FileSystem.from_uri(dest)
