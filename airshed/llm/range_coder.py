@@ -10,12 +10,12 @@ predictions comes true is coded with adaptive probabilities, one set per pair
 of confidences, so the mix follows how well each order does. An id that neither
 predicts is coded by the order-0 distribution.
 
-The coder keeps 64 bits of low and range and moves 16 bits at a time; where a
-carry could still come, the range is cut short instead.
+The coder keeps 64 bits of low and range and moves a 32-bit word whenever the
+range is below 2**32; where a carry could still come, the range is cut instead.
 
 Layout (little-endian): magic, ids in the segment, blocks, symbols of the
-order-0 table and its zlib bytes; per block its crc32 and its 16-bit words;
-then all words. Ids must be below 2**16.
+order-0 table and its zlib bytes; the blocks' crc32s, their numbers of 32-bit
+words, all words. Ids must be below 2**16.
 """
 
 from __future__ import annotations
@@ -31,10 +31,11 @@ LANES = 1024
 TABLE_BITS = 12
 _TOTAL_BITS = 16
 _TOTAL = 1 << _TOTAL_BITS
-_LEAST = 32  # of _TOTAL, for every coded choice
+_LEAST = 64  # of _TOTAL, for a prediction to come true or not
 _RATE = 4
 _U = np.uint64
-_TOP, _BOTTOM = _U(48), _U((1 << 32) - 1)
+_WORD = _U(32)
+_LOW = _U((1 << 32) - 1)
 
 
 def order0_table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -52,130 +53,117 @@ class _Lanes:
 
     def __init__(self, n: int):
         self.base = np.arange(n, dtype=np.int64) << TABLE_BITS
-        self.ids = [np.zeros(n << TABLE_BITS, np.uint16) for _ in range(2)]
-        self.trust = [np.zeros(n << TABLE_BITS, np.uint8) for _ in range(2)]
+        self.two, self.one = (np.zeros(n << TABLE_BITS, np.uint32) for _ in range(2))  # id << 2 | confidence
         self.mix = np.arange(n, dtype=np.int64) << 5
-        self.chance = [np.full(n << 5, _TOTAL // 2, np.int64) for _ in range(2)]  # of order 2, of order 1
-        self.last = np.zeros(n, np.uint32)
-        self.before = np.zeros(n, np.uint32)
-
-    def predict(self, k: int):
-        """For the first k lanes: the two predictions and their frequencies."""
-        one = self.last[:k] * np.uint32(0x9E3779B1)
-        two = (one ^ self.before[:k]) * np.uint32(0x85EBCA77)
-        self.at = [self.base[:k] + (h >> np.uint32(32 - TABLE_BITS)) for h in (two, one)]
-        p2, p1 = (t[a] for t, a in zip(self.ids, self.at))
-        c2, c1 = (t[a] for t, a in zip(self.trust, self.at))
-        same = (p1 == p2) & (c2 > 0)
-        self.seen = p2, p1, c2, c1, same
-        self.cell = self.mix[:k] + (c2.astype(np.int64) << 3 | c1 << 1 | same)
-        f2 = np.clip(self.chance[0][self.cell], _LEAST, _TOTAL - 2 * _LEAST) * (c2 > 0)
-        rest = _TOTAL - f2
-        f1 = np.clip(rest * self.chance[1][self.cell] >> _TOTAL_BITS, _LEAST, np.maximum(rest - _LEAST, _LEAST)) * ((c1 > 0) & ~same)
-        return p2, p1, f2, f1
-
-    def update(self, k: int, ids: np.ndarray, kind: np.ndarray) -> None:
-        """kind: 0 order 2 was right, 1 order 1 was, 2 neither."""
-        p2, p1, c2, c1, same = self.seen
-        for table, by, asked in ((self.chance[0], 0, c2 > 0), (self.chance[1], 1, (c1 > 0) & ~same & (kind > 0))):
-            cell = self.cell[asked]
-            old = table[cell]
-            table[cell] = old + ((((kind[asked] == by) * _TOTAL) - old) >> _RATE)
-        for ids_of, trust_of, at, p, c in zip(self.ids, self.trust, self.at, (p2, p1), (c2, c1)):
-            hit = (p == ids) & (c > 0)
-            keep = hit | (c > 1)
-            trust_of[at] = np.where(hit, np.minimum(c + 1, 3), np.where(c > 1, c - 1, 1))
-            ids_of[at] = np.where(keep, p, ids)
+        self.chance2, self.chance1 = (np.full(n << 5, _TOTAL // 2, np.int32) for _ in range(2))
+        self.last, self.before = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
+
+    def predict(self, k: int) -> None:
+        """Predictions (p2, p1) of the first k lanes, whether they are asked
+        for (has2, ask1), and their frequencies (f2, f1)."""
+        h1 = self.last[:k] * np.uint32(0x9E3779B1)
+        h2 = (h1 ^ self.before[:k]) * np.uint32(0x85EBCA77)
+        self.at2 = self.base[:k] + (h2 >> np.uint32(32 - TABLE_BITS))
+        self.at1 = self.base[:k] + (h1 >> np.uint32(32 - TABLE_BITS))
+        self.e2, self.e1 = self.two.take(self.at2), self.one.take(self.at1)
+        self.c2, self.c1 = self.e2 & np.uint32(3), self.e1 & np.uint32(3)
+        self.p2, self.p1 = self.e2 >> np.uint32(2), self.e1 >> np.uint32(2)
+        self.has2 = self.c2 > 0
+        self.ask1 = (self.c1 > 0) & ~(self.has2 & (self.p1 == self.p2))
+        self.cell = self.mix[:k] + (self.c2 << np.uint32(3) | self.c1 << np.uint32(1) | self.ask1)
+        self.h2, self.h1 = self.chance2.take(self.cell), self.chance1.take(self.cell)
+        self.f2 = self.h2 * self.has2
+        self.f1 = np.maximum((_TOTAL - self.f2).astype(np.int64) * self.h1 >> _TOTAL_BITS, 1).astype(np.int32) * self.ask1
+
+    def update(self, k: int, ids: np.ndarray, is2: np.ndarray) -> None:
+        """Learn the ids; is2: order 2 was asked for and right."""
+        step = np.where(is2, _TOTAL - _LEAST, _LEAST) - self.h2 >> _RATE
+        self.chance2[self.cell] = self.h2 + step * self.has2
+        hit1 = self.p1 == ids
+        step = np.where(hit1, _TOTAL - _LEAST, _LEAST) - self.h1 >> _RATE
+        self.chance1[self.cell] = self.h1 + step * (self.ask1 & ~is2)
+        fresh = ids << np.uint32(2) | np.uint32(1)
+        miss = np.where(self.c2 > 1, self.e2 - np.uint32(1), fresh)
+        self.two[self.at2] = np.where(is2, self.e2 + (self.c2 < 3), miss)
+        miss = np.where(self.c1 > 1, self.e1 - np.uint32(1), fresh)
+        self.one[self.at1] = np.where(hit1 & (self.c1 > 0), self.e1 + (self.c1 < 3), miss)
         self.before[:k] = self.last[:k]
         self.last[:k] = ids
 
 
-def _settled(low: np.ndarray, span: np.ndarray) -> np.ndarray:
-    """Lanes that can move 16 bits; cuts the range where a carry is open."""
-    ready = (low ^ (low + span)) >> _TOP == 0
-    short = ~ready & (span <= _BOTTOM)
-    if short.any():
-        span[short] = (~low[short] + _U(1)) & _BOTTOM
-        ready |= short
-    return ready
+def _due(low: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """Lanes that must move a word now. Where a carry is still open the range
+    is cut at the next multiple of 2**32; it is never empty after that."""
+    j = np.flatnonzero(span <= _LOW)
+    lo, r = low[j], span[j]
+    open_carry = (lo ^ (lo + r)) > _LOW
+    span[j] = np.where(open_carry, (~lo + _U(1)) & _LOW, r) << _WORD
+    return j
 
 
 def _encode_lanes(blocks: np.ndarray, lengths: np.ndarray, freq: np.ndarray, start: np.ndarray) -> list[np.ndarray]:
     n, steps = blocks.shape
-    lanes = _Lanes(n)
+    m = _Lanes(n)
     low, span = np.zeros(n, _U), np.full(n, (1 << 64) - 1, _U)
-    out, pos = np.zeros((n, 3 * steps + 16), np.uint16), np.zeros(n, np.int64)
-    columns = np.ascontiguousarray(blocks.T)
+    out, pos = np.zeros((n, 2 * steps + 8), np.uint32), np.zeros(n, np.int64)
+    columns = np.ascontiguousarray(blocks.T).astype(np.uint32)
+    active = np.searchsorted(-lengths, -np.arange(steps), side="left")  # lanes with an id left, longest first
     for t in range(steps):
-        k = int(np.searchsorted(-lengths, -t, side="left"))  # lanes with an id left, longest first
+        k = int(active[t])
         ids = columns[t, :k]
-        p2, p1, f2, f1 = lanes.predict(k)
-        kind = np.where((ids == p2) & (f2 > 0), 0, np.where((ids == p1) & (f1 > 0), 1, 2))
+        m.predict(k)
+        is2 = m.has2 & (ids == m.p2)
+        is1 = m.ask1 & (ids == m.p1)
+        other = ~(is2 | is1)
         lo, r = low[:k], span[:k]
         unit = r >> _U(_TOTAL_BITS)
-        other = kind == 2
-        begin = np.where(kind == 0, 0, np.where(kind == 1, f2, f2 + f1))
-        size = np.where(kind == 0, f2, np.where(kind == 1, f1, _TOTAL - f2 - f1))
-        lo += unit * begin.astype(_U)
-        r = unit * size.astype(_U)
-        unit = np.where(other, r >> _U(_TOTAL_BITS), _U(1))
-        lo += np.where(other, unit * start[ids], _U(0))
-        r = np.where(other, unit * freq[ids], r)
-        lanes.update(k, ids, kind)
-        while True:
-            ready = _settled(lo, r)
-            j = np.flatnonzero(ready)
-            if not len(j):
-                break
-            out[j, pos[j]] = lo[j] >> _TOP
-            pos[j] += 1
-            lo[j] <<= _U(16)
-            r[j] <<= _U(16)
-        span[:k] = r
-    for shift in (48, 32, 16, 0):
-        out[np.arange(n), pos] = (low >> _U(shift)) & _U(0xFFFF)
+        both = m.f2 + m.f1
+        lo += unit * np.where(is2, 0, np.where(is1, m.f2, both)).astype(_U)
+        r[:] = unit * np.where(is2, m.f2, np.where(is1, m.f1, _TOTAL - both)).astype(_U)
+        unit = r >> _U(_TOTAL_BITS)
+        lo += unit * start.take(ids) * other
+        np.copyto(r, unit * freq.take(ids), where=other)
+        m.update(k, ids, is2)
+        j = _due(lo, r)
+        out[j, pos[j]] = lo[j] >> _WORD
+        pos[j] += 1
+        lo[j] <<= _WORD
+    for shift in (_WORD, _U(0)):
+        out[np.arange(n), pos] = (low >> shift) & _LOW
         pos += 1
     return [out[i, : pos[i]] for i in range(n)]
 
 
 def _decode_lanes(words: np.ndarray, first: np.ndarray, lengths: np.ndarray, symbols, freq, start, find) -> np.ndarray:
     n, steps = len(lengths), int(lengths.max(initial=0))
-    lanes = _Lanes(n)
+    m = _Lanes(n)
     low, span = np.zeros(n, _U), np.full(n, (1 << 64) - 1, _U)
-    pos = first.copy()
-    code = np.zeros(n, _U)
-    for _ in range(4):
-        code = code << _U(16) | words[pos]
-        pos += 1
+    code = words[first] << _WORD | words[first + 1]
+    pos = first + 2
     out = np.zeros((steps, n), np.uint16)
+    active = np.searchsorted(-lengths, -np.arange(steps), side="left")
     for t in range(steps):
-        k = int(np.searchsorted(-lengths, -t, side="left"))
-        p2, p1, f2, f1 = lanes.predict(k)
+        k = int(active[t])
+        m.predict(k)
         lo, r, c = low[:k], span[:k], code[:k]
         unit = r >> _U(_TOTAL_BITS)
-        at = np.minimum((c - lo) // unit, _U(_TOTAL - 1)).astype(np.int64)
-        kind = np.where(at < f2, 0, np.where(at < f2 + f1, 1, 2))
-        other = kind == 2
-        begin = np.where(kind == 0, 0, np.where(kind == 1, f2, f2 + f1))
-        size = np.where(kind == 0, f2, np.where(kind == 1, f1, _TOTAL - f2 - f1))
-        lo += unit * begin.astype(_U)
-        r = unit * size.astype(_U)
-        unit = np.where(other, r >> _U(_TOTAL_BITS), _U(1))
-        rank = find[np.where(other, np.minimum((c - lo) // unit, _U(_TOTAL - 1)), _U(0)).astype(np.int64)]
-        ids = np.where(other, symbols[rank], np.where(kind == 0, p2, p1)).astype(np.uint16)
-        lo += np.where(other, unit * start[rank], _U(0))
-        r = np.where(other, unit * freq[rank], r)
-        lanes.update(k, ids, kind)
-        while True:
-            ready = _settled(lo, r)
-            j = np.flatnonzero(ready)
-            if not len(j):
-                break
-            c[j] = c[j] << _U(16) | words[pos[j]]
-            pos[j] += 1
-            lo[j] <<= _U(16)
-            r[j] <<= _U(16)
-        span[:k] = r
+        both = m.f2 + m.f1
+        at = np.minimum((c - lo) // unit, _U(_TOTAL - 1)).astype(np.int32)
+        is2, other = at < m.f2, at >= both
+        is1 = ~(is2 | other)
+        lo += unit * np.where(is2, 0, np.where(is1, m.f2, both)).astype(_U)
+        r[:] = unit * np.where(is2, m.f2, np.where(is1, m.f1, _TOTAL - both)).astype(_U)
+        unit = r >> _U(_TOTAL_BITS)
+        at = np.minimum((c - lo) // np.maximum(unit, _U(1)), _U(_TOTAL - 1)).astype(np.int64)
+        rank = find.take(at)
+        ids = np.where(other, symbols.take(rank), np.where(is2, m.p2, m.p1))
+        lo += unit * start.take(rank) * other
+        np.copyto(r, unit * freq.take(rank), where=other)
+        m.update(k, ids, is2)
+        j = _due(lo, r)
+        c[j] = c[j] << _WORD | words[pos[j]]
+        pos[j] += 1
+        lo[j] <<= _WORD
         out[t, :k] = ids
     return out
 
@@ -200,7 +188,7 @@ def encode(ids: np.ndarray) -> bytes:
     crcs = [zlib.crc32(padded[i, : lengths[i]].astype("<u2").tobytes()) for i in range(blocks)]
     head = MAGIC + struct.pack("<QIII", n, blocks, len(symbols), len(table)) + table
     sizes = np.array([len(s) for s in streams], "<u4").tobytes()
-    return head + np.array(crcs, "<u4").tobytes() + sizes + b"".join(s.astype("<u2").tobytes() for s in streams)
+    return head + np.array(crcs, "<u4").tobytes() + sizes + b"".join(s.astype("<u4").tobytes() for s in streams)
 
 
 def decode(data: bytes) -> np.ndarray:
@@ -215,7 +203,7 @@ def decode(data: bytes) -> np.ndarray:
     find = np.repeat(np.arange(n_symbols), freq)
     crcs = np.frombuffer(data, "<u4", blocks, at)
     sizes = np.frombuffer(data, "<u4", blocks, at + 4 * blocks).astype(np.int64)
-    words = np.frombuffer(data, "<u2", offset=at + 8 * blocks).astype(_U)
+    words = np.frombuffer(data, "<u4", offset=at + 8 * blocks).astype(_U)
     if len(words) != sizes.sum():
         raise ValueError("a segment is cut off")
     words = np.append(words, np.zeros(8, _U))
@@ -224,7 +212,7 @@ def decode(data: bytes) -> np.ndarray:
     out = [np.zeros(0, np.uint16)]
     for k in range(0, blocks, LANES):
         part = slice(k, k + LANES)
-        ids = _decode_lanes(words, first[part], lengths[part], symbols.astype(np.uint16), freq.astype(_U), start.astype(_U), find)
+        ids = _decode_lanes(words, first[part], lengths[part], symbols.astype(np.uint32), freq.astype(_U), start.astype(_U), find)
         for i in range(ids.shape[1]):
             block = ids[: lengths[k + i], i]
             if zlib.crc32(np.ascontiguousarray(block, "<u2").tobytes()) != crcs[k + i]:

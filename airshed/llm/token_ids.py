@@ -13,8 +13,10 @@ the shard.
 
 Tokenising: a text is cut before every space that follows a non-space, where
 byte-level BPE never has a token across; the pieces' ids are remembered in the
-worker (at most CACHE_PIECES pieces), the tokenizer encodes the others. Texts
-in which that cut is not certain are encoded whole.
+worker (at most CACHE_PIECES pieces). A new piece is cut again at a line feed
+between non-spaces and before a comma or full stop that ends it after a Latin
+letter, which are token limits too; the tokenizer encodes the parts not yet
+known. Texts in which the first cut is not certain are encoded whole.
 
 Defined cases: null text is empty and has the end id alone; rows are ordered by
 id, null ids first, then by text; repeated rows are documents of their own; an
@@ -42,9 +44,9 @@ from airshed.session import scratch_path, shuffle_partitions
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 SEGMENT_IDS = 1 << 22
-CACHE_PIECES = 400_000
+CACHE_PIECES = 1_000_000
 
-_UNSURE = re.compile(r"\s |<\|")  # a space after white space, or a special token's string
+_UNSURE = re.compile(r"\s |<\||\0")  # a space after white space, a special token's string, a NUL
 _SEGMENT = {
     "shard": pa.int32(), "first_in_shard": pa.int64(), "n_ids": pa.int64(), "doc_ids": pa.list_(pa.int64()),
     "lengths": pa.list_(pa.int64()), "data": pa.binary(),
@@ -71,19 +73,41 @@ class PieceTokenizer:
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint16).tobytes() for e in self.encoder.encode_batch(texts, add_special_tokens=False)]
 
+    @staticmethod
+    def _parts(piece: str) -> list[str]:
+        if "\n" not in piece:
+            stop = piece[-1:] in (",", ".") and len(piece) > 2 and piece[-2].isalpha() and piece[-2] < "\u0250"
+            return [piece[:-1], piece[-1]] if stop else [piece]
+        lines = piece.split("\n")
+        if any(not x or x[0].isspace() and (i or len(x) == 1) or x[-1].isspace() for i, x in enumerate(lines)):
+            return [piece]
+        out = PieceTokenizer._parts(lines[0])
+        for x in lines[1:]:
+            out += ["\n", *PieceTokenizer._parts(x)]
+        return out
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Ids of pieces as they stand (with their leading space, if any)."""
+        known = self.known
+        parts = {w: self._parts(w) for w in pieces}
+        new = list({x for p in parts.values() for x in p} - known.keys())
+        known.update(zip(new, self._encode(new), strict=True))
+        for w, p in parts.items():
+            if len(p) > 1:
+                known[w] = b"".join([known[x] for x in p])
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """16-bit ids of each text, as bytes."""
         unsure = [bool(_UNSURE.search(t)) for t in texts]
-        pieces = [[] if u else t.split(" ") for t, u in zip(texts, unsure, strict=True)]
-        new = {w for p in pieces for w in p[1:]} - self.known.keys()
-        if len(self.known) + len(new) > CACHE_PIECES:
+        # every piece but the first keeps its space
+        pieces = [[] if u else t.replace(" ", "\0 ").split("\0") for t, u in zip(texts, unsure, strict=True)]
+        wanted = {w for p in pieces for w in p}
+        if len(self.known) > CACHE_PIECES:
             self.known.clear()
-            new = {w for p in pieces for w in p[1:]}
-        order = list(new)
-        self.known.update(zip(order, self._encode([" " + w for w in order]), strict=True))
-        firsts = self._encode([t if u else p[0] for t, u, p in zip(texts, unsure, pieces, strict=True)])
+        self._learn(wanted - self.known.keys())
         ids = self.known.__getitem__
-        return [f + b"".join(map(ids, p[1:])) for f, p in zip(firsts, pieces, strict=True)]
+        whole = iter(self._encode([t for t, u in zip(texts, unsure, strict=True) if u]))
+        return [next(whole) if u else b"".join(map(ids, p)) for u, p in zip(unsure, pieces, strict=True)]
 
 
 def _tokenizer(name: str) -> PieceTokenizer:
