@@ -11,13 +11,6 @@ Reading: every segment decodes alone; a document's place in the whole stream
 is its shard's offset (one row per shard, hence broadcast) plus its place in
 the shard.
 
-Tokenising: a text is cut before every space that follows a non-space, where
-byte-level BPE never has a token across; the pieces' ids are remembered in the
-worker (at most CACHE_PIECES pieces). A new piece is cut again at a line feed
-between non-spaces and before a comma or full stop that ends it after a Latin
-letter, which are token limits too; the tokenizer encodes the parts not yet
-known. Texts in which the first cut is not certain are encoded whole.
-
 Defined cases: null text is empty and has the end id alone; rows are ordered by
 id, null ids first, then by text; repeated rows are documents of their own; an
 empty table gives an empty result; only the named columns are read.
@@ -26,9 +19,6 @@ empty table gives an empty result; only the named columns are read.
 from __future__ import annotations
 
 import os
-import re
-import sys
-import types
 import zlib
 from collections.abc import Iterator
 
@@ -44,9 +34,7 @@ from airshed.session import scratch_path, shuffle_partitions
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 SEGMENT_IDS = 1 << 22
-CACHE_PIECES = 1_000_000
 
-_UNSURE = re.compile(r"\s |<\||\0")  # a space after white space, a special token's string, a NUL
 _SEGMENT = {
     "shard": pa.int32(), "first_in_shard": pa.int64(), "n_ids": pa.int64(), "doc_ids": pa.list_(pa.int64()),
     "lengths": pa.list_(pa.int64()), "data": pa.binary(),
@@ -54,80 +42,30 @@ _SEGMENT = {
 _SEGMENT_DDL = "shard int, first_in_shard long, n_ids long, doc_ids array<long>, lengths array<long>, data binary"
 
 
-class PieceTokenizer:
-    """Ids of whole texts, remembering the ids of pieces."""
-
-    def __init__(self, tokenizer: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        if not os.path.exists(tokenizer):
-            import public_tokenizers
-
-            tokenizer = public_tokenizers.path(tokenizer)
-        self.encoder = Tokenizer.from_file(tokenizer)
-        if self.encoder.get_vocab_size() > 1 << 16:
-            raise ValueError("ids must fit in 16 bits")
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint16).tobytes() for e in self.encoder.encode_batch(texts, add_special_tokens=False)]
-
-    @staticmethod
-    def _parts(piece: str) -> list[str]:
-        if "\n" not in piece:
-            stop = piece[-1:] in (",", ".") and len(piece) > 2 and piece[-2].isalpha() and piece[-2] < "\u0250"
-            return [piece[:-1], piece[-1]] if stop else [piece]
-        lines = piece.split("\n")
-        if any(not x or x[0].isspace() and (i or len(x) == 1) or x[-1].isspace() for i, x in enumerate(lines)):
-            return [piece]
-        out = PieceTokenizer._parts(lines[0])
-        for x in lines[1:]:
-            out += ["\n", *PieceTokenizer._parts(x)]
-        return out
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Ids of pieces as they stand (with their leading space, if any)."""
-        known = self.known
-        parts = {w: self._parts(w) for w in pieces}
-        new = list({x for p in parts.values() for x in p} - known.keys())
-        known.update(zip(new, self._encode(new), strict=True))
-        for w, p in parts.items():
-            if len(p) > 1:
-                known[w] = b"".join([known[x] for x in p])
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """16-bit ids of each text, as bytes."""
-        unsure = [bool(_UNSURE.search(t)) for t in texts]
-        # every piece but the first keeps its space
-        pieces = [[] if u else t.replace(" ", "\0 ").split("\0") for t, u in zip(texts, unsure, strict=True)]
-        wanted = {w for p in pieces for w in p}
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        self._learn(wanted - self.known.keys())
-        ids = self.known.__getitem__
-        whole = iter(self._encode([t for t, u in zip(texts, unsure, strict=True) if u]))
-        return [next(whole) if u else b"".join(map(ids, p)) for u, p in zip(unsure, pieces, strict=True)]
-
-
-def _tokenizer(name: str) -> PieceTokenizer:
-    """One per Python worker, kept over tasks."""
-    kept = sys.modules.setdefault("_kept_tokenizers", types.ModuleType("_kept_tokenizers"))
-    if not hasattr(kept, name):
-        setattr(kept, name, PieceTokenizer(name))
-    return getattr(kept, name)
+def load_tokenizer(name: str):
+    """A tokenizer by its path, or by its file name among the public ones."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    if not os.path.exists(name):
+        import public_tokenizers
+
+        name = public_tokenizers.path(name)
+    tokenizer = Tokenizer.from_file(name)
+    if tokenizer.get_vocab_size() > 1 << 16:
+        raise ValueError("ids must fit in 16 bits")
+    return tokenizer
 
 
 def _write_segments(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _tokenizer(tokenizer)
-        end = np.array([END_ID], np.uint16).tobytes()
+        encoder = load_tokenizer(tokenizer)
         shard, first, held = 0, 0, 0
         docs: list[int | None] = []
-        ids: list[bytes] = []
+        ids: list[np.ndarray] = []
 
         def segment() -> pa.RecordBatch:
-            row = (shard, first, held, docs, [len(x) // 2 for x in ids], range_coder.encode(np.frombuffer(b"".join(ids), np.uint16)))
+            row = (shard, first, held, docs, [len(x) for x in ids], range_coder.encode(np.concatenate(ids)))
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _SEGMENT.values(), strict=True)], names=list(_SEGMENT))
 
         for b in batches:
@@ -135,10 +73,10 @@ def _write_segments(tokenizer: str):
                 continue
             shard = column(b, "shard")[0].as_py()
             texts = [t or "" for t in column(b, "text").to_pylist()]
-            for doc, x in zip(column(b, "doc_id").to_pylist(), encode(texts), strict=True):
+            for doc, x in zip(column(b, "doc_id").to_pylist(), encoder.encode_batch(texts, add_special_tokens=False), strict=True):
                 docs.append(doc)
-                ids.append(x + end)
-                held += len(ids[-1]) // 2
+                ids.append(np.array([*x.ids, END_ID], np.uint16))
+                held += len(ids[-1])
                 if held >= SEGMENT_IDS:
                     yield segment()
                     first, held, docs, ids = first + held, 0, [], []

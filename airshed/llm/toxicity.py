@@ -134,7 +134,7 @@ def _fit(texts: list[bytes], labels: np.ndarray) -> Model:
 
 def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = sorted((i is None, i, t, y) for b in batches for i, t, y in zip(
-        column(b, "doc_id").to_pylist(), text_bytes(b), column(b, "toxic").to_pylist(), strict=True
+        column(b, "doc_id").to_pylist(), text_bytes(b), column(b, "_toxic").to_pylist(), strict=True
     ))
     model = _fit([r[2] for r in rows], np.array([r[3] for r in rows], np.int64))
     yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(tuple(model))], pa.binary())], names=["model"])
@@ -144,11 +144,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clea
     """Train on a bounded sample of the labelled rows outside the held out fold."""
     small_batches(docs.sparkSession)
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), FOLDS) != 0))
-    ids = usable.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("long").alias("toxic"))
-    pick = lambda y, n: ids.where(F.col("toxic") == y).orderBy(F.xxhash64("_id"), "_id").limit(n)
+    ids = usable.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("long").alias("_toxic"))
+    pick = lambda y, n: ids.where(F.col("_toxic") == y).orderBy(F.xxhash64("_id"), "_id").limit(n)
     sample = pick(1, max_toxic).union(pick(0, max_clean))  # bounded, so it may be broadcast
-    rows = docs.join(F.broadcast(sample), docs["doc_id"] == sample["_id"]).select(docs["doc_id"], docs["text"], "toxic")
-    return Model(*pickle.loads(rows.repartition(1).mapInArrow(_fit_task, "model binary").first()["model"]))
+    rows = docs.join(F.broadcast(sample), docs["doc_id"] == sample["_id"]).select(docs["doc_id"], docs["text"], "_toxic")
+    fitted = rows.repartition(1).mapInArrow(_fit_task, "model binary").first()  # no row: nothing to learn from
+    return Model(*pickle.loads(fitted["model"])) if fitted else _fit([], np.zeros(0, np.int64))
 
 
 def _scorer(model: Model, threshold: float):
