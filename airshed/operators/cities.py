@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airshed.functions.clean import cast_integral
 from airshed.operators.ordinal import with_ordinal
@@ -31,11 +32,11 @@ def dedup_first(df: DataFrame, subset: list[str], order: str | Column = "_pos")
 
     ``min_by`` is a plain aggregate: each map task reduces its share of a group
     to one row before the shuffle, so a group holding a third of all rows costs
-    no more than any other. NULLs in ``subset`` form one group.
+    no more than any other. NULLs in ``subset`` form one group; a NULL ``order`` comes last.
     """
     order_col = F.col(order) if isinstance(order, str) else order
     rest = [c for c in df.columns if c not in subset]
-    picked = df.groupBy(*subset).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), order_col).alias("_row"))
+    picked = df.groupBy(*subset).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(order_col.isNull(), order_col)).alias("_row"))
     return picked.select(*[F.col(c) for c in subset], *[F.col(f"_row.{c}").alias(c) for c in rest]).select(
         *df.columns
     )
@@ -116,9 +117,14 @@ def request_batches(
     """Per chunk, one comma-joined list per column, all in ``pos`` order.
 
     A chunk has at most ``size`` rows by construction, so the lists are bounded.
+    Fractional values (coordinates) are written plainly, with up to 6 places.
     """
-    aggs = [
-        F.expr(f"listagg(cast(`{c}` as string), '{sep}') within group (order by `{pos_col}`)").alias(f"{c}_list")
-        for c in cols
-    ]
+    kinds = {f.name: f.dataType for f in chunked.schema.fields}
+
+    def text(c: str) -> str:
+        if not isinstance(kinds[c], (T.FractionalType, T.DecimalType)):
+            return f"cast(`{c}` as string)"
+        return rf"regexp_replace(cast(cast(`{c}` as decimal(9,6)) as string), r'\.?0+$', '')"
+
+    aggs = [F.expr(f"listagg({text(c)}, '{sep}') within group (order by `{pos_col}`)").alias(f"{c}_list") for c in cols]
     return chunked.groupBy(chunk_col).agg(F.count(F.lit(1)).alias("n"), *aggs)

@@ -11,11 +11,8 @@ sorted frame as a Parquet table in the shared checkpoint folder, so it is
 stored, not recomputed: the per-partition counts (read from the one ``_mid``
 column) and the rows see the very same layout, and lineage is cut. A retried
 or recomputed task reproduces its ids, because the range bounds are fixed for
-the shuffle and the order is total.
-
-An input proven to hold at most ``small_rows`` rows (the check reads no more
-than ``small_rows + 1`` rows) takes one ``row_number()`` window instead: a
-single task with a bounded input, and four fewer jobs.
+the shuffle and the order is total. Inputs of every size take this one path;
+the scratch table goes when the application ends.
 """
 
 from __future__ import annotations
@@ -23,10 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airshed.session import scratch_path, shuffle_partitions
+from airshed.session import delete_at_exit, scratch_path, shuffle_partitions
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | index
-SMALL_ROWS = 1_000_000
 
 
 def _as_cols(cols) -> list[Column]:
@@ -38,18 +34,13 @@ def with_ordinal(
     order: list[str | Column],
     out: str = "_ord",
     num_partitions: int | None = None,
-    small_rows: int | None = None,
 ) -> DataFrame:
-    """Attach ``out`` = 0-based position of each row in ``order``.
+    """Attach ``out`` = 0-based position (long) of each row in ``order``.
 
     ``order`` must be a total order (break ties with a unique column) for the
     positions to be deterministic across re-runs and lost executors.
-    ``small_rows`` defaults to ``SMALL_ROWS``; 0 always takes the distributed path.
     """
     order_cols = _as_cols(order)
-    small_rows = SMALL_ROWS if small_rows is None else small_rows
-    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*order_cols)) - 1)
     spark = df.sparkSession
     n = num_partitions or shuffle_partitions(spark)
     path = scratch_path(spark, "ordinal")
@@ -59,6 +50,7 @@ def with_ordinal(
         .withColumn("_mid", F.monotonically_increasing_id())
         .write.parquet(path)
     )
+    delete_at_exit(spark, path)
     sorted_df = (
         spark.read.parquet(path)
         .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))

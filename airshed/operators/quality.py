@@ -7,7 +7,7 @@ checks read only the schema. The report is a small DataFrame with one row per
 expectation: (expectation, column, severity, evaluated, unexpected, success).
 
 Semantics per check (the NULL rules differ, so each keeps two counters):
-* between / lower bound: NULLs are not evaluated; unexpected = outside bounds.
+* between / lower bound: NULLs are not evaluated; unexpected = outside bounds or NaN.
 * pair A >= B: rows with both NULL are skipped; one NULL is unexpected.
 * compound unique: rows with all keys NULL are skipped; every row of a
   repeated key is unexpected.
@@ -170,6 +170,7 @@ def _row_counters(e: Expectation) -> tuple[Column, Column]:
             bad = bad | (x < F.lit(e.lo))
         if e.hi is not None:
             bad = bad | (x > F.lit(e.hi))
+        bad = bad | F.isnan(x.cast("double"))  # NaN is within no bounds
         return F.count(x), F.count_if(x.isNotNull() & bad)
     if e.kind == "pair_ge":
         a, b = F.col(e.columns[0]), F.col(e.columns[1])
@@ -256,37 +257,18 @@ class DataQualityError(RuntimeError):
     pass
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (the limit stops the scan).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def orphans(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str = "city_id",
-    dim_key: str | None = None,
-    broadcast_max_rows: int = 1_000_000,
-) -> DataFrame:
+def orphans(fact: DataFrame, dim: DataFrame, key: str = "city_id", dim_key: str | None = None) -> DataFrame:
     """Fact rows whose key has no row in ``dim`` (foreign-key violations).
 
-    NULL keys are not violations (a NULL foreign key is allowed by SQL).
-    A dimension proven small is broadcast: no shuffle of the fact table.
-    Otherwise the fact keys are deduplicated first (a hot key collapses on the
-    map side), the distinct keys are anti-joined with the dimension, and the
-    orphan keys select their fact rows (broadcast when provably few).
+    NULL keys are not violations (a NULL foreign key is allowed by SQL). The
+    fact keys are deduplicated first (a hot key collapses on the map side) and
+    anti-joined with the dimension; the orphan keys, none or few in sound data,
+    select their fact rows. The planner picks each join by its sides' bytes.
     """
-    dk = dim_key or key
-    keys = dim.select(F.col(dk).alias(key))
+    keys = dim.select(F.col(dim_key or key).alias(key)).distinct()
     facts = fact.filter(F.col(key).isNotNull())
-    if dim.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
-        return facts.join(F.broadcast(keys), key, "left_anti")
-    missing = facts.select(key).distinct().join(keys.distinct(), key, "left_anti")
-    return facts.join(bounded_broadcast(missing, broadcast_max_rows), key, "left_semi")
+    missing = facts.select(key).distinct().join(keys, key, "left_anti")
+    return facts.join(missing, key, "left_semi")
 
 
 def cities_store_suite() -> list[Expectation]:

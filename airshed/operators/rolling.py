@@ -6,16 +6,16 @@ values are present. Row-based, not time-based: gaps in the hour grid are not
 padded, and the frame crosses midnight unless ``reset_by`` restarts it.
 
 Skew: ``Window.partitionBy(key)`` sends all rows of one key to one task. So
-the rows per key are counted first (a map-side-combined aggregate; skipped
-when the whole input has at most ``bucket_rows`` rows). Keys with
-at most ``bucket_rows`` rows take the plain window (one shuffle, and its
-hash partitioning on the key also serves a later ``groupBy`` on key + day).
-Hot keys -- at most rows / ``bucket_rows`` of them, so their set is bounded --
-get their global position in (key, order) order, are cut into buckets of
-``bucket_rows`` positions, and the last ``rows - 1`` rows of each bucket are
-copied into the next one as a halo. Their window is partitioned by
-(key, bucket): no task holds more than ``bucket_rows + rows - 1`` rows of a
-hot key, and the result is exact.
+the rows per key are counted once (a map-side-combined aggregate) and the keys
+with more than ``bucket_rows`` rows are written to a scratch table; there are
+at most rows / ``bucket_rows`` of them. All other keys take the plain window
+(one shuffle, and its hash partitioning on the key also serves a later
+``groupBy`` on key + day). Hot keys get their global position in (key, order)
+order, are cut into buckets of ``bucket_rows`` positions, and the last
+``rows - 1`` rows of each bucket are copied into the next one as a halo. Their
+window is partitioned by (key, bucket): no task holds more than
+``bucket_rows + rows - 1`` rows of a hot key, and the result is exact. The
+planner chooses the joins with the hot keys by their size in bytes.
 """
 
 from __future__ import annotations
@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airshed.operators.ordinal import with_ordinal
+from airshed.session import delete_at_exit, scratch_path
 
 DEFAULT_BUCKET_ROWS = 1 << 20
-HOT_KEY_BROADCAST_LIMIT = 1_000_000
 
 
 def _frame_cols(cols, outputs, w, min_rows):
@@ -54,6 +54,16 @@ def _bucketed(df, groups, order, cols, outputs, halo, min_rows, bucket_rows):
     )
 
 
+def _hot_keys(df: DataFrame, groups: list[str], bucket_rows: int) -> DataFrame:
+    """Keys with more than ``bucket_rows`` rows, counted once."""
+    path = scratch_path(df.sparkSession, "hot-keys")
+    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > bucket_rows).select(*groups)
+    hot.write.parquet(path)
+    delete_at_exit(df.sparkSession, path)
+    return df.sparkSession.read.schema(hot.schema).parquet(path)
+
+
 def rolling_mean(
     df: DataFrame,
     cols: list[str],
@@ -85,16 +95,12 @@ def rolling_mean(
     else:
         if bucket_rows < max(halo, 1):
             raise ValueError("bucket_rows must be at least rows - 1")
-        hot = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > bucket_rows).select(*groups)
-        # No key can be hot when the whole input fits in one bucket (cheap, bounded check).
-        small = df.limit(bucket_rows + 1).count() <= bucket_rows
-        n_hot = 0 if small else hot.limit(HOT_KEY_BROADCAST_LIMIT + 1).count()
-        if n_hot == 0:
+        hot = _hot_keys(df, groups, bucket_rows)
+        if hot.isEmpty():
             out = _plain(df, *args)
         else:
-            hot_keys = F.broadcast(hot) if n_hot <= HOT_KEY_BROADCAST_LIMIT else hot
-            cold = _plain(df.join(hot_keys, groups, "left_anti"), *args)
-            warm = _bucketed(df.join(hot_keys, groups, "left_semi"), *args, bucket_rows)
+            cold = _plain(df.join(hot, groups, "left_anti"), *args)
+            warm = _bucketed(df.join(hot, groups, "left_semi"), *args, bucket_rows)
             out = cold.unionByName(warm)
     if reset_by is not None:
         out = out.drop("_reset")

@@ -61,16 +61,6 @@ def explode_series(
     )
 
 
-def alignment_violations(
-    left: DataFrame, right: DataFrame, left_var: str, right_var: str, on=("chunk_id", "pos")
-) -> DataFrame:
-    """Responses of the same city whose vectors differ in length between two
-    feeds (positional alignment of their rows would be wrong)."""
-    a = left.select(*on, F.size(F.col(left_var)).alias("left_len"))
-    b = right.select(*on, F.size(F.col(right_var)).alias("right_len"))
-    return a.join(b, list(on), "inner").filter(~F.col("left_len").eqNullSafe(F.col("right_len")))
-
-
 def zip_positional(left: DataFrame, right: DataFrame, on=("chunk_id", "pos")) -> DataFrame:
     """Pair rows by position inside their chunk; stops at the shorter side."""
     return left.join(right, list(on), "inner")
@@ -97,21 +87,27 @@ def pivot_keyed_series(
     """Keyed JSON body -> one row per day with one column per variable.
 
     The days are the union of the day keys over all variables; a variable
-    without a value for a day gives NULL. No shuffle: every row expands on its
-    own. ``parsed`` names an already-parsed map<string, map<string, double>>
-    column instead of a JSON string.
+    without a value for a day gives NULL. No shuffle: every row folds its maps
+    into one map from day to values, a pass per variable, and expands once.
+    A body that is NULL, is not such JSON or has no parameters (an error
+    response) fails the job. ``parsed`` names an already-parsed
+    map<string, map<string, double>> column instead of a JSON string.
     """
     if parsed is None:
-        p = F.from_json(F.col(body), LAND_SURFACE_BODY_SCHEMA)["properties"]["parameter"]
+        p = F.from_json(F.col(body), LAND_SURFACE_BODY_SCHEMA, {"mode": "FAILFAST"})["properties"]["parameter"]
     else:
         p = F.col(parsed)
+    sound = F.when(F.col("_p").isNotNull(), F.lit(True)).otherwise(F.raise_error(F.lit("response without properties.parameter")))
+    staged = raw.select(*keys, p.alias("_p")).filter(sound)
     days = F.array_distinct(F.flatten(F.transform(F.map_values(F.col("_p")), lambda m: F.map_keys(m))))
-    staged = raw.select(*keys, p.alias("_p")).select(*keys, "_p", F.explode(days).alias("_d"))
-    return staged.select(
-        parse_yyyymmdd(F.col("_d")).alias("date"),
-        *[
-            nan_to_null(F.try_element_at(F.try_element_at(F.col("_p"), F.lit(v)), F.col("_d")).cast("double")).alias(v)
-            for v in variables
-        ],
-        *keys,
+    staged = staged.select(*keys, "_p", days.alias("_days"))
+    none = F.array().cast("array<double>")
+    folded = F.map_from_arrays(F.col("_days"), F.transform("_days", lambda d: none))
+    empty = F.create_map().cast("map<string,double>")
+    for v in variables:
+        own = F.coalesce(F.try_element_at(F.col("_p"), F.lit(v)), empty)
+        folded = F.map_zip_with(folded, own, lambda d, held, x: F.concat(held, F.array(nan_to_null(x.cast("double")))))
+    exploded = staged.select(*keys, F.explode(folded).alias("_d", "_v"))
+    return exploded.select(
+        parse_yyyymmdd(F.col("_d")).alias("date"), *[F.col("_v")[i].alias(v) for i, v in enumerate(variables)], *keys
     )

@@ -5,33 +5,37 @@ matched keys      -> the ``update_cols`` take the source value (a NULL
 source-only keys  -> inserted; ``created_at`` = ``now``
 target-only keys  -> kept as they are
 
-One full outer join on the keys. Keys are unique on each side (checked by the
-writer), so no join key can be hot.
+One full outer join on the keys. Keys are not NULL and unique on each side
+(the writer checks both sides), so no join key can be hot.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that occur more than once (map-side combined count)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-
-
 def assert_unique_keys(df: DataFrame, keys: list[str], what: str = "source") -> None:
-    dup = duplicate_keys(df, keys).limit(1).collect()
-    if dup:
-        raise ValueError(f"{what} has duplicate keys, e.g. {dup[0].asDict()}")
+    """Keys must be present and unique: one aggregate, its worst keys."""
+    null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    worst = counts.agg(
+        F.count_if(null).alias("nulls"), F.max_by(F.struct(*keys), F.col("n")).alias("key"), F.max("n").alias("n")
+    ).first()
+    if worst["nulls"]:
+        raise ValueError(f"{what} has NULL keys")
+    if worst["n"] and worst["n"] > 1:
+        raise ValueError(f"{what} has duplicate keys, e.g. {worst['key'].asDict()}")
 
 
 def last_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Resolve repeated source keys: the row with the greatest ``order`` wins."""
+    """Resolve repeated source keys: the row with the greatest ``order`` wins
+    (NULL is the least)."""
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(order)).alias("_r"))
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(F.col(order).isNotNull(), F.col(order))).alias("_r"))
     return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 

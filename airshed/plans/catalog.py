@@ -37,6 +37,7 @@ from airshed.operators.quality import orphans, run_suite
 from airshed.operators.rolling import rolling_mean
 from airshed.operators.series import explode_series, join_discharge, pivot_keyed_series, zip_positional
 from airshed.operators.upsert import upsert
+from airshed.plans import io_catalog
 from airshed.plans.pipelines import air_quality_daily, climate_daily, land_surface_daily
 from airshed.schemas import (
     AIR_QUALITY_VARS,
@@ -196,7 +197,7 @@ FROM h GROUP BY city_id, CAST(date AS DATE)
 
 
 def q_outer_combine(spark, sf_dir):
-    """Three per-type aggregates whose key sets differ, combined on (user, day)."""
+    """One aggregate per event type, key sets differ, combined on (user, day)."""
     ev = table(spark, sf_dir, "events").withColumn("date", F.to_date("ts"))
 
     def per(kind, agg):
@@ -207,6 +208,8 @@ def q_outer_combine(spark, sf_dir):
             per("click", F.avg("value").alias("click_mean")),
             per("error", F.max("value").alias("error_max")),
             per("purchase", F.count(F.lit(1)).alias("purchase_n")),
+            per("view", F.min("value").alias("view_min")),
+            per("signup", F.sum("value").alias("signup_sum")),
         ],
         ["user_id", "date"],
     )
@@ -217,10 +220,14 @@ OUTER_COMBINE_SQL = """
 WITH e AS (SELECT user_id, CAST(ts AS DATE) AS date, event_type, value FROM events),
 a AS (SELECT user_id, date, avg(value) AS click_mean FROM e WHERE event_type = 'click' GROUP BY ALL),
 b AS (SELECT user_id, date, max(value) AS error_max FROM e WHERE event_type = 'error' GROUP BY ALL),
-c AS (SELECT user_id, date, count(*) AS purchase_n FROM e WHERE event_type = 'purchase' GROUP BY ALL)
+c AS (SELECT user_id, date, count(*) AS purchase_n FROM e WHERE event_type = 'purchase' GROUP BY ALL),
+d AS (SELECT user_id, date, min(value) AS view_min FROM e WHERE event_type = 'view' GROUP BY ALL),
+f AS (SELECT user_id, date, sum(value) AS signup_sum FROM e WHERE event_type = 'signup' GROUP BY ALL)
 SELECT CAST(user_id AS BIGINT) AS user_id, date, round(click_mean, 6) AS click_mean,
-       round(error_max, 6) AS error_max, CAST(purchase_n AS BIGINT) AS purchase_n
+       round(error_max, 6) AS error_max, CAST(purchase_n AS BIGINT) AS purchase_n,
+       round(view_min, 6) AS view_min, round(signup_sum, 6) AS signup_sum
 FROM a FULL JOIN b USING (user_id, date) FULL JOIN c USING (user_id, date)
+  FULL JOIN d USING (user_id, date) FULL JOIN f USING (user_id, date)
 """
 
 
@@ -814,8 +821,9 @@ def _series_value_sql(i: int) -> str:
 
 
 def q_climate_pipeline(spark, sf_dir):
-    raw_climate, ids = _raw_from_embeddings(spark, sf_dir, CLIMATE_VARS, 86400)
-    raw_discharge, _ = _raw_from_embeddings(spark, sf_dir, DISCHARGE_VARS, 86400)
+    raw, ids = _raw_from_embeddings(spark, sf_dir, [*CLIMATE_VARS, *DISCHARGE_VARS], 86400)
+    raw_climate = raw.drop(*DISCHARGE_VARS)
+    raw_discharge = raw.drop(*CLIMATE_VARS).withColumn(DISCHARGE_VARS[0], F.reverse(DISCHARGE_VARS[0]))
     return round6(climate_daily(raw_climate, raw_discharge, ids))
 
 
@@ -943,6 +951,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "climate_pipeline": q_climate_pipeline,
     "air_quality_pipeline": q_air_quality_pipeline,
     "land_surface_pipeline": q_land_surface_pipeline,
+    **io_catalog.QUERIES,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -988,4 +997,5 @@ ORACLE_SQL: dict[str, str] = {
     "climate_pipeline": CLIMATE_PIPELINE_SQL,
     "air_quality_pipeline": _air_quality_pipeline_sql(),
     "land_surface_pipeline": _land_surface_pipeline_sql(),
+    **io_catalog.ORACLE_SQL,
 }

@@ -37,7 +37,7 @@ from airshed.schemas import (  # noqa: E402
     RAW_LAND_SURFACE_SCHEMA,
     raw_series_schema,
 )
-from airshed.session import ensure_utc  # noqa: E402
+from airshed.session import ensure_utc, path_exists  # noqa: E402
 
 RUN_DATE = T.StructField("run_date", T.DateType(), True)
 RAW_SCHEMAS = {
@@ -56,9 +56,13 @@ def read_raw(spark: SparkSession, raw_dir: str, feed: str, run_date: dt.date) ->
     return spark.read.schema(schema).parquet(path).filter(F.col("run_date") == F.lit(run_date)).drop("run_date")
 
 
-def _feeds(raw_dir: str, wanted: list[str] | None) -> list[str]:
-    present = [f for f in RAW_SCHEMAS if os.path.isdir(os.path.join(raw_dir, f)) or "://" in raw_dir]
-    return [f for f in present if not wanted or f in wanted]
+def _feeds(spark: SparkSession, raw_dir: str, wanted: list[str] | None) -> list[str]:
+    """The feeds that have a folder in the store of ``raw_dir``."""
+    present = [f for f in RAW_SCHEMAS if path_exists(spark, f"{raw_dir.rstrip('/')}/{f}")]
+    chosen = [f for f in present if not wanted or f in wanted]
+    if not chosen or set(wanted or ()) - set(present):
+        raise ValueError(f"feeds wanted: {wanted or 'any'}; found below {raw_dir}: {present or 'none'}")
+    return chosen
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> list[dict]:
@@ -96,7 +100,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
 
     chunks = spark.read.parquet(args.chunks)
     run_date = args.day if args.cmd == "daily" else args.start
-    raw = {f: read_raw(spark, args.raw, f, run_date) for f in _feeds(args.raw, args.feeds)}
+    raw = {f: read_raw(spark, args.raw, f, run_date) for f in _feeds(spark, args.raw, args.feeds)}
     if "climate" in raw and "discharge" not in raw:
         raise ValueError("the climate feed needs the discharge feed")
     if args.cmd == "daily":

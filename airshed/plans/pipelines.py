@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from airshed.functions.clean import null_sentinel, to_spec
 from airshed.functions.period import RunWindow, in_window, run_window
+from airshed.functions.timecols import expected_steps
 from airshed.operators.cities import assign_chunks, clean_cities, request_batches, top_cities
 from airshed.operators.daily import AQ_SPEC, daily_aggregate
-from airshed.operators.quality import SUITES, cities_store_suite, gate, run_suite
+from airshed.operators.quality import SUITES, DataQualityError, cities_store_suite, gate, orphans, run_suite
 from airshed.operators.series import (
-    alignment_violations,
     explode_series,
     join_discharge,
     pivot_keyed_series,
@@ -39,7 +39,7 @@ from airshed.schemas import (
     LAND_SURFACE_VARS,
     TableSpec,
 )
-from airshed.sources.readers import read_cities_csv, read_or_build
+from airshed.sources.readers import read_cities_csv, read_csv, read_or_build
 from airshed.sources.writers import merge_into, write_csv, write_partitioned
 
 # ---------------------------------------------------------------------------
@@ -65,7 +65,7 @@ def bootstrap_cities(
         raise ValueError("mode must be 'upsert' or 'replace'")
     clean = clean_cities(read_cities_csv(spark, csv_path))
     write_csv(clean, clean_csv_path)
-    source = cities_frame(spark.read.schema(clean.schema).option("header", True).csv(clean_csv_path))
+    source = cities_frame(read_csv(spark, clean_csv_path, clean.schema))
     # Store constraints (NOT NULL, primary key, unique coordinates, lengths) gate the load.
     gate(run_suite(source, cities_store_suite()))
     if mode == "replace":
@@ -123,13 +123,23 @@ def climate_daily(
 ) -> DataFrame:
     """Climate + discharge series -> one row per (date, city_id).
 
-    ``strict``: a city whose climate and discharge vectors differ in length is
-    an error (checked on the raw rows, one per city: a bounded-cost job).
+    ``strict``: both feeds of a city must have the same time axis, else the job
+    fails. The raw rows (one per city) are joined and checked, and the 16
+    vectors expand together: no exploded row is shuffled. Otherwise each feed
+    expands on its own axis and the days are joined.
     """
     if strict:
-        bad = alignment_violations(raw_climate, raw_discharge, CLIMATE_VARS[0], DISCHARGE_VARS[0]).limit(1).collect()
-        if bad:
-            raise ValueError(f"climate and discharge series differ in length, e.g. {bad[0].asDict()}")
+        axis = ("start_s", "end_s", "interval_s")
+        on = ["chunk_id", "pos"]
+        other = raw_discharge.select(*on, F.struct(*axis).alias("_axis"), *DISCHARGE_VARS)
+        both = _with_city(raw_climate.join(other, on, how), chunks)
+        same = F.col("_axis").isNull() | (F.struct(*axis) == F.col("_axis"))
+        both = both.filter(F.when(same, F.lit(True)).otherwise(F.raise_error(F.lit("climate and discharge series differ in their time axis"))))
+        if how == "left":  # a city without discharge has NULL for all its days
+            n = expected_steps(*axis)
+            both = both.withColumns({v: F.coalesce(v, F.array_repeat(F.lit(None).cast("float"), n)) for v in DISCHARGE_VARS})
+        rows = explode_series(both, [*CLIMATE_VARS, *DISCHARGE_VARS], keys=("city_id",))
+        return rows.select(F.to_date("date").alias("date"), "city_id", *CLIMATE_VARS, *DISCHARGE_VARS)
     climate = explode_series(_with_city(raw_climate, chunks), CLIMATE_VARS, keys=("city_id",))
     discharge = explode_series(_with_city(raw_discharge, chunks), DISCHARGE_VARS, keys=("city_id",))
     joined = join_discharge(climate, discharge, keys=("city_id", "date"), how=how)
@@ -141,7 +151,9 @@ def air_quality_hourly(raw_air: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def air_quality_daily(raw_air: DataFrame, chunks: DataFrame, reset_daily: bool = False, spec=AQ_SPEC) -> DataFrame:
-    return daily_aggregate(air_quality_hourly(raw_air, chunks), spec, reset_daily=reset_daily)
+    """A city has at most 8,784 hourly rows in a year's response, so the rolling
+    frames need no split of hot cities."""
+    return daily_aggregate(air_quality_hourly(raw_air, chunks), spec, reset_daily=reset_daily, bucket_rows=None)
 
 
 def land_surface_daily(raw_land: DataFrame) -> DataFrame:
@@ -171,21 +183,38 @@ def load_daily(
     now: dt.datetime | None = None,
     validate: bool = True,
     scale: int | None = None,
+    cities: DataFrame | None = None,
 ) -> dict:
     """Restrict to the run window, write the transformed copy, validate it,
-    and upsert it into the target table. Returns the validation report rows."""
+    and upsert it into the target table. Returns the validation report rows and
+    the numbers of rows loaded and left out as outside the window.
+
+    The transformed copy of a window is a folder of its own and is replaced
+    whole by a rerun. Rows without a date or city, cities unknown to ``cities``
+    and a run without rows are errors.
+    """
     spec: TableSpec = FEEDS[feed]
-    frame = daily.filter(in_window("date", window))
-    write_partitioned(frame, transformed_path)
-    # explicit schema: an empty run (no raw rows) leaves no file to infer one from
-    staged = spark.read.schema(frame.schema).parquet(transformed_path).filter(in_window("date", window))
+    inside, keyed = in_window("date", window), F.col("date").isNotNull() & F.col("city_id").isNotNull()
+    counts = daily.agg(  # reads the key columns only
+        F.count_if(keyed & inside).alias("rows"), F.count_if(keyed & ~inside).alias("outside"), F.count_if(~keyed).alias("unkeyed")
+    ).first()
+    if counts["unkeyed"]:
+        raise DataQualityError(f"{feed}: {counts['unkeyed']} rows without date or city_id")
+    if not counts["rows"]:
+        raise DataQualityError(f"{feed}: no rows in {window.lo}..{window.hi}")
+    frame = daily.filter(inside)
+    copy = f"{transformed_path.rstrip('/')}/window={window.lo}_{window.hi}"
+    write_partitioned(frame, copy, replace_all=True)
+    staged = spark.read.schema(frame.schema).parquet(copy)
+    if cities is not None and (unknown := orphans(staged, cities).select("city_id").first()):
+        raise DataQualityError(f"{feed}: city {unknown['city_id']} is not in the city table")
     failed: list = []
     if validate:
         report = run_suite(staged, SUITES[feed])
         failed = gate(report)
     source = to_spec(staged, spec, scale=scale)
     merge_into(spark, target_path, source, list(spec.keys), now=now, target_schema=spec.schema(scale))
-    return {"feed": feed, "window": (window.lo, window.hi), "warnings": failed}
+    return {"feed": feed, "window": (window.lo, window.hi), "warnings": failed, "rows": counts["rows"], "outside": counts["outside"]}
 
 
 def run_daily(
@@ -204,19 +233,19 @@ def run_daily(
         daily = climate_daily(raw["climate"], raw["discharge"], chunks)
         results.append(
             load_daily(spark, "climate", daily, run_window("daily", day),
-                       f"{out_dir}/transformed/daily_climate", f"{out_dir}/daily_climate", now)
+                       f"{out_dir}/transformed/daily_climate", f"{out_dir}/daily_climate", now, cities=chunks)
         )
     if "air_quality" in raw:
         daily = air_quality_daily(raw["air_quality"], chunks)
         results.append(
             load_daily(spark, "air_quality", daily, run_window("daily", day),
-                       f"{out_dir}/transformed/daily_air_quality", f"{out_dir}/daily_air_quality", now)
+                       f"{out_dir}/transformed/daily_air_quality", f"{out_dir}/daily_air_quality", now, cities=chunks)
         )
     if "land_surface" in raw:
         daily = land_surface_daily(raw["land_surface"])
         results.append(
             load_daily(spark, "land_surface", daily, run_window("daily", day, lag_days=1),
-                       f"{out_dir}/transformed/daily_land_surface", f"{out_dir}/daily_land_surface", now)
+                       f"{out_dir}/transformed/daily_land_surface", f"{out_dir}/daily_land_surface", now, cities=chunks)
         )
     return results
 
@@ -239,12 +268,12 @@ def run_backfill(
         daily = climate_daily(raw["climate"], raw["discharge"], chunks)
         results.append(
             load_daily(spark, "climate", daily, window, f"{out_dir}/transformed/backfill_climate",
-                       f"{out_dir}/daily_climate", now, validate=False)
+                       f"{out_dir}/daily_climate", now, validate=False, cities=chunks)
         )
     if "land_surface" in raw:
         daily = land_surface_daily(raw["land_surface"])
         results.append(
             load_daily(spark, "land_surface", daily, window, f"{out_dir}/transformed/backfill_land_surface",
-                       f"{out_dir}/daily_land_surface", now, validate=False)
+                       f"{out_dir}/daily_land_surface", now, validate=False, cities=chunks)
         )
     return results

@@ -73,12 +73,51 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a path in any store the cluster can reach."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return bool(fs.exists(p))
+
+
+def swap_in(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``. The version before is
+    kept as ``path__old`` until the new one is in place."""
+    fs, target = _hadoop(spark, path)
+    _, source = _hadoop(spark, new)
+    _, old = _hadoop(spark, path.rstrip("/") + "__old")
+    if fs.exists(target):
+        fs.delete(old, True)
+        if not fs.rename(target, old):
+            raise OSError(f"can't move {path} aside")
+    if not fs.rename(source, target):
+        raise OSError(f"can't move {new} to {path}")
+    fs.delete(old, True)
+
+
+def restore_old(spark: SparkSession, path: str) -> None:
+    """Undo a ``swap_in`` that broke off after the old version was moved."""
+    fs, target = _hadoop(spark, path)
+    _, old = _hadoop(spark, path.rstrip("/") + "__old")
+    if not fs.exists(target) and fs.exists(old):
+        fs.rename(old, target)
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table when the application ends (its lazy readers may
+    run until then)."""
+    fs, p = _hadoop(spark, path)
+    fs.deleteOnExit(p)
+
+
 def drop_scratch(spark: SparkSession, path: str) -> bool:
     """Delete a scratch table made by ``scratch_path`` (through the Hadoop
     FileSystem of that path, so it works for any shared store)."""
     if "/airshed-" not in path:
         raise ValueError(f"not a scratch path: {path}")
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _hadoop(spark, path)
     return bool(fs.delete(p, True))

@@ -12,6 +12,21 @@ from pyspark.sql import types as T
 
 from airshed.operators.cities import scan_position
 from airshed.schemas import WORLD_CITIES_CSV_SCHEMA
+from airshed.session import path_exists
+
+
+#: One CSV dialect for reading and writing: doubled quotes, line feeds inside
+#: quotes, blanks kept. Quoted line feeds mean that a file is not split; the
+#: city list is small.
+CSV_OPTIONS = {
+    "header": True, "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """CSV in the library's dialect; a malformed line fails the job."""
+    r = spark.read.options(**CSV_OPTIONS).option("mode", "FAILFAST")
+    return (r.schema(schema) if schema is not None else r).csv(path)
 
 
 def read_cities_csv(spark: SparkSession, path: str, schema: T.StructType = WORLD_CITIES_CSV_SCHEMA) -> DataFrame:
@@ -21,7 +36,7 @@ def read_cities_csv(spark: SparkSession, path: str, schema: T.StructType = WORLD
     as text, then cast to the declared types; a bad number fails the job).
     A column missing from the header is an error; extra columns are ignored.
     """
-    raw = scan_position(spark.read.option("header", True).option("mode", "FAILFAST").csv(path))
+    raw = scan_position(read_csv(spark, path))
     missing = [f.name for f in schema.fields if f.name not in raw.columns]
     if missing:
         raise ValueError(f"CSV header lacks columns {missing}")
@@ -37,16 +52,18 @@ def read_parquet(spark: SparkSession, *paths: str, schema: T.StructType | None =
 
 
 def try_read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """The table at ``path``, or None when nothing readable is there."""
+    """The table at ``path``, or None when there is no such path, or a folder
+    without data files. Anything else that can't be read is an error."""
+    if not path_exists(spark, path):
+        return None
+    r = spark.read
     try:
-        r = spark.read.option("pathGlobFilter", "*.parquet")
         df = (r.schema(schema) if schema is not None else r).parquet(path)
-        df.schema  # noqa: B018 - resolve now
-        if schema is not None and not df.inputFiles():
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
-        return df
-    except AnalysisException:
-        return None
+        raise
+    return df if schema is None or df.inputFiles() else None
 
 
 def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
@@ -55,7 +72,7 @@ def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
     found = try_read_parquet(spark, path)
     if found is not None:
         return found
-    w = build().write.mode("overwrite")
+    w = build().write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -9,23 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airshed.operators.upsert import assert_unique_keys, last_per_key, upsert
-from airshed.session import drop_scratch, scratch_path
-from airshed.sources.readers import try_read_parquet
-
-MAX_PRUNE_VALUES = 100_000  # distinct partition values listed as literals
+from airshed.session import drop_scratch, restore_old, scratch_path, swap_in
+from airshed.sources.readers import CSV_OPTIONS, try_read_parquet
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header row (replaces the target)."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_chunks(chunked: DataFrame, path: str, chunk_col: str = "chunk_id") -> None:
-    """One folder per chunk (``chunk_id=N``), rows in ``pos`` order."""
+    """One folder per chunk (``chunk_id=N``), rows in ``pos`` order; replaces
+    all chunks of an earlier write."""
     (
         chunked.repartition(F.col(chunk_col))
         .sortWithinPartitions(chunk_col, "pos")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy(chunk_col)
         .parquet(path)
     )
@@ -49,9 +49,11 @@ def write_partitioned(
     partition_col: str = "date",
     cluster_col: str | None = "city_id",
     mode: str = "overwrite",
+    replace_all: bool = False,
 ) -> None:
     """Day-partitioned, ``city_id``-clustered Parquet; rewrites only the days
-    present in ``df`` (dynamic partition overwrite).
+    present in ``df`` (dynamic partition overwrite), or with ``replace_all``
+    the whole table.
 
     Range partitioning on (day, city) spreads a large day over several tasks
     (one file each, sorted by city), so row-group min/max skipping works.
@@ -61,7 +63,7 @@ def write_partitioned(
         df.repartitionByRange(*[F.col(c) for c in order])
         .sortWithinPartitions(*order)
         .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy(partition_col)
         .parquet(path)
     )
@@ -82,21 +84,23 @@ def merge_into(
 ) -> DataFrame:
     """Upsert ``source`` into the Parquet table at ``path``; returns the table.
 
-    Repeated source keys are an error unless ``dedup_by`` names the column
-    whose greatest value wins. Only the target partitions named in the source
-    are read (partition pruning) and rewritten (dynamic overwrite); the merged
-    rows go through a staging copy in the shared checkpoint folder because a
-    table cannot be overwritten while it is being read.
+    The keys are cast to the target's types before anything else looks at
+    them. NULL keys are an error, and so are repeated ones (after the cast), in
+    the source and in the part of the target that is read; ``dedup_by`` names a
+    column whose greatest value wins among repeated source keys. Only the
+    target partitions that the source has are read (a range filter prunes them,
+    a semi join selects them) and rewritten (dynamic overwrite). Source and
+    merged rows go through staging copies in the shared checkpoint folder: the
+    source is computed once, and a table cannot be overwritten while it is
+    being read. An unpartitioned table is written beside and swapped in.
     """
-    if dedup_by:
-        source = last_per_key(source, keys, dedup_by)
-    else:
-        assert_unique_keys(source, keys)
     if now is None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-
+    if not partition_col:
+        restore_old(spark, path)
     target = try_read_parquet(spark, path)
-    if target is None:
+    is_new = target is None
+    if is_new:
         schema = target_schema
         if schema is None:
             fields = [f for f in source.schema.fields if f.name != dedup_by]
@@ -104,27 +108,36 @@ def merge_into(
                 fields.append(T.StructField(created_col, T.TimestampType(), True))
             schema = T.StructType(fields)
         target = spark.createDataFrame([], schema)
-    elif partition_col:
-        values = [r[0] for r in source.select(partition_col).distinct().limit(MAX_PRUNE_VALUES + 1).collect()]
-        if len(values) <= MAX_PRUNE_VALUES:
-            target = target.filter(F.col(partition_col).isin(values))
-        else:
-            target = target.join(source.select(partition_col).distinct(), partition_col, "left_semi")
-
-    if dedup_by and dedup_by not in target.columns:
-        source = source.drop(dedup_by)
-    merged = upsert(target, source, keys, update_cols, now, created_col)
+    source = source.withColumns({k: F.col(k).cast(target.schema[k].dataType) for k in keys})
+    if dedup_by:
+        source = last_per_key(source, keys, dedup_by)
+        if dedup_by not in target.columns:
+            source = source.drop(dedup_by)
+    source_stage = scratch_path(spark, "merge-source")
+    source.write.parquet(source_stage)
+    source = spark.read.schema(source.schema).parquet(source_stage)
     stage = scratch_path(spark, "merge")
-    merged.write.mode("overwrite").parquet(stage)
     try:
-        staged = spark.read.parquet(stage)
+        assert_unique_keys(source, keys)
+        if partition_col and not is_new:
+            lo, hi = source.agg(F.min(partition_col), F.max(partition_col)).first()
+            days = source.select(partition_col).distinct()
+            held = target.filter(F.col(partition_col).between(F.lit(lo), F.lit(hi)))
+            target = held.join(days, partition_col, "left_semi").select(*target.columns)
+        assert_unique_keys(target, keys, "target")
+        merged = upsert(target, source, keys, update_cols, now, created_col)
+        merged.write.mode("overwrite").parquet(stage)
+    finally:
+        drop_scratch(spark, source_stage)
+    try:
+        staged = spark.read.schema(merged.schema).parquet(stage)
         if partition_col:
             write_partitioned(staged, path, partition_col, cluster_col)
         else:
-            order = list(keys)
-            staged.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).write.mode(
-                "overwrite"
-            ).parquet(path)
+            order = [F.col(k) for k in keys]
+            beside = path.rstrip("/") + "__new"
+            staged.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(beside)
+            swap_in(spark, beside, path)
     except Exception as e:
         # Kept: if the commit broke off half-way, this is the one whole copy of the merged rows.
         e.add_note(f"merged rows kept at {stage}")

@@ -16,6 +16,7 @@ As in the batch run, rolling frames see only the rows of their micro-batch.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -50,7 +51,9 @@ def start_loader(
     (date, city_id). The checkpoint lives in the shared checkpoint folder
     unless ``checkpoint_location`` names one.
     """
-    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/airshed-stream-{spec.name}"
+    # one checkpoint per table and target folder: loaders of the same table don't share it
+    mark = hashlib.sha256(target_path.rstrip("/").encode()).hexdigest()[:16]
+    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/airshed-stream-{spec.name}-{mark}"
     reader = spark.readStream.schema(raw_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

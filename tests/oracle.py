@@ -1,6 +1,6 @@
 """Side-by-side check of a Spark query against its DuckDB oracle SQL.
 
-Same gate as the build driver: row count, column names, order-insensitive
+The gate: row count, column names, order-insensitive
 values (columns sorted by name, rows sorted, doubles compared at 1e-6).
 """
 

@@ -2,22 +2,47 @@
 
 import contextlib
 import io
+import os
+import subprocess
+import sys
 
 import pytest
 
 import __spark_entry__ as entry
-from airshed.plans.oracle import canon, compare
+from airshed.plans import catalog
 
 from .conftest import SF01
+from .oracle import canon, compare
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalog.QUERIES
+SQL = catalog.ORACLE_SQL
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
 
 
+def test_entry_adds_the_optional_queries():
+    names = set(entry.queries())
+    assert set(QUERIES) <= names and set(entry.oracle_sql()) <= names
+
+
+def test_entry_without_the_optional_folders():
+    code = (
+        "import sys\n"
+        "class Absent:\n"
+        "    def find_spec(self, name, path=None, target=None):\n"
+        "        if name in ('airshed.llm', 'corpus_pipeline'):\n"
+        "            raise ModuleNotFoundError(name, name=name)\n"
+        "sys.meta_path.insert(0, Absent())\n"
+        "import __spark_entry__ as e\n"
+        "print(len(e.queries()), len(e.oracle_sql()))\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    assert out == [str(len(QUERIES)), str(len(SQL))]
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0

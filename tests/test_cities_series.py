@@ -75,7 +75,9 @@ def test_request_batches_keep_pos_order(spark):
     ).repartition(3)
     out = {r.chunk_id: r for r in request_batches(df).collect()}
     assert out[0].city_id_list == "9,7" and out[0].lat_list == "3.25,1.5" and out[0].n == 2
-    assert out[1].lng_list == "6.0"
+    assert out[1].lng_list == "6"
+    small = spark.createDataFrame([(0, 0, 1, 0.0005, -100.0)], "chunk_id int, pos int, city_id long, lat double, lng double")
+    assert tuple(request_batches(small).first()[2:]) == ("1", "0.0005", "-100")
 
 
 # ---------------------------------------------------------------------------
@@ -181,7 +183,39 @@ def test_outer_combine_paths(spark):
     assert fused == joined == [(1, 10.0, None, None), (2, 20.0, "x", None), (3, None, "y", True)]
     dup = spark.createDataFrame([(2, "z")], "k long, b2 string").unionByName(spark.createDataFrame([(2, "w")], "k long, b2 string"))
     assert outer_combine([a, dup], ["k"], unique_keys=False).filter("k = 2").count() == 2
+    with pytest.raises(Exception, match="more than once"):
+        outer_combine([a, dup], ["k"]).collect()
     with pytest.raises(ValueError, match="disjoint"):
         outer_combine([a, a], ["k"])
     u = union_chunks([a, b])
     assert u.columns == ["k", "a", "b"] and u.count() == 4
+
+
+GOOD = '{"properties": {"parameter": {"PS": {"20240101": 1.0}, "TS": {"20240101": 2.0, "20240102": 3.0}}}}'
+
+
+@pytest.mark.parametrize("body", ['{"error": "too many requests"}', "not json", None, '{"properties": {}}'])
+def test_pivot_fails_on_bad_responses(spark, body):
+    raw = spark.createDataFrame([(1, GOOD), (2, body)], "city_id long, body string")
+    with pytest.raises(Exception):
+        pivot_keyed_series(raw, ["PS", "TS"]).collect()
+    assert pivot_keyed_series(raw.filter("city_id = 1"), ["PS", "TS"]).count() == 2
+
+
+def test_csv_round_trip_keeps_quotes_commas_and_blanks(spark, tmpdir_path):
+    from airshed.sources.readers import read_csv
+    from airshed.sources.writers import write_csv
+
+    rows = [(1, 'Foo "Bar" Baz, Qux'), (2, "  blanks  "), (3, "line\nfeed"), (4, "back\\slash"), (5, None), (6, '"')]
+    df = spark.createDataFrame(rows, "id long, name string")
+    path = os.path.join(tmpdir_path, "csv")
+    write_csv(df, path)
+    assert sorted(map(tuple, read_csv(spark, path, df.schema).collect())) == rows
+
+
+def test_null_order_never_hides_a_row(spark):
+    from airshed.operators.upsert import last_per_key
+
+    df = spark.createDataFrame([(1, "a", None), (2, "b", None), (2, "c", 1)], "k long, v string, o int")
+    assert sorted(map(tuple, last_per_key(df, ["k"], "o").select("k", "v").collect())) == [(1, "a"), (2, "c")]
+    assert sorted(map(tuple, dedup_first(df, ["k"], "o").select("k", "v").collect())) == [(1, "a"), (2, "c")]

@@ -129,16 +129,52 @@ def test_yearly_backfill(spark, world):
     assert climate.count() == 12
 
 
-def test_climate_and_discharge_lengths_must_agree(spark, world):
+def test_climate_and_discharge_axes_must_agree(spark, world):
     root, cities = world
     chunks = P.select_city_chunks(spark, cities, os.path.join(root, "chunks"), n=100, size=2)
     raw = _raw_tables(spark, chunks, days=2)
     short = raw["discharge"].withColumn("river_discharge", F.slice("river_discharge", 1, 1)).withColumn(
         "end_s", F.col("start_s") + 86400
     )
-    with pytest.raises(ValueError, match="differ in length"):
-        P.climate_daily(raw["climate"], short, chunks)
+    shifted = raw["discharge"].withColumns({c: F.col(c) + 86400 for c in ("start_s", "end_s")})
+    for other in (short, shifted):
+        with pytest.raises(Exception, match="differ in their time axis"):
+            P.climate_daily(raw["climate"], other, chunks).collect()
     assert P.climate_daily(raw["climate"], short, chunks, how="left", strict=False).count() == 8
+    assert P.climate_daily(raw["climate"], shifted, chunks, strict=False).count() == 4
+    some = raw["discharge"].filter("chunk_id = 0")
+    assert P.climate_daily(raw["climate"], some, chunks).count() == 4
+    left = P.climate_daily(raw["climate"], some, chunks, how="left")
+    assert left.count() == 8 and left.filter("river_discharge IS NULL").count() == 4
+
+
+def test_climate_rows_are_not_shuffled_after_the_explode(spark, world):
+    root, cities = world
+    chunks = P.select_city_chunks(spark, cities, os.path.join(root, "chunks"), n=100, size=2)
+    raw = _raw_tables(spark, chunks, days=2)
+    plan = P.climate_daily(raw["climate"], raw["discharge"], chunks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate") == 1 and "Exchange" not in plan.split("Generate")[0]
+
+
+def test_fact_constraints_and_reruns(spark, world):
+    root, cities = world
+    chunks = P.select_city_chunks(spark, cities, os.path.join(root, "chunks"), n=100, size=2)
+    raw = _raw_tables(spark, chunks, days=3)
+    daily = P.climate_daily(raw["climate"], raw["discharge"], chunks)
+    copy, target = os.path.join(root, "copy"), os.path.join(root, "facts")
+    two = P.run_window("yearly", DAY, DAY + dt.timedelta(days=1))
+    load = lambda frame, **k: P.load_daily(spark, "climate", frame, two, copy, target, now=NOW, **k)
+    res = load(daily, cities=cities)
+    assert (res["rows"], res["outside"]) == (8, 4)
+    with pytest.raises(DataQualityError, match="not in the city table"):
+        load(daily, cities=cities.filter("city_id <> 11"))
+    with pytest.raises(DataQualityError, match="without date or city_id"):
+        load(daily.withColumn("city_id", F.when(F.col("city_id") != 11, F.col("city_id"))))
+    with pytest.raises(DataQualityError, match="no rows"):
+        load(daily.filter("city_id < 0"))
+    # a rerun of the window with one day less: the copy holds that day alone
+    load(daily.filter(F.col("date") == DAY), cities=cities)
+    assert spark.read.parquet(os.path.join(copy, os.listdir(copy)[0])).select("date").distinct().count() == 1
 
 
 def test_city_store_constraints_gate_bootstrap(spark, tmpdir_path):
@@ -180,9 +216,12 @@ def test_cli_cities_daily_backfill(spark, tmpdir_path):
     res = cli.main(["daily", "--day", DAY.isoformat(), "--raw", raw_dir, "--chunks", chunks_path, "--out", out], spark=spark)
     assert sorted(r["feed"] for r in res) == ["air_quality", "climate", "land_surface"]
     assert spark.read.parquet(os.path.join(out, "daily_air_quality")).count() == 4
-    other = cli.main(["daily", "--day", "2024-03-09", "--raw", raw_dir, "--chunks", chunks_path, "--out",
-                      os.path.join(tmpdir_path, "empty"), "--feeds", "air_quality"], spark=spark)
-    assert other[0]["feed"] == "air_quality"  # a day without raw rows loads nothing, without failing
+    with pytest.raises(DataQualityError, match="no rows"):  # a day without raw rows
+        cli.main(["daily", "--day", "2024-03-09", "--raw", raw_dir, "--chunks", chunks_path, "--out",
+                  os.path.join(tmpdir_path, "empty"), "--feeds", "air_quality"], spark=spark)
+    with pytest.raises(ValueError, match="none"):
+        cli.main(["daily", "--day", DAY.isoformat(), "--raw", os.path.join(tmpdir_path, "nothing"), "--chunks", chunks_path,
+                  "--out", os.path.join(tmpdir_path, "empty")], spark=spark)
     empty = os.path.join(tmpdir_path, "empty", "daily_air_quality")
     assert not any(f.endswith(".parquet") for _, _, fs in os.walk(empty) for f in fs)
     back = os.path.join(tmpdir_path, "back")

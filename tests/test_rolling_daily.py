@@ -4,7 +4,6 @@ import datetime as dt
 import math
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,10 +23,16 @@ HOURLY = T.StructType(
 )
 
 
-def _pandas_rolling(pdf, key, order, col, rows=8, by=None):
-    pdf = pdf.sort_values([key, order])
-    groups = [key] + ([by] if by else [])
-    return pdf.groupby(groups)[col].transform(lambda x: x.rolling(window=rows, min_periods=rows).mean())
+def _rolling_loop(rows, width=8):
+    """rows (key, time, value): mean of the last ``width`` values of the key, row by row."""
+    out, last = {}, {}
+    for key, time, value in sorted(rows, key=lambda r: (r[0], r[1])):
+        held = last.setdefault(key, [])
+        held.append(None if value is None or value != value else value)
+        frame = held[-width:]
+        full = len(frame) == width and None not in frame
+        out[key, time] = math.fsum(frame) / width if full else None
+    return out
 
 
 def _random_series(n_keys=5, per_key=(0, 40), seed=1, gaps=0.15):
@@ -45,18 +50,14 @@ def _random_series(n_keys=5, per_key=(0, 40), seed=1, gaps=0.15):
 
 
 @pytest.mark.parametrize("bucket_rows", [None, 7, 16, 1 << 16])
-def test_rolling_matches_pandas(spark, bucket_rows):
+def test_rolling_matches_a_plain_loop(spark, bucket_rows):
     rows = _random_series(n_keys=6, per_key=(0, 60))
     df = spark.createDataFrame(rows, "k long, t timestamp, v double")
-    got = rolling_mean(df, ["v"], key="k", order="t", outputs=["r"], bucket_rows=bucket_rows).toPandas()
-    pdf = pd.DataFrame(rows, columns=["k", "t", "v"])
-    pdf["r"] = _pandas_rolling(pdf, "k", "t", "v")
-    m = got.merge(pdf, on=["k", "t"], suffixes=("", "_pd"))
-    assert len(m) == len(pdf)
-    for a, b in zip(m["r"], m["r_pd"]):
-        assert (a is None or (isinstance(a, float) and math.isnan(a))) == (b is None or math.isnan(b))
-        if b is not None and not math.isnan(b):
-            assert a == pytest.approx(b, abs=1e-9)
+    got = {(r.k, r.t): r.r for r in rolling_mean(df, ["v"], key="k", order="t", outputs=["r"], bucket_rows=bucket_rows).collect()}
+    want = _rolling_loop(rows)
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == (None if v is None else pytest.approx(v, abs=1e-9))
 
 
 def test_rolling_edges_7_8_9_rows(spark):
@@ -105,36 +106,40 @@ def _hourly_fixture():
     return rows
 
 
-def _pandas_daily(rows, co_src="carbon_monoxide"):
-    cols = ["date", "city_id", "pm10", "pm2_5", "carbon_monoxide", "nitrogen_dioxide", "sulphur_dioxide", "ozone", "carbon_dioxide"]
-    df = pd.DataFrame(rows, columns=cols)
-    df["city_id"] = df["city_id"].astype("Int64")
-    df = df.astype({c: "float64" for c in cols[2:]})
-    df = df.dropna(subset=["city_id"]).sort_values(["city_id", "date"])
-    df["day"] = df["date"].dt.date
-    df["o3"] = df.groupby("city_id")["ozone"].transform(lambda x: x.rolling(8, min_periods=8).mean())
-    df["co"] = df.groupby("city_id")[co_src].transform(lambda x: x.rolling(8, min_periods=8).mean())
-    g = df.groupby(["city_id", "day"])
-    return g.agg(
-        pm2_5_mean=("pm2_5", "mean"), pm10_mean=("pm10", "mean"), carbon_dioxide_mean=("carbon_dioxide", "mean"),
-        ozone_8h_max=("o3", "max"), carbon_monoxide_8h_max=("co", "max"),
-        nitrogen_dioxide_1h_max=("nitrogen_dioxide", "max"), sulphur_dioxide_1h_max=("sulphur_dioxide", "max"),
-    ).reset_index()
+def _daily_loop(rows):
+    """(city, day) -> the seven measures, from plain loops over the hours."""
+    known = [r for r in rows if r[1] is not None]
+    ozone = _rolling_loop([(r[1], r[0], r[7]) for r in known])
+    monoxide = _rolling_loop([(r[1], r[0], r[4]) for r in known])
+    days = {}
+    for r in known:
+        days.setdefault((r[1], r[0].date()), []).append(r)
+    real = lambda values: [v for v in values if v is not None and v == v]
+    mean = lambda values: sum(v) / len(v) if (v := real(values)) else None
+    most = lambda values: max(real(values), default=None)
+    return {
+        key: {
+            "pm2_5_mean": mean(r[3] for r in hours),
+            "pm10_mean": mean(r[2] for r in hours),
+            "carbon_dioxide_mean": mean(r[8] for r in hours),
+            "ozone_8h_max": most(ozone[r[1], r[0]] for r in hours),
+            "carbon_monoxide_8h_max": most(monoxide[r[1], r[0]] for r in hours),
+            "nitrogen_dioxide_1h_max": most(r[5] for r in hours),
+            "sulphur_dioxide_1h_max": most(r[6] for r in hours),
+        }
+        for key, hours in days.items()
+    }
 
 
 @pytest.mark.parametrize("bucket_rows", [None, 7])
-def test_daily_air_quality_matches_pandas(spark, bucket_rows):
+def test_daily_air_quality_matches_a_plain_loop(spark, bucket_rows):
     rows = _hourly_fixture()
-    got = daily_aggregate(spark.createDataFrame(rows, HOURLY), AQ_SPEC, bucket_rows=bucket_rows).toPandas()
-    want = _pandas_daily(rows)
+    got = daily_aggregate(spark.createDataFrame(rows, HOURLY), AQ_SPEC, bucket_rows=bucket_rows).collect()
+    want = _daily_loop(rows)
     assert len(got) == len(want) == 4
-    m = got.merge(want, left_on=["city_id", "date"], right_on=["city_id", "day"], suffixes=("", "_pd"))
-    for c in [m_.out for m_ in AQ_SPEC]:
-        for a, b in zip(m[c], m[c + "_pd"]):
-            if b is None or (isinstance(b, float) and math.isnan(b)):
-                assert a is None or math.isnan(a), c
-            else:
-                assert a == pytest.approx(b), c
+    for r in got:
+        for c, v in want[r.city_id, r.date].items():
+            assert r[c] == (None if v is None else pytest.approx(v)), c
 
 
 def test_daily_co_reads_its_own_column_and_legacy_mode(spark):
@@ -170,31 +175,18 @@ def test_null_keys_are_dropped(spark):
     assert daily_aggregate(df).filter(F.col("city_id").isNull()).count() == 0
 
 
-@pytest.mark.parametrize("small_rows", [0, 10_000])
-def test_ordinal_paths_agree(spark, small_rows):
+def test_ordinal_is_the_sorted_position(spark):
     from airshed.operators.ordinal import with_ordinal
 
     rows = [(k % 7, (k * 7919) % 1000, k) for k in range(2000)]
     df = spark.createDataFrame(rows, "a int, b int, id int").repartition(5)
-    got = with_ordinal(df, ["a", "b", "id"], small_rows=small_rows).orderBy("_ord").collect()
-    want = sorted(rows)
-    assert [(r.a, r.b, r.id) for r in got] == want
+    out = with_ordinal(df, ["a", "b", "id"])
+    assert dict(out.dtypes)["_ord"] == "bigint"
+    got = out.orderBy("_ord").collect()
+    assert [(r.a, r.b, r.id) for r in got] == sorted(rows)
     assert [r._ord for r in got] == list(range(2000))
-
-
-def test_bucketed_rolling_through_checkpointed_ordinal(spark, monkeypatch):
-    from airshed.operators import ordinal
-
-    monkeypatch.setattr(ordinal, "SMALL_ROWS", 0)
-    rows = _random_series(n_keys=4, per_key=(20, 80), seed=7)
-    df = spark.createDataFrame(rows, "k long, t timestamp, v double")
-    got = {(r.k, r.t): r.r for r in rolling_mean(df, ["v"], key="k", order="t", outputs=["r"], bucket_rows=9).collect()}
-    ref = {(r.k, r.t): r.r for r in rolling_mean(df, ["v"], key="k", order="t", outputs=["r"], bucket_rows=None).collect()}
-    assert got.keys() == ref.keys()
-    for k in ref:
-        assert (got[k] is None) == (ref[k] is None)
-        if ref[k] is not None:
-            assert got[k] == pytest.approx(ref[k], abs=1e-9)
+    empty = with_ordinal(df.limit(0), ["a", "b", "id"])
+    assert empty.count() == 0 and dict(empty.dtypes)["_ord"] == "bigint"
 
 
 def test_hot_key_third_of_rows(spark):
@@ -213,4 +205,4 @@ def test_hot_key_third_of_rows(spark):
     assert len(a) == len(rows) and a.keys() == b.keys()
     assert all((a[x] is None) == (b[x] is None) and (a[x] is None or abs(a[x] - b[x]) < 1e-9) for x in b)
     plan = split._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi" in plan and "LeftAnti" in plan  # hot rows split off, cold rows plain
+    assert "LeftAnti" in plan and "airshed-ordinal" in plan  # cold rows plain, hot rows by position

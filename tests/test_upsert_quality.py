@@ -212,14 +212,77 @@ def test_merge_into_leaves_no_staging_copy(spark, tmpdir_path):
     assert after == before
 
 
-def test_orphans_large_dimension_path(spark):
+def test_orphans_with_a_hot_key(spark):
     cities = spark.createDataFrame([(k,) for k in range(0, 50)], "city_id long")
     fact = spark.createDataFrame(
-        [(D1, 0)] * 300 + [(D1, k) for k in range(40, 60)] + [(D1, None)], "date date, city_id long"
+        [(D1, 0)] * 300 + [(D1, 55)] * 300 + [(D1, k) for k in range(40, 60)] + [(D1, None)], "date date, city_id long"
     )
-    small = sorted(r.city_id for r in Q.orphans(fact, cities).collect())
-    large = sorted(r.city_id for r in Q.orphans(fact, cities, broadcast_max_rows=10).collect())
-    assert small == large == list(range(50, 60))
+    assert sorted(r.city_id for r in Q.orphans(fact, cities).collect()) == sorted(list(range(50, 60)) + [55] * 300)
+
+
+def _merge_rows(spark, path):
+    return sorted(map(tuple, spark.read.parquet(path).select("date", "city_id", "m").collect()))
+
+
+def test_merge_into_casts_keys_first(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    merge_into(spark, path, spark.createDataFrame([(D1, 1, 1.0), (D1, 2, 2.0)], "date date, city_id long, m double"), ["date", "city_id"], now=T0)
+    at_six = spark.createDataFrame([(dt.datetime(2024, 5, 1, 6), 3, 3.0)], "date timestamp, city_id int, m double")
+    merge_into(spark, path, at_six, ["date", "city_id"], now=NOW)
+    assert _merge_rows(spark, path) == [(D1, 1, 1.0), (D1, 2, 2.0), (D1, 3, 3.0)]
+    twice = spark.createDataFrame([(dt.datetime(2024, 5, 1, h), 3, 3.0) for h in (6, 7)], "date timestamp, city_id int, m double")
+    with pytest.raises(ValueError, match="duplicate"):
+        merge_into(spark, path, twice, ["date", "city_id"], now=NOW)
+
+
+@pytest.mark.parametrize("row", [(None, 1, 1.0), (D1, None, 1.0)])
+def test_merge_into_rejects_null_keys(spark, tmpdir_path, row):
+    path = os.path.join(tmpdir_path, "t")
+    schema = "date date, city_id long, m double"
+    merge_into(spark, path, spark.createDataFrame([(D1, 1, 1.0)], schema), ["date", "city_id"], now=T0)
+    with pytest.raises(ValueError, match="NULL keys"):
+        merge_into(spark, path, spark.createDataFrame([row], schema), ["date", "city_id"], now=NOW)
+    assert _merge_rows(spark, path) == [(D1, 1, 1.0)]
+
+
+def test_merge_into_checks_the_target_and_never_takes_a_bad_table_for_none(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    df = spark.createDataFrame([(D1, 1, 1.0), (D1, 1, 2.0)], "date date, city_id long, m double")
+    df.write.partitionBy("date").parquet(path)
+    with pytest.raises(ValueError, match="target has duplicate"):
+        merge_into(spark, path, df.limit(1), ["date", "city_id"], created_col=None)
+    broken = os.path.join(tmpdir_path, "broken")
+    os.makedirs(broken)
+    with open(os.path.join(broken, "x.parquet"), "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        merge_into(spark, broken, df.limit(1), ["city_id"], partition_col=None)
+    assert os.listdir(broken) == ["x.parquet"]
+
+
+def test_unpartitioned_merge_survives_a_broken_swap(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "cities")
+    schema = "city_id long, m double"
+    merge_into(spark, path, spark.createDataFrame([(1, 1.0)], schema), ["city_id"], partition_col=None, created_col=None)
+    os.rename(path, path + "__old")  # as if the job died between the two renames
+    merge_into(spark, path, spark.createDataFrame([(2, 2.0)], schema), ["city_id"], partition_col=None, created_col=None)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, 1.0), (2, 2.0)]
+    assert sorted(os.listdir(tmpdir_path)) == ["cities"]
+
+
+def test_chunk_files_replace_all_chunks(spark, tmpdir_path):
+    from airshed.sources.writers import write_chunks
+
+    path = os.path.join(tmpdir_path, "chunks")
+    write_chunks(spark.createDataFrame([(c, 0, c) for c in range(3)], "chunk_id int, pos int, city_id long"), path)
+    write_chunks(spark.createDataFrame([(0, 0, 9)], "chunk_id int, pos int, city_id long"), path)
+    assert [r.city_id for r in spark.read.parquet(path).collect()] == [9]
+
+
+def test_nan_is_within_no_bounds(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,), (None,)], "v double")
+    r = Q.run_suite(df, [Q.between("v", 0, None)]).first()
+    assert (r.evaluated, r.unexpected, r.success) == (2, 1, False)
 
 
 def test_merge_into_crash_before_commit_then_rerun(spark, tmpdir_path, monkeypatch):
