@@ -3,7 +3,8 @@
 import pytest
 
 from airshed.llm import queries
-from airshed.plans.oracle import compare
+
+from ..oracle import compare
 
 SF01 = "/root/testdata/sf0.01"
 
