@@ -19,6 +19,8 @@ empty table gives an empty result; only the named columns are read.
 from __future__ import annotations
 
 import os
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -57,9 +59,17 @@ def load_tokenizer(name: str):
     return tokenizer
 
 
+def _kept_tokenizer(name: str):
+    """One per Python worker, kept over its tasks: loading it takes long."""
+    kept = sys.modules.setdefault("_kept_tokenizers", types.ModuleType("_kept_tokenizers"))
+    if name not in vars(kept):
+        setattr(kept, name, load_tokenizer(name))
+    return getattr(kept, name)
+
+
 def _write_segments(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = load_tokenizer(tokenizer)
+        encoder = _kept_tokenizer(tokenizer)
         shard, first, held = 0, 0, 0
         docs: list[int | None] = []
         ids: list[np.ndarray] = []
@@ -89,7 +99,7 @@ def _write_segments(tokenizer: str):
 def write_ids(docs: DataFrame, dest: str, tokenizer: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Tokenise and write all documents below ``dest``, in order of their ids."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 64)  # an encoding takes some hundred bytes a token
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     in_order = rows.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
     numbered = in_order.withColumn("shard", F.spark_partition_id())
