@@ -14,7 +14,7 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app="airshed-tests", shuffle_partitions=8)
+    s = build_session("local[4]", app="airshed-tests", shuffle_partitions=8, extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="airshed-ckpt-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
