@@ -3,6 +3,7 @@
 import contextlib
 import io
 import os
+import shutil
 import subprocess
 import sys
 
@@ -27,19 +28,16 @@ def test_entry_adds_the_optional_queries():
     assert set(QUERIES) <= names and set(entry.oracle_sql()) <= names
 
 
-def test_entry_without_the_optional_folders():
-    code = (
-        "import sys\n"
-        "class Absent:\n"
-        "    def find_spec(self, name, path=None, target=None):\n"
-        "        if name in ('airshed.llm', 'corpus_pipeline'):\n"
-        "            raise ModuleNotFoundError(name, name=name)\n"
-        "sys.meta_path.insert(0, Absent())\n"
-        "import __spark_entry__ as e\n"
-        "print(len(e.queries()), len(e.oracle_sql()))\n"
-    )
+@pytest.mark.parametrize("left", [False, True])
+def test_entry_without_the_optional_folders(tmp_path, left):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    shutil.copytree(f"{root}/airshed", tmp_path / "airshed", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    if left:
+        (tmp_path / "airshed" / "llm" / "__pycache__").mkdir(parents=True)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, check=True).stdout.split()
     assert out == [str(len(QUERIES)), str(len(SQL))]
 
 
