@@ -20,7 +20,7 @@ from airshed.operators.cities import (
     top_cities_sql,
 )
 from airshed.operators.combine import outer_combine, union_chunks
-from airshed.operators.daily import AQ_SPEC, Metric, daily_aggregate, daily_air_quality
+from airshed.operators.daily import AQ_SPEC, Metric, daily_aggregate
 from airshed.operators.ordinal import with_ordinal
 from airshed.operators.quality import (
     AIR_QUALITY_SUITE,
@@ -41,7 +41,7 @@ __all__ = [
     "AIR_QUALITY_SUITE", "CLIMATE_SUITE", "DAILY_AIR_QUALITY", "DAILY_CLIMATE", "DAILY_LAND_SURFACE",
     "LAND_SURFACE_SUITE", "merge_into",
     "AQ_SPEC", "Metric", "RunWindow", "assign_chunks", "build_session", "cast_integral", "checkpoint_dir",
-    "clean_cities", "daily_aggregate", "daily_air_quality", "dedup_first", "explode_series", "gate",
+    "clean_cities", "daily_aggregate", "dedup_first", "explode_series", "gate",
     "in_window", "join_discharge", "null_nan", "null_sentinel", "orphans", "outer_combine",
     "pivot_keyed_series", "quantize", "request_batches", "rolling_mean", "run_suite", "run_window",
     "scan_position", "to_spec", "top_cities", "top_cities_sql", "union_chunks", "upsert", "with_ordinal",

@@ -10,11 +10,6 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def epoch_to_ts(seconds: str | Column) -> Column:
-    """Epoch seconds -> UTC timestamp."""
-    return F.timestamp_seconds(_c(seconds))
-
-
 def step_times(start_s: str | Column, end_s: str | Column, step_s: str | Column) -> Column:
     """Timestamps start, start+step, ... strictly before end (left-closed range)."""
     start, end, step = _c(start_s), _c(end_s), _c(step_s)
@@ -31,15 +26,6 @@ def parse_yyyymmdd(c: str | Column) -> Column:
     return F.to_date(_c(c), "yyyyMMdd")
 
 
-def to_day(c: str | Column) -> Column:
-    """Calendar day of a timestamp (UTC session) or date string."""
-    return F.to_date(_c(c))
-
-
-def day_before(c: str | Column, days: int = 1) -> Column:
-    return F.date_sub(_c(c), days)
-
-
 def batch_params(c: str | Column) -> list[Column]:
     """Zero-padded year / month / day strings of a date."""
     d = _c(c)

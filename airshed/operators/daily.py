@@ -94,7 +94,3 @@ def daily_aggregate(
         else:
             aggs.append(_SIMPLE[m.how](F.col(m.src)).alias(m.out))
     return df.groupBy(F.col(key), F.col("_day").alias("date")).agg(*aggs)
-
-
-def daily_air_quality(hourly: DataFrame, spec=AQ_SPEC, **kw) -> DataFrame:
-    return daily_aggregate(hourly, spec, **kw)
