@@ -198,6 +198,33 @@ def test_leaks_against_brute_force(spark):
     assert exact <= got.keys() and all(got[p]["lcs_share"] == 1 for p in exact)
 
 
+def fresh(rng, n):
+    """Words that nothing else has."""
+    return ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(14)) for _ in range(n)]
+
+
+def changed_evenly(rng, words, share, answer):
+    """Every word but those of the answer may change; ``share`` of all stay."""
+    n, change = len(words) - answer, round(len(words) * (1 - share))
+    at = {k * n // change for k in range(change)}
+    return [fresh(rng, 1)[0] if i in at else w for i, w in enumerate(words)]
+
+
+def test_leaks_with_few_shared_words_in_every_passage(spark):
+    """At 60 to 70 % of an item's words few passages share 8 words of 12."""
+    rng = random.Random(31)
+    items = [(i, " ".join(fresh(rng, 22)) + ". " + " ".join(fresh(rng, 3))) for i in range(30)]
+    rows = []
+    for i in range(300):
+        copy = changed_evenly(rng, norm(items[i % 30][1]), 0.62, 3)
+        assert 0.6 <= lcs_len(copy, norm(items[i % 30][1])) / 25 < 0.8
+        rows.append((i, " ".join(fresh(rng, 40) + copy + fresh(rng, 40)), "en", "s", 1))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.leaks(spark.createDataFrame(rows, DOC_SCHEMA), bench, fit_docs=10).collect()}
+    assert got.keys() <= {(i, i % 30) for i in range(300)} and len(got) >= 270
+    assert all(r["answer_found"] and 0.6 <= r["lcs_share"] < 0.8 for r in got.values())
+
+
 @pytest.mark.parametrize("rows", [[], awkward_docs()])
 @pytest.mark.parametrize("items", [[], [(1, awkward_docs()[9][1]), (None, None), (3, "x"), (4, "")]])
 def test_leaks_awkward_rows(spark, rows, items):
