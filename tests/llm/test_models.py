@@ -225,6 +225,44 @@ def test_leaks_with_few_shared_words_in_every_passage(spark):
     assert all(r["answer_found"] and 0.6 <= r["lcs_share"] < 0.8 for r in got.values())
 
 
+@pytest.mark.parametrize("known", [0, 0.2])
+def test_leaks_finds_exact_copies_of_short_items(spark, known):
+    """Items of 6 to 21 words inside longer documents, at the edges too; some
+    words around them are the benchmark's."""
+    rng = random.Random(33)
+    items = [(n, " ".join(fresh(rng, n))) for n in range(decontaminate.MIN_ITEM, 22)]
+    vocabulary = [w for _, t in items for w in norm(t)]
+    around = lambda n: [rng.choice(vocabulary) if rng.random() < known else w for w in fresh(rng, n)]
+    rows, want = [], set()
+    for i in range(20 * len(items)):
+        n, text = items[i % len(items)]
+        before = 0 if i < len(items) else rng.randint(1, 60)
+        after = 0 if i >= 19 * len(items) else rng.randint(1, 60)
+        rows.append((i, " ".join(around(before) + norm(text) + around(after)), "en", "s", 1))
+        want.add((i, n, 1.0, True, before))
+    docs = spark.createDataFrame(rows, DOC_SCHEMA).repartition(3)
+    got = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string"), fit_docs=10).collect()
+    assert {tuple(r)[:4] for r in got} == {w[:4] for w in want}
+    short = decontaminate.WINDOW + decontaminate.ANCHOR_RUN
+    assert {tuple(r) for r in got if r["item_id"] < short} == {w for w in want if w[1] < short}
+
+
+def test_leaks_of_short_items_match_brute_force(spark):
+    """Paraphrases of short items: the verdict at every place decides."""
+    rng = random.Random(34)
+    items = [(n, " ".join(fresh(rng, n - 2)) + ". " + " ".join(fresh(rng, 2))) for n in range(decontaminate.MIN_ITEM, 20)]
+    rows, want = [], set()
+    for i in range(10 * len(items)):
+        n, text = items[i % len(items)]
+        copy = changed_evenly(rng, norm(text), rng.choice([0.62, 0.75, 0.9]), 2)
+        rows.append((i, " ".join(fresh(rng, 30) + copy + fresh(rng, 30)), "en", "s", 1))
+        if lcs_len(copy, norm(text)) / n >= 0.6:
+            want.add((i, n))
+    docs = spark.createDataFrame(rows, DOC_SCHEMA)
+    got = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string"), fit_docs=10).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
+
+
 @pytest.mark.parametrize("rows", [[], awkward_docs()])
 @pytest.mark.parametrize("items", [[], [(1, awkward_docs()[9][1]), (None, None), (3, "x"), (4, "")]])
 def test_leaks_awkward_rows(spark, rows, items):
