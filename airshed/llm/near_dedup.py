@@ -1,10 +1,11 @@
 """MinHash near-dedup with an LSH forest.
 
-A document's set are its distinct word 3-shingles; documents are linked if
-their sets have a Jaccard similarity of at least 0.85, confirmed on full sets.
+A document's set are its distinct word shingles; documents are linked if their
+sets have a Jaccard similarity of at least ``percent``, confirmed on full sets.
+op3 has 3 words and 85 %; ``near_duplicates`` takes other values too.
 
 1. One pass over the texts gives each document's set size, a 128-bit
-   fingerprint of the set, and a signature of TREES x DEPTH minhashes. Equal
+   fingerprint of the set, and a signature of trees x DEPTH minhashes. Equal
    fingerprints are copies: only the smallest id of a class goes on.
 2. The forest: each tree has its own DEPTH minhashes of a document, in order.
    All (tree, signature) rows are range-sorted, which no hot prefix can keep
@@ -23,10 +24,10 @@ their sets have a Jaccard similarity of at least 0.85, confirmed on full sets.
 5. Components of all confirmed links give the class of every document.
 
 A linked pair shares MIN_DEPTH minhashes in some tree with probability at
-least 1 - (1 - 0.85**3)**12 = 0.99999.
+least 1 - MISSED = 0.99999: 12 trees at 85 % (1 - (1 - 0.85**3)**12), 16 at 80 %.
 
 Defined cases: null or blank text has an empty set and is linked with nothing;
-with fewer than 3 words the whole sequence is the one shingle; rows with the
+with fewer words than a shingle the whole sequence is the one shingle; rows with the
 same id are one node (linked with each other); a null id belongs to its copies'
 component, is linked to nothing else and kept unless it has copies with an id;
 an empty table gives an empty result; only the named columns are read.
@@ -34,7 +35,10 @@ an empty table gives an empty result; only the named columns are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -48,15 +52,36 @@ from airshed.session import shuffle_partitions
 
 SHINGLE = 3
 PERCENT = 85
-TREES, DEPTH, MIN_DEPTH = 12, 8, 3
+DEPTH, MIN_DEPTH = 8, 3
+MISSED = 1.1e-5
 FIRST_TREES = 6
 BLOCK = 1024
 
 _PREFIX = 1 + 4 * MIN_DEPTH  # bytes of a region's key: tree, then values
-_MINHASHES = TREES * DEPTH
-_P = PERCENT / 100 + (1 - PERCENT / 100) / 4
-#: Least number of equal 2-bit values of two sketches.
-MIN_EQUAL = int(_MINHASHES * _P - 5 * (_MINHASHES * _P * (1 - _P)) ** 0.5)
+
+
+class Rule(NamedTuple):
+    """Words of a shingle, least similarity, and what follows from them."""
+
+    width: int = SHINGLE
+    percent: int = PERCENT
+
+    @property
+    def trees(self) -> int:
+        """Trees that miss a linked pair with probability MISSED at most (a
+        multiple of 4: sketches are whole 8-byte words)."""
+        p = (self.percent / 100) ** MIN_DEPTH
+        return 4 * math.ceil(math.log(MISSED) / math.log(1 - p) / 4) if p < 1 else 4
+
+    @property
+    def minhashes(self) -> int:
+        return self.trees * DEPTH
+
+    @property
+    def min_equal(self) -> int:
+        """Least number of equal 2-bit values of two sketches."""
+        p = self.percent / 100 + (1 - self.percent / 100) / 4
+        return int(self.minhashes * p - 5 * (self.minhashes * p * (1 - p)) ** 0.5)
 
 
 def shingle_hashes(words: np.ndarray, cut: np.ndarray, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -78,18 +103,19 @@ def shingle_hashes(words: np.ndarray, cut: np.ndarray, width: int = SHINGLE) ->
 
 
 class MinHasher:
-    def __init__(self):
+    def __init__(self, n: int):
         rng = np.random.default_rng(85)
-        self.flip = rng.integers(0, 1 << 32, _MINHASHES, dtype=np.uint32)
-        self.odd = rng.integers(0, 1 << 32, _MINHASHES, dtype=np.uint32) | np.uint32(1)
+        self.n = n
+        self.flip = rng.integers(0, 1 << 32, n, dtype=np.uint32)
+        self.odd = rng.integers(0, 1 << 32, n, dtype=np.uint32) | np.uint32(1)
 
     def __call__(self, shingles: np.ndarray, cut: np.ndarray) -> np.ndarray:
         """One row of big-endian minhashes per text; all ones for empty sets."""
-        out = np.full((len(cut) - 1, _MINHASHES), 0xFFFFFFFF, ">u4")
+        out = np.full((len(cut) - 1, self.n), 0xFFFFFFFF, ">u4")
         full = np.flatnonzero(np.diff(cut))
         if len(full):
             x = (shingles >> np.uint64(32)).astype(np.uint32) ^ shingles.astype(np.uint32)
-            for k in range(_MINHASHES):
+            for k in range(self.n):
                 out[full, k] = np.minimum.reduceat((x ^ self.flip[k]) * self.odd[k], cut[full])
         return out
 
@@ -103,19 +129,19 @@ def _sketch(minhashes: np.ndarray) -> np.ndarray:
 def _equal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Number of equal 2-bit values of sketches (rows of 8-byte words)."""
     x = a ^ b
-    return _MINHASHES - np.bitwise_count((x | x >> np.uint64(1)) & np.uint64(0x5555555555555555)).sum(axis=-1, dtype=np.int64)
+    return 32 * x.shape[-1] - np.bitwise_count((x | x >> np.uint64(1)) & np.uint64(0x5555555555555555)).sum(axis=-1, dtype=np.int64)
 
 
-def _near(n_a, n_b) -> np.ndarray:
-    return 100 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b)
+def _near(n_a, n_b, percent: int) -> np.ndarray:
+    return 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher, minhash = WordHasher(), MinHasher()
+def _signatures(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hasher, minhash = WordHasher(), MinHasher(rule.minhashes)
     for b in batches:
         size, fp1, fp2, sig, sketch = [], [], [], [], []
         for _, texts in chunked(text_bytes(b)):
-            h, cut = shingle_hashes(*hasher(texts))
+            h, cut = shingle_hashes(*hasher(texts), rule.width)
             rows = minhash(h, cut)
             sig += [r.tobytes() for r in rows]
             sketch += [r.tobytes() for r in _sketch(rows)]
@@ -137,7 +163,7 @@ def _fixed(col: pa.Array, width: int) -> np.ndarray:
 _EVENT = ["kind", "region", "a", "b", "n", "sketch"]
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _neighbours(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over rows in sorted order: 'pair' for neighbours in a region of the first
     trees, 'member' for all rows of regions with more than one row here, and for
     the first and last row, whose regions may go on in another partition."""
@@ -147,14 +173,14 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows(b: pa.RecordBatch):
         return (
             _fixed(column(b, "key"), width), np.asarray(column(b, "node")), np.asarray(column(b, "n")),
-            _fixed(column(b, "sketch"), _MINHASHES // 4).copy().view(np.uint64),
+            _fixed(column(b, "sketch"), rule.minhashes // 4).copy().view(np.uint64),
         )
 
     def emit(part, member, same):
         key, node, n, sketch = part
         i = np.flatnonzero(same & (key[1:, 0] < FIRST_TREES))
         if len(i):
-            i = i[_near(n[i], n[i + 1]) & (_equal(sketch[i], sketch[i + 1]) >= MIN_EQUAL) & (node[i] != node[i + 1])]
+            i = i[_near(n[i], n[i + 1], rule.percent) & (_equal(sketch[i], sketch[i + 1]) >= rule.min_equal) & (node[i] != node[i + 1])]
         m = np.flatnonzero(member)
         k, z = len(i), len(m)
         return pa.RecordBatch.from_arrays(
@@ -197,30 +223,31 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     common = _common(x, y)
-    return 100 * common >= PERCENT * (len(x) + len(y) - common)
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def _settle_block(rows: list[tuple]) -> list[tuple[int, int]]:
+def _settle_block(rule: Rule, rows: list[tuple]) -> list[tuple[int, int]]:
     """Links that join different components of a block, likeliest pairs first.
     A pair that shares a region in an earlier tree is settled there."""
     _, tree, node, comp, n, side, sketch, shingles, prefixes = zip(*rows, strict=True)
     node, n, side = np.array(node), np.array(n), np.array(side)
     sketch = np.frombuffer(b"".join(sketch), np.uint64).reshape(len(rows), -1)
-    prefixes = np.frombuffer(b"".join(prefixes), f"V{4 * MIN_DEPTH}").reshape(len(rows), TREES)[:, : tree[0]]
+    prefixes = np.frombuffer(b"".join(prefixes), f"V{4 * MIN_DEPTH}").reshape(len(rows), rule.trees)[:, : tree[0]]
     ids = {c: i for i, c in enumerate(dict.fromkeys(comp))}
     comp = np.array([ids[c] for c in comp])
     two = side.any() and not side.all()
+    percent, min_equal = rule.percent, rule.min_equal
     found = []
     for i in range(len(rows) - 1):
-        ok = (comp[i + 1 :] != comp[i]) & _near(n[i + 1 :], n[i])
+        ok = (comp[i + 1 :] != comp[i]) & _near(n[i + 1 :], n[i], percent)
         if two:
             ok &= side[i + 1 :] != side[i]
         j = np.flatnonzero(ok) + i + 1
         if len(j):
             equal = _equal(sketch[j], sketch[i])
-            j, equal = j[equal >= MIN_EQUAL], equal[equal >= MIN_EQUAL]
+            j, equal = j[equal >= min_equal], equal[equal >= min_equal]
         if len(j) and tree[0]:
             new = ~(prefixes[j] == prefixes[i]).any(axis=1)
             j, equal = j[new], equal[new]
@@ -240,7 +267,7 @@ def _settle_block(rows: list[tuple]) -> list[tuple[int, int]]:
     links = []
     for i, j, _ in found[np.argsort(-found[:, 2], kind="stable")].tolist():
         x, y = find(comp[i]), find(comp[j])
-        if x != y and _linked(sets[i], sets[j]):
+        if x != y and _linked(sets[i], sets[j], percent):
             root[x] = y
             links.append((int(node[i]), int(node[j])))
     return links
@@ -249,7 +276,7 @@ def _settle_block(rows: list[tuple]) -> list[tuple[int, int]]:
 _BLOCK_COLS = ("block", "tree", "node", "comp", "n", "side", "sketch", "shingles", "prefixes")
 
 
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _settle(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``_settle_block`` for every block of a partition sorted by block."""
 
     def out(links):
@@ -260,47 +287,49 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in zip(*(column(batch, c).to_pylist() for c in _BLOCK_COLS), strict=True):
             if held and held[0][0] != r[0]:
                 if len(held) > 1:
-                    yield out(_settle_block(held))
+                    yield out(_settle_block(rule, held))
                 held = []
             held.append(r)
     if len(held) > 1:
-        yield out(_settle_block(held))
+        yield out(_settle_block(rule, held))
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Full sets, and the least-depth prefix of every tree."""
-    hasher, minhash = WordHasher(), MinHasher()
+    hasher, minhash = WordHasher(), MinHasher(rule.minhashes)
     for b in batches:
         out, prefixes = [], []
         for _, texts in chunked(text_bytes(b)):
-            h, cut = shingle_hashes(*hasher(texts))
-            heads = minhash(h, cut).reshape(len(texts), TREES, DEPTH)[:, :, :MIN_DEPTH]
+            h, cut = shingle_hashes(*hasher(texts), rule.width)
+            heads = minhash(h, cut).reshape(len(texts), rule.trees, DEPTH)[:, :, :MIN_DEPTH]
             out += [np.unique(h[cut[i] : cut[i + 1]]).tobytes() for i in range(len(texts))]
             prefixes += [x.tobytes() for x in heads]
         cols = [column(b, "doc_id"), pa.array(out, pa.binary()), pa.array(prefixes, pa.binary())]
         yield pa.RecordBatch.from_arrays(cols, names=["node", "shingles", "prefixes"])
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         both = zip(column(b, "set_a").to_pylist(), column(b, "set_b").to_pylist(), strict=True)
-        keep = pa.array([_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in both], pa.bool_())
+        keep = pa.array([_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), rule.percent) for x, y in both], pa.bool_())
         yield pa.RecordBatch.from_arrays([column(b, c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs whose full sets reach the similarity."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(_confirm, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(partial(_confirm, rule), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    spark = docs.sparkSession
+    spark, rule = docs.sparkSession, Rule(width, percent)
     small_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = materialize(rows.mapInArrow(_signatures, "doc_id long, n_shingles long, fp1 long, fp2 long, sig binary, sketch binary"), "dd-signed")
+    signed = materialize(rows.mapInArrow(partial(_signatures, rule), "doc_id long, n_shingles long, fp1 long, fp2 long, sig binary, sketch binary"), "dd-signed")
     classes = materialize(signed.where("n_shingles > 0").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("node")), "dd-classes")
     # the rows that stand for their class: its smallest id
     firsts = signed.where("n_shingles > 0").join(
@@ -311,24 +340,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("n_shingles").alias("n"),
         "sketch",
         F.explode(F.array(*[
-            F.concat(F.unhex(F.lit(f"{t:02x}")), F.substring("sig", 4 * DEPTH * t + 1, 4 * DEPTH)) for t in range(TREES)
+            F.concat(F.unhex(F.lit(f"{t:02x}")), F.substring("sig", 4 * DEPTH * t + 1, 4 * DEPTH)) for t in range(rule.trees)
         ])).alias("key"),
     )
     trees = materialize(trees, "dd-forest")
     in_order = trees.repartitionByRange(shuffle_partitions(spark), "key", "node").sortWithinPartitions("key", "node")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8192")
-    events = materialize(in_order.mapInArrow(_neighbours, "kind string, region binary, a long, b long, n long, sketch binary"), "dd-events")
+    events = materialize(in_order.mapInArrow(partial(_neighbours, rule), "kind string, region binary, a long, b long, n long, sketch binary"), "dd-events")
     release(trees)
     small_batches(spark)
     members = events.where("kind = 'member'").select("region", F.col("a").alias("node"), "n", "sketch")
     # sets of all documents that share a region with another one
     crowded = members.groupBy("region").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("region")
     nodes = members.join(crowded, "region", "left_semi").select(F.col("node").alias("doc_id")).distinct()
-    sets = materialize(rows.join(materialize(nodes, "dd-nodes"), "doc_id", "left_semi").mapInArrow(_sets, "node long, shingles binary, prefixes binary"), "dd-sets")
+    sets = materialize(rows.join(materialize(nodes, "dd-nodes"), "doc_id", "left_semi").mapInArrow(partial(_sets, rule), "node long, shingles binary, prefixes binary"), "dd-sets")
 
     first_pairs = events.where("kind = 'pair'").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first_pairs = materialize(first_pairs, "dd-pairs")
-    first_links = materialize(confirmed(first_pairs, sets), "dd-links")
+    first_links = materialize(confirmed(first_pairs, sets, rule), "dd-links")
     first = materialize(components(first_links), "dd-first").withColumnRenamed("node", "_n")
 
     placed = members.join(first, F.col("node") == F.col("_n"), "left")
@@ -345,7 +374,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tree = F.conv(F.hex(F.substring("region", 1, 1)), 16, 10).cast("int")
     dealt = dealt.select(block.alias("block"), tree.alias("tree"), "node", "comp", "n", "_b.side", "sketch").join(sets, "node")
     by_block = dealt.select(*_BLOCK_COLS).repartition("block").sortWithinPartitions("block", "node")
-    more_links = materialize(by_block.mapInArrow(_settle, "a long, b long"), "dd-links")
+    more_links = materialize(by_block.mapInArrow(partial(_settle, rule), "a long, b long"), "dd-links")
     for t in (sets, events, placed, mixed, first_pairs):
         release(t)
 

@@ -45,17 +45,17 @@ def test_components(spark, links):
     assert got == find_all([(a, b) for a, b in links if a != b])
 
 
-def brute_near(rows):
+def brute_near(rows, width=3, percent=85):
     sets = []
     for i, t, *_ in rows:
         w = words("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
-        sets.append({tuple(w[k : k + 3]) for k in range(max(1, len(w) - 2))} if w else set())
+        sets.append({tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set())
     ids = [("row", k) if r[0] is None else r[0] for k, r in enumerate(rows)]
     pairs = [(k, k) for k in range(len(rows))]
     for a in range(len(rows)):
         for b in range(a):
             common = len(sets[a] & sets[b])
-            linked = sets[a] and sets[b] and 100 * common >= 85 * len(sets[a] | sets[b])
+            linked = sets[a] and sets[b] and 100 * common >= percent * len(sets[a] | sets[b])
             if (linked and (sets[a] == sets[b] or None not in (rows[a][0], rows[b][0]))) or (ids[a] == ids[b] and sets[a] and sets[b]):
                 pairs.append((a, b))
     group = find_all(pairs)
@@ -218,3 +218,26 @@ def test_pipeline_stages(spark, tmp_path):
     assert ids[4] <= leak
     total = corpus_pipeline.run(spark, sf)
     assert total.count() == docs.count() and total.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_pipeline_near_dedup_is_five_words_at_80_percent(spark):
+    rng = random.Random(18)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    rows = []
+    for g in range(12):  # one block appended: 0.74 to 0.87 on five words
+        base = [word() for _ in range(100)]
+        rows += [(100 * g + 1, " ".join(base), "en", "s", 1), (100 * g + 2, " ".join(base + [word() for _ in range(14 + 2 * g)]), "en", "s", 1)]
+    for g in range(12, 24):  # isolated changes: 0.71 to 0.95 on five words, 0.82 to 0.97 on three
+        base = [word() for _ in range(200)]
+        w = list(base)
+        for k in range(1 + (g - 12) // 2):
+            w[20 + 25 * k] = word()
+        rows += [(100 * g + 1, " ".join(base), "en", "s", 1), (100 * g + 2, " ".join(w), "en", "s", 1)]
+    rows += awkward_docs()
+    want = {r[0] for r in brute_near(rows, 5, 80) if r[3]}
+    assert want - {None} != {r[0] for r in brute_near(rows) if r[3]} - {None}
+    docs = spark.createDataFrame(rows, DOC_SCHEMA)
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == want
+    judged = near_dedup.near_duplicates(docs, width=5, percent=80).collect()
+    same([tuple(r) for r in judged], brute_near(rows, 5, 80))
+    assert near_dedup.Rule().trees == 12 and near_dedup.Rule(5, 80).trees == 16
