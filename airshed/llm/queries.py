@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from airshed.llm import decontaminate, language_id, line_dedup, mixing, near_dedup, pii, quality_rules, token_ids, toxicity, warc
+from airshed.llm import conversation_repair, decontaminate, language_id, line_dedup, mixing, near_dedup, pii, quality_rules, token_ids, toxicity, warc
 
 QUERIES = {
     "op10_token_ids": token_ids.q_token_ids,
@@ -15,6 +15,7 @@ QUERIES = {
     "op4_quality_rules": quality_rules.q_quality_rules,
     "op6_mix_sources": mixing.q_mix,
     "op8_line_dedup": line_dedup.q_line_dedup,
+    "op11_conversation_repair": conversation_repair.q_conversation_repair,
 }
 
 ORACLE_SQL = {
@@ -22,4 +23,5 @@ ORACLE_SQL = {
     "op3_near_dedup": near_dedup.ORACLE,
     "op6_mix_sources": mixing.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
+    "op11_conversation_repair": conversation_repair.ORACLE,
 }
