@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from airshed.llm import conversation_repair, decontaminate, language_id, line_dedup, mixing, near_dedup, pii, quality_rules, source_audit, token_ids, toxicity, warc
+from airshed.llm import conversation_repair, decontaminate, language_id, line_dedup, mixing, near_dedup, pii, quality_classifier, quality_rules, source_audit, token_ids, toxicity, warc
 
 QUERIES = {
     "op10_token_ids": token_ids.q_token_ids,
@@ -16,6 +16,7 @@ QUERIES = {
     "op6_mix_sources": mixing.q_mix,
     "op8_line_dedup": line_dedup.q_line_dedup,
     "op11_conversation_repair": conversation_repair.q_conversation_repair,
+    "op12_quality_classifier": quality_classifier.q_quality_classifier,
     "op13_source_audit": source_audit.q_source_audit,
 }
 
