@@ -84,6 +84,69 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def list_folder(spark: SparkSession, path: str, before: float | None = None) -> list[str]:
+    """Names in a folder, sorted; those last changed up to ``before`` (epoch seconds)."""
+    fs, p = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if before is None or s.getModificationTime() / 1000 <= before)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder to a name that is not taken."""
+    fs, source = _hadoop(spark, path)
+    _, target = _hadoop(spark, to)
+    if not fs.rename(source, target):
+        raise OSError(f"can't move {path} to {to}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file (and its folders)."""
+    fs, p = _hadoop(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _hadoop(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> bool:
+    """Rename the folder ``staged`` to ``path`` unless there is one already.
+
+    False: another one was there first; ``staged`` is deleted. A file with a
+    name of its own in the folder tells whose it is: where a file system moves
+    or copies a folder *into* an existing one of that name, the mark is not at
+    the top. ``staged``'s own name has to begin with ``_``, so that readers
+    overlook such a stray until it is removed.
+    """
+    own = staged.rstrip("/").rpartition("/")[2]
+    if not own.startswith("_"):
+        raise ValueError(f"a staged folder's name begins with '_': {staged}")
+    mark = f"_owner-{uuid.uuid4().hex}"
+    write_text(spark, f"{staged}/{mark}", "")
+    if not path_exists(spark, path):
+        fs, source = _hadoop(spark, staged)
+        _, target = _hadoop(spark, path)
+        fs.rename(source, target)
+        if path_exists(spark, f"{path}/{mark}"):
+            return True
+        remove(spark, f"{path}/{own}")
+    remove(spark, staged)
+    return False
+
+
 def swap_in(spark: SparkSession, new: str, path: str) -> None:
     """Put the folder ``new`` in the place of ``path``. The version before is
     kept as ``path__old`` until the new one is in place."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from airshed.operators.cities import scan_position
 from airshed.schemas import WORLD_CITIES_CSV_SCHEMA
-from airshed.session import path_exists
+from airshed.session import list_folder, move, path_exists, publish, remove
 
 
 #: One CSV dialect for reading and writing: doubled quotes, line feeds inside
@@ -66,19 +67,46 @@ def try_read_parquet(spark: SparkSession, path: str, schema: T.StructType | None
     return df if schema is None or df.inputFiles() else None
 
 
+def is_published(spark: SparkSession, path: str) -> bool:
+    """Whether a snapshot folder is whole: its job ended, or a rename put it there."""
+    return path_exists(spark, path) and any(n == "_SUCCESS" or n.startswith("_owner-") for n in list_folder(spark, path))
+
+
 def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
     """Reuse the Parquet snapshot at ``path`` when present, else build it,
-    write it and read it back (so every later use sees the same rows)."""
-    found = try_read_parquet(spark, path)
-    if found is not None:
-        return found
-    w = build().write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    write it and read it back (so every later use sees the same rows).
+
+    A snapshot is written beside and put in place by one rename, unless another
+    builder's is there by then: that one is used, and this one deleted. What a
+    writer that died left half-written at ``path`` itself is moved aside and
+    deleted, never read.
+    """
+    path = path.rstrip("/")
+    parent, _, name = path.rpartition("/")
+    if not is_published(spark, path):
+        beside = f"{parent}/_building-{name}-{uuid.uuid4().hex}"
+        df = build()
+        w = df.write
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(beside)
+        _clear_unpublished(spark, path)
+        publish(spark, beside, path)
     return spark.read.parquet(path)
 
 
+def _clear_unpublished(spark: SparkSession, path: str) -> None:
+    """Move a folder aside that is no whole snapshot, then delete it. If it
+    became one in between, it goes back."""
+    if not path_exists(spark, path) or is_published(spark, path):
+        return
+    parent, _, name = path.rpartition("/")
+    aside = f"{parent}/_broken-{name}-{uuid.uuid4().hex}"
+    move(spark, path, aside)
+    if not (is_published(spark, aside) and publish(spark, aside, path)):
+        remove(spark, aside)
+
+
 def read_day(spark: SparkSession, table_path: str, day: dt.date, col: str = "date") -> DataFrame:
     """One day of a date-partitioned table (partition pruning)."""
     return spark.read.parquet(table_path).filter(F.col(col) == F.lit(day))

@@ -69,6 +69,41 @@ def write_partitioned(
     )
 
 
+def target_schema_of(source: DataFrame, dedup_by: str | None, created_col: str | None) -> T.StructType:
+    """Schema of a new table: the source's, and the creation time."""
+    fields = [f for f in source.schema.fields if f.name != dedup_by]
+    if created_col and created_col not in source.columns:
+        fields.append(T.StructField(created_col, T.TimestampType(), True))
+    return T.StructType(fields)
+
+
+def stage_source(spark: SparkSession, source: DataFrame, schema: T.StructType, keys: list[str], dedup_by: str | None) -> tuple[str, DataFrame]:
+    """(path, rows) of a staging copy of the source, its keys cast to the
+    target's types, repeated ones resolved by ``dedup_by``: computed once."""
+    source = source.withColumns({k: F.col(k).cast(schema[k].dataType) for k in keys})
+    if dedup_by:
+        source = last_per_key(source, keys, dedup_by)
+        if dedup_by not in schema.fieldNames():
+            source = source.drop(dedup_by)
+    stage = scratch_path(spark, "merge-source")
+    source.write.parquet(stage)
+    return stage, spark.read.schema(source.schema).parquet(stage)
+
+
+def touched_target(target: DataFrame, source: DataFrame, keys: list[str], partition_col: str | None) -> DataFrame:
+    """The target's rows in partitions the source has (a range filter prunes
+    them, a semi join selects them; all rows if there are no partitions). The
+    keys of both have to be there and unique."""
+    assert_unique_keys(source, keys)
+    if partition_col:
+        lo, hi = source.agg(F.min(partition_col), F.max(partition_col)).first()
+        days = source.select(partition_col).distinct()
+        held = target.filter(F.col(partition_col).between(F.lit(lo), F.lit(hi)))
+        target = held.join(days, partition_col, "left_semi").select(*target.columns)
+    assert_unique_keys(target, keys, "target")
+    return target
+
+
 def merge_into(
     spark: SparkSession,
     path: str,
@@ -101,30 +136,11 @@ def merge_into(
     target = try_read_parquet(spark, path)
     is_new = target is None
     if is_new:
-        schema = target_schema
-        if schema is None:
-            fields = [f for f in source.schema.fields if f.name != dedup_by]
-            if created_col:
-                fields.append(T.StructField(created_col, T.TimestampType(), True))
-            schema = T.StructType(fields)
-        target = spark.createDataFrame([], schema)
-    source = source.withColumns({k: F.col(k).cast(target.schema[k].dataType) for k in keys})
-    if dedup_by:
-        source = last_per_key(source, keys, dedup_by)
-        if dedup_by not in target.columns:
-            source = source.drop(dedup_by)
-    source_stage = scratch_path(spark, "merge-source")
-    source.write.parquet(source_stage)
-    source = spark.read.schema(source.schema).parquet(source_stage)
+        target = spark.createDataFrame([], target_schema or target_schema_of(source, dedup_by, created_col))
+    source_stage, source = stage_source(spark, source, target.schema, keys, dedup_by)
     stage = scratch_path(spark, "merge")
     try:
-        assert_unique_keys(source, keys)
-        if partition_col and not is_new:
-            lo, hi = source.agg(F.min(partition_col), F.max(partition_col)).first()
-            days = source.select(partition_col).distinct()
-            held = target.filter(F.col(partition_col).between(F.lit(lo), F.lit(hi)))
-            target = held.join(days, partition_col, "left_semi").select(*target.columns)
-        assert_unique_keys(target, keys, "target")
+        target = touched_target(target, source, keys, None if is_new else partition_col)
         merged = upsert(target, source, keys, update_cols, now, created_col)
         merged.write.mode("overwrite").parquet(stage)
     finally:
