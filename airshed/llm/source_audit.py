@@ -13,13 +13,14 @@ each term's slot, verifies it by the key stored there, and increments the
 dense slots of its (lang, source) group. All arithmetic is on integers.
 
 Scale. The first pass sends distinct terms per task, the second one slot counts
-per task and group; both are summed by (lang, term) or (group, slot), so a hot
-language or source spreads over all tasks. What is broadcast is bounded by
+per task, group and shard; both are summed by (lang, term) or (group, shard), so
+a hot language or source spreads over its shards, and a shard's sums are one
+vector at a time, first over ``TASKS_SUMMED`` tasks, then over those sums. What is broadcast is bounded by
 ``ROUND_BYTES`` plus one shard; a larger vocabulary takes more rounds over the
 texts. Sources are compared in blocks: a task holds one shard of at most
 2 x ``SOURCE_BLOCK`` sources. Every pair of sources of a language is a row of
 the result, so that work grows with the squares of their numbers. A group's
-terms are cut to ``TOP`` before they are shuffled for ranking.
+terms are cut to ``TOP`` in every shard before they are shuffled for ranking.
 
 Defined cases: null text, lang and source count as ''; a document is a row,
 whatever its id; groups without terms count too; a language without kept terms
@@ -38,17 +39,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airshed.llm.common import column, fmix64, materialize, release, running_total, table, text_bytes
+from airshed.session import shuffle_partitions
 
 MIN_DOCS, TOP = 3, 200
 SCALE = 1_000_000_000
 SHARD_KEYS, SOURCE_BLOCK = 1 << 14, 64
 ROUND_BYTES = 64 << 20
-#: Distinct terms and dense slots that a task holds before it sends them on.
-HELD_TERMS, HELD_SLOTS = 200_000, 4_000_000
+#: Distinct terms (by language) and dense slots that a task holds.
+HELD_TERMS, HELD_SLOTS = 200_000, 8_000_000
+#: Tasks whose slots are first added up together.
+TASKS_SUMMED = 64
 
 #: Letters stay (A-Z in lower case), other ASCII becomes a blank, the bytes of
 #: all other characters stay.
@@ -168,8 +172,27 @@ def _build(key: tuple, group: pa.Table) -> pa.Table:
     })
 
 
+SLOTS = "slots array<int>, counts array<long>"
+
+
+def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    flat = np.concatenate(values) if values else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat).cast(kind))
+
+
+def _slot_rows(keys: list[tuple], names: list[str], vectors: list[np.ndarray]) -> pa.RecordBatch:
+    """Rows of keys and of the slots of a vector that are not 0."""
+    used = [np.flatnonzero(v) for v in vectors]
+    kinds = [pa.int64() if n in ("shard", "salt") else pa.string() for n in names]
+    columns = [pa.array(c, k) for c, k in zip(zip(*keys), kinds)]
+    columns += [_lists(used, pa.int32()), _lists([v[u] for v, u in zip(vectors, used)], pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=[*names, "slots", "counts"])
+
+
 def _recount(shared):
-    """lang, source, text -> (lang, source, shard, slot, n) of the broadcast shards."""
+    """lang, source, text -> lang, source, shard, slots, counts of the
+    broadcast shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indexes: dict[tuple, PerfectHash] = {}
@@ -177,60 +200,75 @@ def _recount(shared):
         for lang, shard, of, index in shared.value:
             indexes[lang, shard] = PerfectHash.loads(index)
             shards[lang] = of
+        starts: dict[str, dict[int, int]] = defaultdict(dict)  # a language's shards, one after another
+        width: dict[str, int] = defaultdict(int)
+        for lang, shard in sorted(indexes):
+            starts[lang][shard] = width[lang]
+            width[lang] += len(indexes[lang, shard].keys)
+        place: dict[str, dict[bytes, int]] = defaultdict(dict)  # slots of terms seen of late; -1: none
         slots: dict[tuple, np.ndarray] = {}
-        held: dict[tuple, Counter] = defaultdict(Counter)
 
-        def increment():
-            for (lang, source), found in held.items():
-                if not found:
-                    continue
-                keys = list(found)
-                hashes = np.fromiter(map(key_hash, keys), np.uint64, len(keys))
-                times = np.fromiter(found.values(), np.int64, len(keys))
-                at = hashes.view(np.int64) % shards[lang]
-                order = np.argsort(at, kind="stable")
-                edge = np.flatnonzero(np.diff(at[order])) + 1
-                for some in np.split(order, edge):
-                    place = lang, int(at[some[0]])
-                    if place not in indexes:
-                        continue  # another round's
-                    slot = indexes[place].find([keys[i] for i in some.tolist()], hashes[some])
-                    known = slot >= 0
-                    if (lang, source, place[1]) not in slots:
-                        slots[lang, source, place[1]] = np.zeros(len(indexes[place].keys), np.int64)
-                    slots[lang, source, place[1]][slot[known]] += times[some][known]
-            held.clear()
+        def learn(lang: str, new: list[bytes]) -> None:
+            hashes = np.fromiter(map(key_hash, new), np.uint64, len(new))
+            at = hashes.view(np.int64) % shards[lang]
+            order = np.argsort(at, kind="stable")
+            for some in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
+                shard, keys = int(at[some[0]]), [new[i] for i in some.tolist()]
+                if shard in starts[lang]:
+                    slot = indexes[lang, shard].find(keys, hashes[some])
+                    slot[slot >= 0] += starts[lang][shard]
+                else:  # another round's
+                    slot = np.full(len(keys), -1)
+                place[lang].update(zip(keys, slot.tolist()))
 
         def flush():
-            for (lang, source, shard), counts in slots.items():
-                at = np.flatnonzero(counts)
-                if len(at):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(at)), pa.array([source] * len(at)), pa.array(np.full(len(at), shard, np.int64)), pa.array(at.astype(np.int32)), pa.array(counts[at])],
-                        names=["lang", "source", "shard", "slot", "n"],
-                    )
+            for (lang, source), dense in slots.items():
+                own = starts[lang].items()
+                yield _slot_rows([(lang, source, k) for k, _ in own], ["lang", "source", "shard"], [dense[at : at + len(indexes[lang, k].keys)] for k, at in own])
             slots.clear()
 
-        size = 0
         for b in batches:
             for lang, source, text in zip(column(b, "lang").to_pylist(), column(b, "source").to_pylist(), text_bytes(b)):
                 if lang not in shards:
                     continue
-                of = held[lang, source]
-                size -= len(of)
-                of.update(terms(text))
-                size += len(of)
-                if size > HELD_TERMS:
-                    increment()
-                    size = 0
-                    if sum(map(len, slots.values())) > HELD_SLOTS:
+                found, known = terms(text), place[lang]
+                if len(known) > HELD_TERMS:
+                    known.clear()
+                if new := list(set(found).difference(known)):
+                    learn(lang, new)
+                at = np.fromiter(map(known.__getitem__, found), np.int64, len(found))
+                if (lang, source) not in slots:
+                    if sum(map(len, slots.values())) + width[lang] > HELD_SLOTS:
                         yield from flush()
-        increment()
+                    slots[lang, source] = np.zeros(width[lang], np.int64)
+                np.add.at(slots[lang, source], at[at >= 0], 1)
         yield from flush()
 
     return run
 
 
+def _sum_slots(names: list[str]):
+    """Rows sorted by ``names`` -> one row for each, their slots added up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, dense = None, np.zeros(0, np.int64)
+        for b in batches:
+            slots, counts = column(b, "slots"), column(b, "counts")
+            for i, key in enumerate(zip(*(column(b, n).to_pylist() for n in names))):
+                if key != before:
+                    if before is not None:
+                        yield _slot_rows([before], names, [dense])
+                    before, dense = key, np.zeros(0, np.int64)
+                at, n = slots[i].values.to_numpy(), counts[i].values.to_numpy()
+                if len(at) and at[-1] >= len(dense):
+                    dense = np.concatenate((dense, np.zeros(at[-1] + 1 - len(dense), np.int64)))
+                dense[at] += n
+        if before is not None:
+            yield _slot_rows([before], names, [dense])
+
+    return run
+
+
 def _scaled(counts: np.ndarray, total: int) -> np.ndarray:
     """1 + floor(SCALE * (count + 1) / total), by long division in thousands."""
     out, rest = np.zeros(len(counts), np.int64), counts + 1
@@ -266,6 +304,37 @@ def _pair_sums(key: tuple, group: pa.Table) -> pa.Table:
     return pa.table({"lang": lang, "rank": pa.array(mine, pa.int64()), "other": pa.array(theirs, pa.int64()), "value": pa.array(value, pa.int64())})
 
 
+def _top_terms(top: int):
+    """By lang and shard: a row with the shard's keys and the language's counts
+    (kind 0), then the rows of its sources -> the shard's ``top`` terms of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            slots, counts, names = column(b, "slots"), column(b, "counts"), column(b, "keys")
+            heads = zip(*(column(b, n).to_pylist() for n in ("kind", "lang", "source", "total")))
+            for i, (kind, lang, source, total) in enumerate(heads):
+                at, n = slots[i].values.to_numpy(), counts[i].values.to_numpy()
+                if kind == 0:
+                    keys = names[i].values
+                    share = np.zeros(len(keys), np.int64)
+                    share[at] = _scaled(n, total)
+                    continue
+                p, q = _scaled(n, total), share[at]
+                above = p > q
+                at, apart, q = at[above], (p - q)[above], q[above]
+                value = apart * apart // q
+                if len(value) > top:  # ties with the last place stay until the items decide
+                    least = np.partition(value, -top)[-top]
+                    at, value = at[value >= least], value[value >= least]
+                found = sorted(zip((-value).tolist(), (k.encode() for k in keys.take(pa.array(at)).to_pylist())))[:top]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(found), pa.string()), pa.array([source] * len(found), pa.string()), pa.array([k.decode() for _, k in found], pa.string()), pa.array([-v for v, _ in found], pa.int64())],
+                    names=["lang", "source", "item", "value"],
+                )
+
+    return run
+
+
 # ---------------------------------------------------------------------------
 # Plan
 # ---------------------------------------------------------------------------
@@ -291,14 +360,15 @@ def _counts(docs: DataFrame, shards: DataFrame, round_bytes: int) -> DataFrame:
     sized = shards.select("lang", "shard", "shards", "index", F.length("index").cast("long").alias("bytes"))
     dealt = running_total(sized, ["lang", "shard"], "bytes", "before").withColumn("round", F.floor(F.col("before") / round_bytes))
     dealt = materialize(dealt, "audit-rounds")
-    kind = "lang string, source string, shard long, slot int, n long"
+    group = ["lang", "source", "shard"]
+    kind = f"lang string, source string, shard long, {SLOTS}"
     rounds = []
     for number in range((dealt.agg(F.max("round")).first()[0] or 0) + 1):
         rows = dealt.where(F.col("round") == number).select("lang", "shard", "shards", "index")
         shared = spark.sparkContext.broadcast([tuple(r) for r in rows.collect()])  # at most round_bytes and one shard
         found = docs.select("lang", "source", "text").mapInArrow(_recount(shared), kind)
-        summed = found.groupBy("lang", "source", "shard", "slot").agg(F.sum("n").alias("n"))
-        rounds.append(materialize(summed, "audit-counts"))
+        found = found.withColumn("salt", F.floor(F.spark_partition_id() / TASKS_SUMMED))
+        rounds.append(materialize(_summed(_summed(found, [*group, "salt"]), group), "audit-counts"))
         shared.unpersist()
     release(dealt)
     out = rounds[0]
@@ -307,15 +377,11 @@ def _counts(docs: DataFrame, shards: DataFrame, round_bytes: int) -> DataFrame:
     return out
 
 
-def _share(count: Column, total: Column) -> Column:
-    """1 + floor(SCALE * (count + 1) / total), exact."""
-    wide = "decimal(38,0)"
-    scaled = (count + 1).cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)")
-    return F.call_function("div", scaled.cast(wide), total.cast(wide)) + 1
-
-
-def _distance(p: Column, q: Column) -> Column:
-    return F.call_function("div", (p - q) * (p - q), q)
+def _summed(found: DataFrame, names: list[str]) -> DataFrame:
+    n = shuffle_partitions(found.sparkSession)
+    kinds = ", ".join(f"{c} {'long' if c in ('shard', 'salt') else 'string'}" for c in names)
+    dealt = found.select(*names, "slots", "counts").repartition(n, *names).sortWithinPartitions(*names)
+    return dealt.mapInArrow(_sum_slots(names), f"{kinds}, {SLOTS}")
 
 
 def audit(
@@ -331,7 +397,8 @@ def audit(
 
     widths = shards.select("lang", "shard", F.size("keys").alias("width"))
     sizes = widths.groupBy("lang").agg(F.sum("width").alias("v"))
-    used = counts.groupBy("lang", "source").agg(F.sum("n").alias("n"))
+    total = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
+    used = counts.groupBy("lang", "source").agg(F.sum(total).alias("n"))
     groups = docs.select("lang", "source").distinct().join(used, ["lang", "source"], "left").join(sizes, "lang", "left")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     groups = groups.select("lang", "source", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("v", F.lit(0)).alias("v"), rank.cast("long").alias("rank"))
@@ -342,14 +409,13 @@ def audit(
 
 
 def _pairs(groups: DataFrame, widths: DataFrame, counts: DataFrame) -> DataFrame:
-    cells = counts.groupBy("lang", "source", "shard").agg(F.collect_list(F.struct("slot", "n")).alias("cells"))  # a shard's slots at most
-    dense = groups.join(widths, "lang").join(cells, ["lang", "source", "shard"], "left")
+    dense = groups.join(widths, "lang").join(counts, ["lang", "source", "shard"], "left")
     blocks = groups.groupBy("lang").agg(F.floor(F.max("rank") / SOURCE_BLOCK).alias("last"))
     own = F.floor(F.col("rank") / SOURCE_BLOCK)
     partners = F.transform(F.sequence(F.lit(0).cast("long"), F.col("last")), lambda x: F.struct(F.least(x, own).alias("block"), F.greatest(x, own).alias("other")))
     dealt = dense.join(blocks, "lang").select(
         "lang", "shard", "rank", (F.col("n") + F.col("v")).alias("total"), "width",
-        F.col("cells.slot").alias("slots"), F.col("cells.n").alias("counts"), F.inline(partners),
+        "slots", "counts", F.inline(partners),
     )
     kind = "lang string, rank long, other long, value long"
     sums = dealt.groupBy("lang", "shard", "block", "other").applyInArrow(_pair_sums, kind)
@@ -363,14 +429,17 @@ def _pairs(groups: DataFrame, widths: DataFrame, counts: DataFrame) -> DataFrame
 
 
 def _terms(groups: DataFrame, shards: DataFrame, counts: DataFrame, top: int) -> DataFrame:
-    names = shards.select("lang", "shard", F.posexplode("keys").alias("slot", "item"))
-    whole = counts.groupBy("lang", "shard", "slot").agg(F.sum("n").alias("all")).join(names, ["lang", "shard", "slot"])
-    langs = groups.groupBy("lang").agg(F.sum("n").alias("lang_n"))
-    held = counts.join(whole, ["lang", "shard", "slot"]).join(groups.select("lang", "source", F.col("n").alias("group_n"), "v"), ["lang", "source"]).join(langs, "lang")
-    p, q = _share(F.col("n"), F.col("group_n") + F.col("v")), _share(F.col("all"), F.col("lang_n") + F.col("v"))
-    above = held.select("lang", "source", "item", p.alias("p"), q.alias("q")).where("p > q").withColumn("value", _distance(F.col("p"), F.col("q")))
+    n = shuffle_partitions(groups.sparkSession)
+    langs = groups.groupBy("lang").agg((F.sum("n") + F.max("v")).alias("total"))
+    whole = _summed(counts, ["lang", "shard"]).join(shards.select("lang", "shard", "keys"), ["lang", "shard"]).join(langs, "lang")
+    own = counts.join(groups.select("lang", "source", (F.col("n") + F.col("v")).alias("total")), ["lang", "source"])
+    cols = ["lang", "shard", "kind", "source", "total", "slots", "counts", "keys"]
+    heads = whole.select("lang", "shard", F.lit(0).alias("kind"), F.lit("").alias("source"), "total", "slots", "counts", "keys")
+    rows = own.select("lang", "shard", F.lit(1).alias("kind"), "source", "total", "slots", "counts", F.lit(None).cast("array<string>").alias("keys"))
+    both = heads.select(*cols).unionByName(rows.select(*cols)).repartition(n, "lang", "shard").sortWithinPartitions("lang", "shard", "kind")
+    best = both.mapInArrow(_top_terms(top), "lang string, source string, item string, value long")
     place = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
-    return above.withColumn("rank", place).where(F.col("rank") <= top).select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank")
+    return best.withColumn("rank", place).where(F.col("rank") <= top).select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank")
 
 
 def q_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
