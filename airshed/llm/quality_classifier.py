@@ -7,10 +7,12 @@ either dictionary. The text's gain is the bytes that the good dictionary saves
 over the bad one, by byte of text. A logistic curve, fitted on labelled rows
 that no dictionary has seen, turns the gain into the probability of label 1.
 
-What is fitted is bounded and documented: ``SAMPLE`` distinct pieces of each
-label, those with the least hashes, and the gains of ``CALIBRATION`` rows. The
-pieces are cut to that in every task before they meet, so neither a long text
-nor a large group of copies fills the sample or a task. Every whole text of the
+What is fitted is bounded and documented: of at most ``SAMPLE`` ids of each label
+the ``SAMPLE`` distinct pieces with the least hashes, and the gains of
+``CALIBRATION`` rows of as many ids. Only these ids are broadcast; no text is
+shuffled to find them. Pieces are cut to the sample in every task before they
+meet, so neither a long text, nor a repeated id, nor a large group of copies
+fills the sample or a task. Every whole text of the
 table is scored where it lies; nothing else is shuffled.
 
 Defined cases: a null or empty text, and any text if a label has no pieces,
@@ -29,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airshed.llm.common import column, crc_mod, table, text_bytes
@@ -135,20 +137,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, calibration: i
     """Train on the labelled rows outside the held out fold."""
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), FOLDS) != 0))
     ids = usable.groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").cast("int").alias("label"))
-    own = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("text"))
-    rows = own.join(ids, F.col("_doc") == F.col("_id")).select("label", "text", (F.pmod(F.xxhash64("_doc"), F.lit(HOLD_BACK)) == 0).alias("back"))
     share = ids.agg(F.avg("label")).first()[0]
     prior = 0.5 if share is None else float(share)
+    back = F.pmod(F.xxhash64("_id"), F.lit(HOLD_BACK)) == 0
+    order = [F.xxhash64("_id", F.lit("sample")), F.col("_id")]  # two longs an id: sample + calibration of them may be broadcast
+    chosen = [ids.where(~back & (F.col("label") == y)).orderBy(*order).limit(sample) for y in (0, 1)]
+    own = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("text"))
+    rows = lambda some: own.join(F.broadcast(some), F.col("_doc") == F.col("_id")).select("label", "text")
 
-    found = rows.where(~F.col("back")).select("label", "text").mapInArrow(_least_pieces(sample), "label int, key long, piece binary")
-    found = found.dropDuplicates(["label", "key"])
-    least = [found.where(F.col("label") == y).orderBy("key").limit(sample) for y in (0, 1)]  # bounded: it meets in one task
-    trained = least[0].union(least[1]).repartition(1).mapInArrow(_train, "bad binary, good binary").first()
+    found = rows(chosen[0].union(chosen[1])).mapInArrow(_least_pieces(sample), "label int, key long, piece binary")
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("key"))
+    least = found.dropDuplicates(["label", "key"]).withColumn("rank", rank).where(F.col("rank") <= sample)  # bounded: it meets in one task
+    trained = least.select("label", "key", "piece").repartition(1).mapInArrow(_train, "bad binary, good binary").first()
     if trained is None or not trained["bad"] or not trained["good"]:
         return Model(None, 0.0, 0.0, prior)
     both = (bytes(trained["bad"]), bytes(trained["good"]))
 
-    seen = rows.where("back").select("label", "text").mapInArrow(_gains(both), "label int, key long, bytes long, gain double")
+    seen = rows(ids.where(back).orderBy(*order).limit(calibration)).mapInArrow(_gains(both), "label int, key long, bytes long, gain double")
     known = seen.where("bytes > 0").orderBy("key", "label").limit(calibration).select("label", "gain").collect()  # bounded: two numbers a row
     label = np.array([r["label"] for r in known], float)
     if len(set(label.tolist())) < 2:
