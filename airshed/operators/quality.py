@@ -17,10 +17,11 @@ success = evaluated == 0 or (evaluated - unexpected) / evaluated >= mostly.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,13 +33,14 @@ _RANK = {INFO: 0, WARNING: 1, CRITICAL: 2}
 
 @dataclass(frozen=True)
 class Expectation:
-    kind: str  # columns_match_set | compound_unique | pair_ge | between | not_null | max_length
+    kind: str  # columns_match_set | compound_unique | pair_ge | between | not_null | max_length | fits
     columns: tuple[str, ...]
     lo: float | None = None
     hi: float | None = None
     or_equal: bool = True
     mostly: float = 1.0
     severity: str = CRITICAL  # checks without an explicit severity are critical
+    dtype: str | None = None  # declared type of ``fits``
 
     @property
     def name(self) -> str:
@@ -49,6 +51,7 @@ class Expectation:
             "between": "expect_column_values_to_be_between",
             "not_null": "expect_column_values_to_not_be_null",
             "max_length": "expect_column_value_lengths_to_be_between",
+            "fits": "expect_column_values_to_fit_declared_type",
         }[self.kind]
 
     @property
@@ -82,6 +85,16 @@ def max_length(col: str, n: int, severity: str = CRITICAL) -> Expectation:
     return Expectation("max_length", (col,), hi=n, severity=severity)
 
 
+def fits(col: str, dtype: str, severity: str = CRITICAL) -> Expectation:
+    """Values that the declared type can hold, rounded to its scale."""
+    return Expectation("fits", (col,), severity=severity, dtype=dtype)
+
+
+def declared_fit(spec, columns: list[str], scale: int | None = None) -> list[Expectation]:
+    """A ``fits`` check for every measure of the spec among ``columns``."""
+    return [fits(m, spec.decimal_of(m, scale).simpleString()) for m in spec.measure_names if m in columns]
+
+
 # ---------------------------------------------------------------------------
 # The pre-load suites (bounds, pairs, severities, column sets).
 # ---------------------------------------------------------------------------
@@ -183,6 +196,9 @@ def _row_counters(e: Expectation) -> tuple[Column, Column]:
     if e.kind == "max_length":
         x = F.col(e.columns[0])
         return F.count(x), F.count_if(F.length(x) > F.lit(int(e.hi)))
+    if e.kind == "fits":
+        x = F.nanvl(F.col(e.columns[0]).cast("double"), F.lit(None).cast("double"))  # NaN is loaded as NULL
+        return F.count(x), F.count_if(x.isNotNull() & x.try_cast(e.dtype).isNull())
     raise ValueError(e.kind)
 
 
@@ -239,6 +255,57 @@ def run_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
     return report.withColumn("success", ok)
 
 
+def checked_write(
+    df: DataFrame,
+    suite: list[Expectation],
+    write: Callable[[DataFrame], None],
+    layout: list[str],
+    keep: Column | None = None,
+    counts: dict[str, Column] | None = None,
+) -> tuple[list[dict], dict[str, int]]:
+    """Write ``df`` laid out by ``layout`` and evaluate ``suite`` on the rows
+    written, in one scan and the one shuffle that the layout needs.
+
+    The counters are observed metrics of the writing stage, behind the shuffle:
+    what runs before it (the sampling of range bounds, a stage run again after
+    an executor was lost) would be counted twice there. Range partitioning puts
+    equal layout keys side by side in one task, so uniqueness of just these
+    columns is counted over the rows as they pass. ``keep`` restricts what is
+    written and checked; ``counts`` are further aggregates, over all rows.
+    Returns the report's rows and ``counts``.
+    """
+    flags: dict[str, Column] = {}
+    observed: list[Column] = []
+    report: dict[int, tuple[int, int] | None] = {}
+    keep = F.lit(True) if keep is None else keep
+    for i, e in enumerate(suite):
+        if e.kind == "columns_match_set":
+            report[i] = len(set(e.columns)), len(set(e.columns) ^ set(df.columns))
+        elif e.kind == "compound_unique":
+            if set(e.columns) != set(layout):
+                raise ValueError(f"uniqueness of {e.columns} can't be counted in the layout {layout}")
+            flags["_same"] = F.count(F.when(keep, 1)).over(Window.partitionBy(*layout))
+            some = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in e.columns])
+            observed += [F.count_if(keep & some).alias(f"e{i}"), F.count_if(keep & some & (F.col("_same") > 1)).alias(f"u{i}")]
+    row_checks = [(i, e) for i, e in enumerate(suite) if e.kind not in ("columns_match_set", "compound_unique")]
+    laid = df.repartitionByRange(*layout).sortWithinPartitions(*layout).withColumns(flags)
+    first, then = Observation(), Observation()
+    if observed or counts:
+        laid = laid.observe(first, *observed, *[c.alias(n) for n, c in (counts or {}).items()])
+    laid = laid.filter(keep).drop(*flags)
+    if row_checks:
+        metrics = [c.alias(f"{side}{i}") for i, e in row_checks for side, c in zip("eu", _row_counters(e))]
+        laid = laid.observe(then, *metrics)
+    write(laid)
+    got = {**(first.get if observed or counts else {}), **(then.get if row_checks else {})}
+    rows = []
+    for i, e in enumerate(suite):
+        evaluated, unexpected = report.get(i) or (got[f"e{i}"], got[f"u{i}"])
+        success = evaluated == 0 or (evaluated - unexpected) / evaluated >= e.mostly
+        rows.append({"idx": i, "expectation": e.name, "column": e.label, "severity": e.severity, "evaluated": evaluated, "unexpected": unexpected, "success": success})
+    return rows, {n: got[n] for n in counts or {}}
+
+
 def gate(report: DataFrame | list, block_on: str = CRITICAL) -> list[dict]:
     """Raise when any failed expectation is at least ``block_on`` severe.
 
@@ -248,7 +315,8 @@ def gate(report: DataFrame | list, block_on: str = CRITICAL) -> list[dict]:
     failed = [r.asDict() if hasattr(r, "asDict") else dict(r) for r in rows if not r["success"]]
     worst = max((_RANK.get(f["severity"], _RANK[CRITICAL]) for f in failed), default=-1)
     if worst >= _RANK[block_on]:
-        names = [f"{f['expectation']}({f['column']})" for f in failed if _RANK.get(f["severity"], 2) >= _RANK[block_on]]
+        blocking = [f for f in failed if _RANK.get(f["severity"], 2) >= _RANK[block_on]]
+        names = [f"{f['expectation']}({f['column']}): {f['unexpected']} of {f['evaluated']}" for f in blocking]
         raise DataQualityError(f"validation failed: {names}")
     return failed
 

@@ -18,7 +18,7 @@ from airshed.functions.period import RunWindow, in_window, run_window
 from airshed.functions.timecols import expected_steps
 from airshed.operators.cities import assign_chunks, clean_cities, request_batches, top_cities
 from airshed.operators.daily import AQ_SPEC, daily_aggregate
-from airshed.operators.quality import SUITES, DataQualityError, cities_store_suite, gate, orphans, run_suite
+from airshed.operators.quality import SUITES, DataQualityError, checked_write, cities_store_suite, declared_fit, gate, orphans, run_suite
 from airshed.operators.series import (
     explode_series,
     join_discharge,
@@ -40,7 +40,8 @@ from airshed.schemas import (
     TableSpec,
 )
 from airshed.sources.readers import read_cities_csv, read_csv, read_or_build
-from airshed.sources.writers import merge_into, write_csv, write_partitioned
+from airshed.sources.versioned import merge_versioned, replace_table
+from airshed.sources.writers import write_csv
 
 # ---------------------------------------------------------------------------
 # Cities
@@ -59,7 +60,7 @@ def bootstrap_cities(
 
     ``upsert``: narrow upsert (an existing city only gets new coordinates;
     other columns stay). ``replace``: bulk load of the cleaned CSV (header row
-    skipped) replacing the whole table.
+    skipped) replacing the whole table, as its next version.
     """
     if mode not in ("upsert", "replace"):
         raise ValueError("mode must be 'upsert' or 'replace'")
@@ -69,11 +70,8 @@ def bootstrap_cities(
     # Store constraints (NOT NULL, primary key, unique coordinates, lengths) gate the load.
     gate(run_suite(source, cities_store_suite()))
     if mode == "replace":
-        source.repartitionByRange(F.col("city_id")).sortWithinPartitions("city_id").write.mode("overwrite").parquet(
-            cities_path
-        )
-        return spark.read.parquet(cities_path)
-    return merge_into(
+        return replace_table(spark, cities_path, source, ["city_id"])
+    return merge_versioned(
         spark, cities_path, source, ["city_id"], update_cols=["lat", "lng"],
         partition_col=None, created_col=None, target_schema=CITIES_SCHEMA,
     )
@@ -190,33 +188,47 @@ def load_daily(
     the numbers of rows loaded and left out as outside the window.
 
     The transformed copy of a window is a folder of its own and is replaced
-    whole by a rerun. Rows without a date or city, cities unknown to ``cities``
-    and a run without rows are errors.
+    whole by a rerun. Its write counts everything that is checked: the daily
+    frame is computed and scanned once. Rows without a date or city, cities
+    unknown to ``cities`` (the city table), values that their declared type
+    can't hold and a run without rows are errors. The target is a versioned
+    table (``read_table``): a load becomes visible whole, or not at all.
     """
     spec: TableSpec = FEEDS[feed]
     inside, keyed = in_window("date", window), F.col("date").isNotNull() & F.col("city_id").isNotNull()
-    counts = daily.agg(  # reads the key columns only
-        F.count_if(keyed & inside).alias("rows"), F.count_if(keyed & ~inside).alias("outside"), F.count_if(~keyed).alias("unkeyed")
-    ).first()
+    copy = f"{transformed_path.rstrip('/')}/window={window.lo}_{window.hi}"
+    suite = [*(SUITES[feed] if validate else []), *declared_fit(spec, daily.columns, scale)]
+
+    def write(rows: DataFrame) -> None:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("date").parquet(copy)
+
+    counted = {"rows": F.count_if(keyed & inside), "outside": F.count_if(keyed & ~inside), "unkeyed": F.count_if(~keyed)}
+    report, counts = checked_write(daily, suite, write, ["date", "city_id"], keep=keyed & inside, counts=counted)
     if counts["unkeyed"]:
         raise DataQualityError(f"{feed}: {counts['unkeyed']} rows without date or city_id")
     if not counts["rows"]:
         raise DataQualityError(f"{feed}: no rows in {window.lo}..{window.hi}")
-    frame = daily.filter(inside)
-    copy = f"{transformed_path.rstrip('/')}/window={window.lo}_{window.hi}"
-    write_partitioned(frame, copy, replace_all=True)
-    staged = spark.read.schema(frame.schema).parquet(copy)
+    staged = spark.read.schema(daily.schema).parquet(copy)
     if cities is not None and (unknown := orphans(staged, cities).select("city_id").first()):
         raise DataQualityError(f"{feed}: city {unknown['city_id']} is not in the city table")
-    failed: list = []
-    if validate:
-        report = run_suite(staged, SUITES[feed])
-        failed = gate(report)
+    failed = gate(report)
     source = to_spec(staged, spec, scale=scale)
-    merge_into(spark, target_path, source, list(spec.keys), now=now, target_schema=spec.schema(scale))
+    merge_versioned(spark, target_path, source, list(spec.keys), now=now, target_schema=spec.schema(scale))
     return {"feed": feed, "window": (window.lo, window.hi), "warnings": failed, "rows": counts["rows"], "outside": counts["outside"]}
 
 
+def _daily_frames(raw: dict[str, DataFrame], chunks: DataFrame) -> dict[str, DataFrame]:
+    """The daily frame of every feed present in ``raw``."""
+    out = {}
+    if "climate" in raw:
+        out["climate"] = climate_daily(raw["climate"], raw["discharge"], chunks)
+    if "air_quality" in raw:
+        out["air_quality"] = air_quality_daily(raw["air_quality"], chunks)
+    if "land_surface" in raw:
+        out["land_surface"] = land_surface_daily(raw["land_surface"])
+    return out
+
+
 def run_daily(
     spark: SparkSession,
     day: dt.date,
@@ -224,29 +236,18 @@ def run_daily(
     raw: dict[str, DataFrame],
     out_dir: str,
     now: dt.datetime | None = None,
+    cities: DataFrame | None = None,
 ) -> list[dict]:
     """The daily run: every feed present in ``raw`` (keys ``climate``,
-    ``discharge``, ``air_quality``, ``land_surface``); land surface lags a day."""
+    ``discharge``, ``air_quality``, ``land_surface``); land surface lags a day.
+    Every city has to be in ``cities``, the city table (default: the chunks)."""
     out_dir = out_dir.rstrip("/")
+    known = chunks if cities is None else cities
     results = []
-    if "climate" in raw:
-        daily = climate_daily(raw["climate"], raw["discharge"], chunks)
-        results.append(
-            load_daily(spark, "climate", daily, run_window("daily", day),
-                       f"{out_dir}/transformed/daily_climate", f"{out_dir}/daily_climate", now, cities=chunks)
-        )
-    if "air_quality" in raw:
-        daily = air_quality_daily(raw["air_quality"], chunks)
-        results.append(
-            load_daily(spark, "air_quality", daily, run_window("daily", day),
-                       f"{out_dir}/transformed/daily_air_quality", f"{out_dir}/daily_air_quality", now, cities=chunks)
-        )
-    if "land_surface" in raw:
-        daily = land_surface_daily(raw["land_surface"])
-        results.append(
-            load_daily(spark, "land_surface", daily, run_window("daily", day, lag_days=1),
-                       f"{out_dir}/transformed/daily_land_surface", f"{out_dir}/daily_land_surface", now, cities=chunks)
-        )
+    for feed, daily in _daily_frames(raw, chunks).items():
+        window = run_window("daily", day, lag_days=1 if feed == "land_surface" else 0)
+        copy, target = f"{out_dir}/transformed/daily_{feed}", f"{out_dir}/daily_{feed}"
+        results.append(load_daily(spark, feed, daily, window, copy, target, now, cities=known))
     return results
 
 
@@ -259,21 +260,14 @@ def run_backfill(
     out_dir: str,
     now: dt.datetime | None = None,
     half_open: bool = False,
+    cities: DataFrame | None = None,
 ) -> list[dict]:
-    """Yearly backfill of climate and land surface (no validation stage)."""
+    """Yearly backfill of the feeds in ``raw`` (no validation stage)."""
     out_dir = out_dir.rstrip("/")
+    known = chunks if cities is None else cities
     window = run_window("yearly", start, end, half_open=half_open)
     results = []
-    if "climate" in raw:
-        daily = climate_daily(raw["climate"], raw["discharge"], chunks)
-        results.append(
-            load_daily(spark, "climate", daily, window, f"{out_dir}/transformed/backfill_climate",
-                       f"{out_dir}/daily_climate", now, validate=False, cities=chunks)
-        )
-    if "land_surface" in raw:
-        daily = land_surface_daily(raw["land_surface"])
-        results.append(
-            load_daily(spark, "land_surface", daily, window, f"{out_dir}/transformed/backfill_land_surface",
-                       f"{out_dir}/daily_land_surface", now, validate=False, cities=chunks)
-        )
+    for feed, daily in _daily_frames(raw, chunks).items():
+        copy, target = f"{out_dir}/transformed/backfill_{feed}", f"{out_dir}/daily_{feed}"
+        results.append(load_daily(spark, feed, daily, window, copy, target, now, validate=False, cities=known))
     return results

@@ -89,6 +89,8 @@ def current(spark: SparkSession, path: str) -> Version | None:
 def read_version(spark: SparkSession, path: str, version: Version) -> DataFrame:
     """The rows of one version: only the folders its manifest names are listed."""
     path = path.rstrip("/")
+    names = [n for n in version.schema.fieldNames() if n != version.partition_col]
+    names += [version.partition_col] if version.partition_col else []  # last, as in plain Parquet
     out = None
     for plain in (True, False):
         chosen = [(c, p) for p, c in version.parts.items() if (c == PLAIN) is plain]
@@ -97,9 +99,9 @@ def read_version(spark: SparkSession, path: str, version: Version) -> DataFrame:
         base = path if plain else f"{path}/_data"
         folders = [f"{base}/{c}/{p}".rstrip("/") if c else f"{base}/{p}".rstrip("/") for c, p in chosen]
         schema = version.schema if plain else T.StructType([*version.schema.fields, T.StructField("commit", T.StringType())])
-        rows = spark.read.schema(schema).option("basePath", base).parquet(*folders).select(*version.schema.fieldNames())
+        rows = spark.read.schema(schema).option("basePath", base).parquet(*folders).select(*names)
         out = rows if out is None else out.unionByName(rows)
-    return spark.createDataFrame([], version.schema) if out is None else out
+    return spark.createDataFrame([], version.schema).select(*names) if out is None else out
 
 
 def read_table(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:

@@ -28,7 +28,7 @@ from airshed.functions.clean import to_spec
 from airshed.operators.quality import Expectation, gate, run_suite
 from airshed.schemas import TableSpec
 from airshed.session import checkpoint_dir
-from airshed.sources.writers import merge_into
+from airshed.sources.versioned import merge_versioned
 
 
 def start_loader(
@@ -68,7 +68,7 @@ def start_loader(
             if suite:
                 gate(run_suite(daily, suite))
             stamp = now() if now else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-            merge_into(session, target_path, to_spec(daily, spec), list(spec.keys), now=stamp, target_schema=spec.schema())
+            merge_versioned(session, target_path, to_spec(daily, spec), list(spec.keys), now=stamp, target_schema=spec.schema())
         finally:
             daily.unpersist()
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from airshed.operators.quality import DataQualityError
 from airshed.plans import pipelines as P
 from airshed.schemas import AIR_QUALITY_VARS, CLIMATE_VARS, DISCHARGE_VARS, LAND_SURFACE_VARS, raw_series_schema
+from airshed.sources.versioned import read_table
 
 CSV = """city,city_ascii,lat,lng,country,iso2,iso3,admin_name,capital,population,id
 A,A,1.0,1.0,X,XX,XXX,,,300,11
@@ -89,22 +90,22 @@ def test_daily_run_all_feeds(spark, world):
     out = os.path.join(root, "warehouse")
     res = P.run_daily(spark, DAY, chunks, raw, out, now=NOW)
     assert [r["feed"] for r in res] == ["climate", "air_quality", "land_surface"]
-    climate = spark.read.parquet(os.path.join(out, "daily_climate"))
+    climate = read_table(spark, os.path.join(out, "daily_climate"))
     assert climate.count() == 4 and climate.filter(F.col("date") == DAY).count() == 4
     assert dict(climate.dtypes)["soil_moisture_0_to_10cm_mean"] == "decimal(8,5)"
-    aq = spark.read.parquet(os.path.join(out, "daily_air_quality"))
+    aq = read_table(spark, os.path.join(out, "daily_air_quality"))
     assert aq.count() == 4  # only the run day; the 7 lead-in hours feed the first frames
     r = aq.filter(F.col("city_id") == 11).first()
     assert float(r.ozone_8h_max) == pytest.approx(19.5)  # hours 16..23
     assert float(r.pm10_mean) == pytest.approx(11.5)
-    land = spark.read.parquet(os.path.join(out, "daily_land_surface"))
+    land = read_table(spark, os.path.join(out, "daily_land_surface"))
     lr = land.first()
     assert lr.date == DAY - dt.timedelta(days=1) and lr.land_surface_temp is None and float(lr.surface_pressure) == 900.0
     before = sorted(map(tuple, climate.collect()))
     assert all(r.created_at == NOW for r in climate.collect())
     # rerun: idempotent (created_at does not move)
     P.run_daily(spark, DAY, chunks, raw, out, now=dt.datetime(2030, 1, 1))
-    assert sorted(map(tuple, spark.read.parquet(os.path.join(out, "daily_climate")).collect())) == before
+    assert sorted(map(tuple, read_table(spark, os.path.join(out, "daily_climate")).collect())) == before
 
 
 def test_daily_run_blocks_on_critical_failure(spark, world):
@@ -124,7 +125,7 @@ def test_yearly_backfill(spark, world):
     raw = _raw_tables(spark, chunks, day=start, days=3)
     out = os.path.join(root, "warehouse")
     P.run_backfill(spark, start, dt.date(2025, 1, 1), chunks, {"climate": raw["climate"], "discharge": raw["discharge"]}, out, now=NOW)
-    climate = spark.read.parquet(os.path.join(out, "daily_climate"))
+    climate = read_table(spark, os.path.join(out, "daily_climate"))
     assert sorted({r.date for r in climate.collect()}) == [dt.date(2024, 12, 30), dt.date(2024, 12, 31), dt.date(2025, 1, 1)]
     assert climate.count() == 12
 
@@ -215,7 +216,7 @@ def test_cli_cities_daily_backfill(spark, tmpdir_path):
         write_raw_chunks(df.withColumn("run_date", F.lit(DAY)), os.path.join(raw_dir, feed))
     res = cli.main(["daily", "--day", DAY.isoformat(), "--raw", raw_dir, "--chunks", chunks_path, "--out", out], spark=spark)
     assert sorted(r["feed"] for r in res) == ["air_quality", "climate", "land_surface"]
-    assert spark.read.parquet(os.path.join(out, "daily_air_quality")).count() == 4
+    assert read_table(spark, os.path.join(out, "daily_air_quality")).count() == 4
     with pytest.raises(DataQualityError, match="no rows"):  # a day without raw rows
         cli.main(["daily", "--day", "2024-03-09", "--raw", raw_dir, "--chunks", chunks_path, "--out",
                   os.path.join(tmpdir_path, "empty"), "--feeds", "air_quality"], spark=spark)
@@ -229,4 +230,4 @@ def test_cli_cities_daily_backfill(spark, tmpdir_path):
                     "--raw", raw_dir, "--chunks", chunks_path, "--out", back, "--feeds", "climate", "discharge"],
                    spark=spark)
     assert [r["feed"] for r in res] == ["climate"]
-    assert spark.read.parquet(os.path.join(back, "daily_climate")).count() == 4
+    assert read_table(spark, os.path.join(back, "daily_climate")).count() == 4

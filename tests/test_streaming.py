@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from airshed.operators.quality import AIR_QUALITY_SUITE
 from airshed.plans.pipelines import air_quality_daily
 from airshed.schemas import AIR_QUALITY_VARS, DAILY_AIR_QUALITY, raw_series_schema
+from airshed.sources.versioned import read_table
 from airshed.sources.writers import write_raw_chunks
 from airshed.streaming.incremental import start_loader
 
@@ -45,17 +46,17 @@ def test_loader_processes_new_files_once(spark, tmpdir_path):
     d1, d2 = dt.date(2024, 3, 1), dt.date(2024, 3, 2)
     write_raw_chunks(_raw_day(spark, d1, 1.0), raw_dir)
     run()
-    first = {(r.date, r.city_id): r for r in spark.read.parquet(target).collect()}
+    first = {(r.date, r.city_id): r for r in read_table(spark, target).collect()}
     assert set(first) == {(d1, c) for c in (100, 101, 102, 103)}
     assert float(first[(d1, 100)].pm10_mean) == 12.5
 
     write_raw_chunks(_raw_day(spark, d2, 2.0), raw_dir)
     run()
-    snap = sorted(map(tuple, spark.read.parquet(target).collect()))
+    snap = sorted(map(tuple, read_table(spark, target).collect()))
     assert {r[-1] for r in snap} == {d1, d2} and len(snap) == 8
-    created = {(r.date, r.city_id): r.created_at for r in spark.read.parquet(target).collect()}
+    created = {(r.date, r.city_id): r.created_at for r in read_table(spark, target).collect()}
     assert created[(d1, 100)] == dt.datetime(2024, 3, 2, 1) and created[(d2, 100)] == dt.datetime(2024, 3, 2, 2)
 
     run()  # nothing new: no batch, table unchanged
-    assert sorted(map(tuple, spark.read.parquet(target).collect())) == snap
-    assert spark.read.parquet(target).filter(F.col("ozone_8h_max").isNull()).count() == 0
+    assert sorted(map(tuple, read_table(spark, target).collect())) == snap
+    assert read_table(spark, target).filter(F.col("ozone_8h_max").isNull()).count() == 0

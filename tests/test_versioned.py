@@ -185,7 +185,7 @@ def test_unpartitioned_tables_and_replacement(spark, tmpdir_path):
 
 def test_empty_source_null_partition_and_wrong_layout(spark, tmpdir_path):
     path = f"{tmpdir_path}/t"
-    assert merge(spark, path, []).count() == 0 and read_table(spark, path).columns == ["date", "city_id", "m"]
+    assert merge(spark, path, []).count() == 0 and read_table(spark, path).columns == ["city_id", "m", "date"]
     merge(spark, path, [(D[0], 1, 1.0)])
     assert merge(spark, path, []).count() == 1
     write_version(spark, path, frame(spark, [(None, 4, 4.0)]), current(spark, path))
