@@ -49,8 +49,8 @@ MIN_DOCS, TOP = 3, 200
 SCALE = 1_000_000_000
 SHARD_KEYS, SOURCE_BLOCK = 1 << 14, 64
 ROUND_BYTES = 64 << 20
-#: Distinct terms (by language) and dense slots that a task holds.
-HELD_TERMS, HELD_SLOTS = 200_000, 8_000_000
+#: Distinct terms (by language) and terms' slots that a task holds.
+HELD_TERMS, HELD_SLOTS = 400_000, 4_000_000
 #: Tasks whose slots are first added up together.
 TASKS_SUMMED = 64
 
@@ -206,7 +206,7 @@ def _recount(shared):
             starts[lang][shard] = width[lang]
             width[lang] += len(indexes[lang, shard].keys)
         place: dict[str, dict[bytes, int]] = defaultdict(dict)  # slots of terms seen of late; -1: none
-        slots: dict[tuple, np.ndarray] = {}
+        held: dict[tuple, list[np.ndarray]] = defaultdict(list)  # slots of a group's terms
 
         def learn(lang: str, new: list[bytes]) -> None:
             hashes = np.fromiter(map(key_hash, new), np.uint64, len(new))
@@ -222,11 +222,26 @@ def _recount(shared):
                 place[lang].update(zip(keys, slot.tolist()))
 
         def flush():
-            for (lang, source), dense in slots.items():
-                own = starts[lang].items()
-                yield _slot_rows([(lang, source, k) for k, _ in own], ["lang", "source", "shard"], [dense[at : at + len(indexes[lang, k].keys)] for k, at in own])
-            slots.clear()
-
+            for (lang, source), found in held.items():
+                at, wide = np.concatenate(found), width[lang]
+                if len(at) * 8 >= wide:
+                    dense = np.bincount(at, minlength=wide)
+                    used = np.flatnonzero(dense)
+                    times = dense[used]
+                else:  # few of very many slots
+                    used, times = np.unique(at, return_counts=True)
+                own = sorted(starts[lang].items(), key=lambda x: x[1])
+                edge = np.searchsorted(used, [at for _, at in own] + [wide])
+                rows = [(k, used[i:j] - first, times[i:j]) for (k, first), i, j in zip(own, edge, edge[1:]) if j > i]
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(rows)), pa.array([source] * len(rows)), pa.array([k for k, _, _ in rows], pa.int64()),
+                         _lists([s for _, s, _ in rows], pa.int32()), _lists([n for _, _, n in rows], pa.int64())],
+                        names=["lang", "source", "shard", "slots", "counts"],
+                    )
+            held.clear()
+
+        size = 0
         for b in batches:
             for lang, source, text in zip(column(b, "lang").to_pylist(), column(b, "source").to_pylist(), text_bytes(b)):
                 if lang not in shards:
@@ -236,12 +251,12 @@ def _recount(shared):
                     known.clear()
                 if new := list(set(found).difference(known)):
                     learn(lang, new)
-                at = np.fromiter(map(known.__getitem__, found), np.int64, len(found))
-                if (lang, source) not in slots:
-                    if sum(map(len, slots.values())) + width[lang] > HELD_SLOTS:
-                        yield from flush()
-                    slots[lang, source] = np.zeros(width[lang], np.int64)
-                np.add.at(slots[lang, source], at[at >= 0], 1)
+                at = np.fromiter(map(known.__getitem__, found), np.int32, len(found))
+                held[lang, source].append(at[at >= 0])
+                size += len(found)
+                if size > HELD_SLOTS:
+                    yield from flush()
+                    size = 0
         yield from flush()
 
     return run
