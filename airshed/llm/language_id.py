@@ -206,7 +206,8 @@ def fit(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     drawn = ids.join(sizes, F.col("lang") == F.col("_lang")).where(draw < each / F.col("_n"))
     sample = drawn.orderBy(draw, "doc_id").limit(max_train).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
     rows = usable.join(F.broadcast(sample), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
-    rows = rows.where(F.col("text").isNotNull()).select("text", "lang")
+    rows = rows.where(F.col("text").isNotNull()).select("doc_id", "text", "lang")
+    rows = rows.orderBy(F.xxhash64("doc_id", "lang"), F.xxhash64("text")).limit(max_train).select("text", "lang")  # an id may have many rows
     trained = rows.repartition(1).mapInArrow(_train(idf), "model binary").first()  # no row: nothing to learn from
     return Model(*pickle.loads(trained["model"])) if trained else Model([], idf, np.zeros((1 << BITS, 0)), np.zeros(0), 1.0)
 

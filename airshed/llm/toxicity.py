@@ -14,7 +14,7 @@ and id are never features.
 
 The model is fitted in one task on a bounded sample: all rows outside the held
 out fold if they are few, else about MAX_TOXIC and MAX_CLEAN documents by hash
-of the id. Every whole text of the table is scored where it lies; nothing is
+of the id, and never more rows than that, however often an id is repeated. Every whole text of the table is scored where it lies; nothing is
 shuffled but the sample.
 
 Defined cases: null or empty text has no sentence and gets the probability of
@@ -148,6 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clea
     pick = lambda y, n: ids.where(F.col("_toxic") == y).orderBy(F.xxhash64("_id"), "_id").limit(n)
     sample = pick(1, max_toxic).union(pick(0, max_clean))  # bounded, so it may be broadcast
     rows = docs.join(F.broadcast(sample), docs["doc_id"] == sample["_id"]).select(docs["doc_id"], docs["text"], "_toxic")
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(max_toxic + max_clean)  # an id may have many rows
     fitted = rows.repartition(1).mapInArrow(_fit_task, "model binary").first()  # no row: nothing to learn from
     return Model(*pickle.loads(fitted["model"])) if fitted else _fit([], np.zeros(0, np.int64))
 

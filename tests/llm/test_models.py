@@ -269,3 +269,46 @@ def test_leaks_awkward_rows(spark, rows, items):
     docs = with_clashes(spark.createDataFrame(rows, DOC_SCHEMA))
     out = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
     assert ({(r["doc_id"], r["item_id"]) for r in out} >= {(9, 1)}) == bool(rows and items)
+
+
+# --- samples are bounded in rows, not in ids
+
+
+@pytest.fixture()
+def one_hot_id(spark):
+    rng = random.Random(21)
+    rows = [(5, prose(rng, 12), "en" if k % 2 else "fr", "s0", 1) for k in range(400)] + [(k, prose(rng, 12), "fr", "s0", 1) for k in range(10, 40)]
+    return spark.createDataFrame(rows, DOC_SCHEMA)
+
+
+def rows_seen(monkeypatch, module, name):
+    """The rows that reach the single fitting task, counted in its result."""
+    import pyarrow as pa
+
+    def count(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([str(sum(b.num_rows for b in batches)).encode()], pa.binary())], names=["model"])
+
+    class Seen(Exception):
+        pass
+
+    def loads(data):
+        raise Seen(data.decode())
+
+    monkeypatch.setattr(module, name, count if name == "_fit_task" else lambda *_: count)
+    monkeypatch.setattr(module.pickle, "loads", loads)
+    return Seen
+
+
+def test_one_repeated_id_does_not_fill_the_fitting_task_of_toxicity(spark, one_hot_id, monkeypatch):
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], LABELS)
+    seen = rows_seen(monkeypatch, toxicity, "_fit_task")
+    with pytest.raises(seen) as said:
+        toxicity.fit(one_hot_id, labels, max_toxic=6, max_clean=6)
+    assert 0 < int(str(said.value)) <= 12
+
+
+def test_one_repeated_id_does_not_fill_the_fitting_task_of_language_id(spark, one_hot_id, monkeypatch):
+    seen = rows_seen(monkeypatch, language_id, "_train")
+    with pytest.raises(seen) as said:
+        language_id.fit(one_hot_id, max_train=9)
+    assert 0 < int(str(said.value)) <= 9
