@@ -14,8 +14,9 @@ in a window of at most 256 rows, and rows inside a cell in a window of
 1/65,536 of the source. No window holds a whole source.
 
 Defined cases: null text has size 0; the null source is a source of its own,
-last in order; null ids are shuffled as the empty id; repeated rows count as
-documents of their own; an empty table gives an empty result; sources of size
+last in order; null ids are shuffled as the empty id; rows that share an id
+follow by size, then by the hash of their text, so reruns agree on which text
+is taken; rows repeated in full count as documents of their own; an empty table gives an empty result; sources of size
 0 get target 0. Only the named columns are read, so extra columns never clash.
 """
 
@@ -98,7 +99,7 @@ def mix(
         F.col("source").alias("_s"), F.col("_hi").alias("_h"), F.col("_lo").alias("_l"),
         (F.coalesce("_in_hi", zero) + F.coalesce("_in_source", zero)).alias("_off"),
     )
-    in_cell = Window.partitionBy("source", "_hi", "_lo").orderBy("_key", "doc_id", "size").rowsBetween(running, -1)
+    in_cell = Window.partitionBy("source", "_hi", "_lo").orderBy("_key", "doc_id", "size", "row_key").rowsBetween(running, -1)
     rows = sized.withColumn("_in_cell", F.coalesce(F.sum("size").over(in_cell), zero))
     rows = rows.join(offsets, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_hi") == F.col("_h")) & (F.col("_lo") == F.col("_l")))
     rows = rows.select("doc_id", "row_key", "source", "size", (F.col("_off") + F.col("_in_cell")).alias("before"))

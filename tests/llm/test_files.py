@@ -4,12 +4,14 @@ import hashlib
 import os
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from airshed.llm import near_dedup, range_coder, token_ids, warc
+from airshed.llm import mixing, near_dedup, range_coder, token_ids, warc
 from airshed.llm.components import components
 from airshed.session import scratch_path
 
@@ -234,10 +236,64 @@ def test_pipeline_near_dedup_is_five_words_at_80_percent(spark):
             w[20 + 25 * k] = word()
         rows += [(100 * g + 1, " ".join(base), "en", "s", 1), (100 * g + 2, " ".join(w), "en", "s", 1)]
     rows += awkward_docs()
-    want = {r[0] for r in brute_near(rows, 5, 80) if r[3]}
-    assert want - {None} != {r[0] for r in brute_near(rows) if r[3]} - {None}
+    assert {r[0] for r in brute_near(rows, 5, 80) if r[3]} - {None} != {r[0] for r in brute_near(rows) if r[3]} - {None}
     docs = spark.createDataFrame(rows, DOC_SCHEMA)
-    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == want
+    # a row at a time, in the order of ids: rows that share an id are judged on their own
+    in_order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
+    alone = brute_near([(k, *r[1:]) for k, r in enumerate(in_order)], 5, 80)
+    want = Counter(in_order[r[0]][:2] for r in alone if r[3])
+    assert Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == want
     judged = near_dedup.near_duplicates(docs, width=5, percent=80).collect()
     same([tuple(r) for r in judged], brute_near(rows, 5, 80))
     assert near_dedup.Rule().trees == 12 and near_dedup.Rule(5, 80).trees == 16
+
+
+def pipeline_tables(spark, root, rows, item):
+    spark.createDataFrame(rows, DOC_SCHEMA).write.parquet(f"{root}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{root}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+    return spark.read.parquet(f"{root}/documents.parquet")
+
+
+def test_pipeline_judges_rows_not_ids(spark, tmp_path):
+    """One row of an id (or without one) leaks, is junk or is a copy; the other rows of that id stay."""
+    rng = random.Random(23)
+    item = prose(rng, 30)
+    clean = [prose(rng, 60) for _ in range(12)]
+    leak, junk = f"{prose(rng, 20)} {item} {prose(rng, 20)}", "### $$$ &&& " * 40
+    rows = [(i, prose(rng, 60), "en", "s", 1) for i in range(60)]
+    rows += [(None, t, "en", "s", 1) for t in [*clean[:5], leak, junk, rows[3][1]]]
+    rows += [(700, t, "en", "s", 1) for t in [*clean[5:10], leak, junk, clean[5], None]]
+    docs = pipeline_tables(spark, str(tmp_path), rows, item)
+    texts = lambda frame: Counter((r["doc_id"], r["text"]) for r in frame.collect() if r["doc_id"] not in range(60))
+    given = texts(docs)
+    without = lambda *gone: given - Counter(gone)
+    assert texts(corpus_pipeline.quality(spark, docs, str(tmp_path))) == without((None, junk), (700, junk), (700, None))
+    assert texts(corpus_pipeline.decontamination(spark, docs, str(tmp_path))) == without((None, leak), (700, leak))
+    kept = texts(corpus_pipeline.near_duplicates(spark, docs, ""))
+    assert sum(n for (_, t), n in kept.items() if t == leak) == 1 and sum(n for (_, t), n in kept.items() if t == junk) == 1
+    assert kept[700, clean[5]] == 1 and (None, rows[3][1]) not in kept and (700, leak) in kept  # the smallest id stays
+    assert all(kept[i, t] == 1 for i, t in given if t in clean) and kept[700, None] == 1
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 60
+
+
+def test_pipeline_on_an_empty_table_and_clashing_columns(spark, tmp_path):
+    rng = random.Random(24)
+    docs = pipeline_tables(spark, str(tmp_path), [], prose(rng, 30))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    full = spark.createDataFrame([(i, prose(rng, 50), "en", "s", 1) for i in (1, 1, None)], DOC_SCHEMA)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, str(tmp_path)).count() == 0
+        extra = with_clashes(full).withColumns({"_row": F.lit(7), "_id": F.lit(7), "_n": F.lit(7), "_doc": F.lit(7)})
+        out = stage(spark, extra, str(tmp_path))
+        assert tuple(out.columns) == corpus_pipeline.COLUMNS and out.count() >= (stage is not corpus_pipeline.quality)
+
+
+def test_mix_does_not_depend_on_the_layout(spark):
+    """Rows of one id and size, but different texts: the same texts are taken in every layout."""
+    rng = random.Random(25)
+    rows = [(1, prose(rng, 40), "en", "a", 1) for _ in range(12)] + [(k, prose(rng, 40), "en", "b", 1) for k in range(2, 6)]
+    base = spark.createDataFrame(rows, DOC_SCHEMA)
+    layouts = [base, base.repartition(7), base.orderBy(F.desc("text")), base.repartition(2, "text")]
+    got = [sorted(tuple(r) for r in mixing.mix(d).select("doc_id", "row_key", "taken").collect()) for d in layouts]
+    assert got[0] == got[1] == got[2] == got[3]
