@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airshed.functions.clean import null_nan
@@ -57,20 +57,23 @@ def daily_aggregate(
     ts: str = "date",
     reset_daily: bool = False,
     bucket_rows: int | None = DEFAULT_BUCKET_ROWS,
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """(ts, key, measures...) -> (key, date, one column per metric).
 
     Rows with a NULL key or time are dropped first (group keys never NULL).
     NaN counts as missing. ``reset_daily`` restarts rolling frames at midnight
-    (the daily-batch behaviour); by default frames cross days.
+    (the daily-batch behaviour); by default frames cross days. ``carried``
+    are the last rows of earlier batches (``last_rows``): frames reach back to
+    them, but they are in no aggregate.
     """
     srcs = sorted({m.src for m in spec})
-    df = null_nan(
-        hourly.select(F.col(key), F.col(ts), *[F.col(s) for s in srcs]).filter(
-            F.col(key).isNotNull() & F.col(ts).isNotNull()
-        ),
-        srcs,
-    ).withColumn("_day", F.to_date(F.col(ts)))
+    named = [F.col(key), F.col(ts), *[F.col(s) for s in srcs]]
+    keyed = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    df = hourly.select(*named).filter(keyed)
+    if carried is not None:
+        df = df.withColumn("_carried", F.lit(False)).unionByName(carried.select(*named).filter(keyed).withColumn("_carried", F.lit(True)))
+    df = null_nan(df, srcs).withColumn("_day", F.to_date(F.col(ts)))
     # The window is partitioned by the key (plus the day when frames reset at
     # midnight); grouping by the same attributes reuses that partitioning, so
     # rolling + daily aggregate cost one shuffle.
@@ -87,6 +90,8 @@ def daily_aggregate(
             outputs=[f"_{s}_roll{window}" for s in these],
             bucket_rows=bucket_rows,
         )
+    if carried is not None:
+        df = df.filter(~F.col("_carried"))
     aggs: list[Column] = []
     for m in spec:
         if m.how == "max_rolling":
@@ -94,3 +99,17 @@ def daily_aggregate(
         else:
             aggs.append(_SIMPLE[m.how](F.col(m.src)).alias(m.out))
     return df.groupBy(F.col(key), F.col("_day").alias("date")).agg(*aggs)
+
+
+def last_rows(hourly: DataFrame, spec=AQ_SPEC, key: str = "city_id", ts: str = "date", carried: DataFrame | None = None) -> DataFrame:
+    """The rows that the next batch's frames reach back to: of each key the
+    last ``window - 1`` rows of this batch and of what it was carried itself.
+    The ranking is cut to them before its shuffle, so a hot key sends few rows."""
+    names = [key, ts, *sorted({m.src for m in spec})]
+    rows = hourly.select(*names)
+    if carried is not None:
+        rows = rows.unionByName(carried.select(*names))
+    reach = max((m.window for m in spec if m.how == "max_rolling"), default=1) - 1
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(ts)))
+    keyed = rows.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    return keyed.withColumn("_rank", rank).filter(F.col("_rank") <= reach).drop("_rank")

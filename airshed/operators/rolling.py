@@ -6,9 +6,11 @@ values are present. Row-based, not time-based: gaps in the hour grid are not
 padded, and the frame crosses midnight unless ``reset_by`` restarts it.
 
 Skew: ``Window.partitionBy(key)`` sends all rows of one key to one task. So
-the rows per key are counted once (a map-side-combined aggregate) and the keys
-with more than ``bucket_rows`` rows are written to a scratch table; there are
-at most rows / ``bucket_rows`` of them. All other keys take the plain window
+a frequent-items sketch (``operators/heavy.py``) finds the keys with more than
+``bucket_rows`` rows, NULL among them, and their hashes are written to a
+scratch table; there are about rows / ``bucket_rows`` of them at most. A key
+that the sketch takes for heavy without need only goes the longer way.
+All other keys take the plain window
 (one shuffle, and its hash partitioning on the key also serves a later
 ``groupBy`` on key + day). Hot keys get their global position in (key, order)
 order, are cut into buckets of ``bucket_rows`` positions, and the last
@@ -23,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from airshed.operators.heavy import heavy_keys, key_hash
 from airshed.operators.ordinal import with_ordinal
 from airshed.session import delete_at_exit, scratch_path
 
@@ -55,10 +58,9 @@ def _bucketed(df, groups, order, cols, outputs, halo, min_rows, bucket_rows):
 
 
 def _hot_keys(df: DataFrame, groups: list[str], bucket_rows: int) -> DataFrame:
-    """Keys with more than ``bucket_rows`` rows, counted once."""
+    """Hashes of the keys with more than ``bucket_rows`` rows, sketched once."""
     path = scratch_path(df.sparkSession, "hot-keys")
-    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > bucket_rows).select(*groups)
+    hot = heavy_keys(df, groups, bucket_rows).select(F.col("hash").alias("_hot"))
     hot.write.parquet(path)
     delete_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(hot.schema).parquet(path)
@@ -99,8 +101,9 @@ def rolling_mean(
         if hot.isEmpty():
             out = _plain(df, *args)
         else:
-            cold = _plain(df.join(hot, groups, "left_anti"), *args)
-            warm = _bucketed(df.join(hot, groups, "left_semi"), *args, bucket_rows)
+            is_hot = key_hash(groups) == F.col("_hot")  # by hash: NULL keys compare too
+            cold = _plain(df.join(hot, is_hot, "left_anti"), *args)
+            warm = _bucketed(df.join(hot, is_hot, "left_semi"), *args, bucket_rows)
             out = cold.unionByName(warm)
     if reset_by is not None:
         out = out.drop("_reset")

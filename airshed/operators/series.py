@@ -8,8 +8,9 @@ in place (generators inside the row's partition): no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airshed.functions.clean import nan_to_null
 from airshed.functions.timecols import expected_steps, parse_yyyymmdd
@@ -111,3 +112,48 @@ def pivot_keyed_series(
     return exploded.select(
         parse_yyyymmdd(F.col("_d")).alias("date"), *[F.col("_v")[i].alias(v) for i, v in enumerate(variables)], *keys
     )
+
+
+# Why a keyed body is rejected, in the order that they are looked for.
+EMPTY, NOT_JSON, NO_PARAMETER, NOT_NUMERIC, BAD_DAY = "empty", "not json", "no parameter", "not numeric", "bad day"
+
+
+def judge_bodies(raw: DataFrame, body: str = "body", reason: str = "reason") -> DataFrame:
+    """``raw`` with the ``reason`` that its body can't be loaded for (NULL: it
+    can). Bodies are parsed as VARIANT, so one parse tells apart text that is no
+    JSON, an answer without ``properties.parameter``, a value that is no number
+    and a key that is no day (``yyyyMMdd``). JSON null is a missing value."""
+    told = F.try_parse_json(F.col(body))
+    path = "$.properties.parameter"
+    days = F.try_variant_get(F.col("_v"), path, "map<string,map<string,variant>>")
+    maps = F.map_values(F.col("_days"))
+    keys = F.flatten(F.transform(maps, F.map_keys))
+    kinds = F.transform(F.flatten(F.transform(maps, F.map_values)), lambda x: F.schema_of_variant(x))
+    number = r"^(VOID|BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
+    found = raw.withColumn("_v", told).withColumn("_days", days)
+    why = (
+        F.when(F.col(body).isNull() | F.col(body).rlike(r"^\s*$"), EMPTY)
+        .when(F.col("_v").isNull(), NOT_JSON)
+        .when(F.col("_days").isNull() | F.exists(maps, lambda m: m.isNull()), NO_PARAMETER)
+        .when(F.exists(kinds, lambda k: ~k.rlike(number)), NOT_NUMERIC)
+        .when(F.exists(keys, lambda k: ~k.rlike(r"^\d{8}$") | F.try_to_date(k, "yyyyMMdd").isNull()), BAD_DAY)
+    )
+    return found.withColumn(reason, why).drop("_v", "_days")
+
+
+def quarantine(raw: DataFrame, path: str, body: str = "body") -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """One pass over the raw bodies: the sound ones and the rejected ones, each
+    with its ``reason``, go to a folder of their own below ``path``. Returns
+    (sound, rejected, rows by reason: "ok" and those that occurred)."""
+    spark = raw.sparkSession
+    reasons = (EMPTY, NOT_JSON, NO_PARAMETER, NOT_NUMERIC, BAD_DAY)
+    judged = judge_bodies(raw, body)
+    seen = Observation()
+    counts = [F.count_if(F.col("reason").isNull()).alias("ok"), *[F.count_if(F.col("reason") == r).alias(r) for r in reasons]]
+    out = judged.observe(seen, *counts).withColumn("rejected", F.col("reason").isNotNull())
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("rejected").parquet(path)
+    schema = judged.schema
+    kept = spark.read.schema(T.StructType([*schema.fields, T.StructField("rejected", T.BooleanType())])).parquet(path)
+    sound = kept.filter(~F.col("rejected")).drop("rejected", "reason")
+    found = {k: n for k, n in seen.get.items() if n or k == "ok"}
+    return sound, kept.filter("rejected").drop("rejected"), found

@@ -765,12 +765,6 @@ FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'
 """
 
 
-def q_aq_daily_validated(spark, sf_dir):
-    """The flagship's daily frame checked by the air-quality pre-load suite."""
-    daily = daily_aggregate(events_as_hourly(table(spark, sf_dir, "events")), AQ_SPEC)
-    return run_suite(daily, Q.AIR_QUALITY_SUITE)
-
-
 def q_quantize_declared(spark, sf_dir):
     """Measures quantised to their declared (precision, scale), HALF_UP."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax")
@@ -841,7 +835,8 @@ def q_air_quality_pipeline(spark, sf_dir):
     return round6(air_quality_daily(raw_air, ids))
 
 
-def _air_quality_pipeline_sql() -> str:
+def _air_quality_pipeline_sql(digits: int | None = 6) -> str:
+    rounded = (lambda x: x) if digits is None else (lambda x: f"round({x}, {digits})")
     cols = ",\n".join(
         f"    CAST({_series_value_sql(k)} AS DOUBLE) AS {v}" for k, v in enumerate(AIR_QUALITY_VARS)
     )
@@ -857,10 +852,10 @@ r AS (
     CASE WHEN count(carbon_monoxide) OVER w = 8 THEN avg(carbon_monoxide) OVER w END AS co_8h
   FROM h WINDOW w AS (PARTITION BY city_id ORDER BY date ROWS BETWEEN 7 PRECEDING AND CURRENT ROW))
 SELECT city_id, CAST(date AS DATE) AS date,
-  round(avg(pm2_5), 6) AS pm2_5_mean, round(avg(pm10), 6) AS pm10_mean,
-  round(avg(carbon_dioxide), 6) AS carbon_dioxide_mean, round(max(o3_8h), 6) AS ozone_8h_max,
-  round(max(co_8h), 6) AS carbon_monoxide_8h_max, round(max(nitrogen_dioxide), 6) AS nitrogen_dioxide_1h_max,
-  round(max(sulphur_dioxide), 6) AS sulphur_dioxide_1h_max
+  {rounded('avg(pm2_5)')} AS pm2_5_mean, {rounded('avg(pm10)')} AS pm10_mean,
+  {rounded('avg(carbon_dioxide)')} AS carbon_dioxide_mean, {rounded('max(o3_8h)')} AS ozone_8h_max,
+  {rounded('max(co_8h)')} AS carbon_monoxide_8h_max, {rounded('max(nitrogen_dioxide)')} AS nitrogen_dioxide_1h_max,
+  {rounded('max(sulphur_dioxide)')} AS sulphur_dioxide_1h_max
 FROM r GROUP BY city_id, CAST(date AS DATE)
 """
 
@@ -869,22 +864,26 @@ FROM r GROUP BY city_id, CAST(date AS DATE)
 LAND_CODES = {"click": "PS", "error": "TS", "view": "TQV", "signup": "SLP", "purchase": "GWETROOT"}
 
 
-def q_land_surface_pipeline(spark, sf_dir):
+def land_surface_bodies(spark, sf_dir):
     """Per user, a keyed JSON body {CODE: {yyyymmdd: daily sum, or -999 on days
-    with 3+ events of that type}} built from events; then the land-surface
-    transform: pivot, descriptive names, -999 -> NULL."""
+    with 3+ events of that type}} built from events."""
     ev = table(spark, sf_dir, "events")
     code = F.create_map(*[x for k, v in LAND_CODES.items() for x in (F.lit(k), F.lit(v))])[F.col("event_type")]
     per_day = ev.groupBy(F.col("user_id").alias("city_id"), code.alias("var"), F.date_format("ts", "yyyyMMdd").alias("d")).agg(
         F.when(F.count(F.lit(1)) >= 3, F.lit(-999.0)).otherwise(F.sum("value")).alias("v")
     )
     per_var = per_day.groupBy("city_id", "var").agg(F.map_from_entries(F.collect_list(F.struct("d", "v"))).alias("m"))
-    bodies = per_var.groupBy("city_id").agg(
+    return per_var.groupBy("city_id").agg(
         F.to_json(
             F.struct(F.struct(F.map_from_entries(F.collect_list(F.struct("var", "m"))).alias("parameter")).alias("properties"))
         ).alias("body")
     )
-    return round6(land_surface_daily(bodies))
+
+
+def q_land_surface_pipeline(spark, sf_dir):
+    """The land-surface transform of every user's body: pivot, descriptive
+    names, -999 -> NULL."""
+    return round6(land_surface_daily(land_surface_bodies(spark, sf_dir)))
 
 
 def _land_surface_pipeline_sql() -> str:
@@ -946,7 +945,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "not_null_length": q_not_null_length,
     "fk_orphans": q_fk_orphans,
     "batch_pick": q_batch_pick,
-    "aq_daily_validated": q_aq_daily_validated,
     "quantize_declared": q_quantize_declared,
     "climate_pipeline": q_climate_pipeline,
     "air_quality_pipeline": q_air_quality_pipeline,
@@ -992,7 +990,6 @@ ORACLE_SQL: dict[str, str] = {
     "not_null_length": suite_sql("customer", DQ_STORE, CUSTOMER_COLS),
     "fk_orphans": FK_ORPHANS_SQL,
     "batch_pick": BATCH_PICK_SQL,
-    "aq_daily_validated": suite_sql(f"({_aq_daily_sql('city_id')})", Q.AIR_QUALITY_SUITE, Q.AIR_QUALITY_COLUMNS),
     "quantize_declared": QUANTIZE_DECLARED_SQL,
     "climate_pipeline": CLIMATE_PIPELINE_SQL,
     "air_quality_pipeline": _air_quality_pipeline_sql(),

@@ -13,8 +13,9 @@ from airshed.operators.cities import assign_chunks, clean_cities
 from airshed.operators.quality import WARNING, between, gate, pair_ge, run_suite
 from airshed.schemas import DAILY_AIR_QUALITY
 from airshed.session import delete_at_exit, ensure_utc, scratch_path
-from airshed.sources.readers import read_cities_csv, read_dated_file, read_or_build, read_parquet
-from airshed.sources.writers import merge_into, write_chunks, write_csv, write_partitioned, write_raw_chunks
+from airshed.sources.readers import read_chunk_files, read_cities_csv, read_dated_file, read_or_build, read_parquet
+from airshed.sources.versioned import merge_versioned
+from airshed.sources.writers import write_chunk_files, write_csv, write_partitioned, write_raw_chunks
 
 T0, NOW = dt.datetime(2024, 1, 1), dt.datetime(2024, 6, 1)
 
@@ -88,12 +89,12 @@ SNAPSHOT_SQL = "SELECT s_suppkey, s_nationkey, round(s_acctbal, 6) AS s_acctbal
 
 
 def q_chunk_files(spark, sf_dir):
-    """Chunk folders written twice; only the second layout is left."""
+    """Files of a chunk each written twice; only the second layout is left."""
     path = _folder(spark, "chunks") + "/cities"
     cust = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    write_chunks(assign_chunks(cust, ["c_custkey"], size=20), path)
-    write_chunks(assign_chunks(cust, ["c_custkey"], size=50), path)
-    return read_parquet(spark, path).select("c_custkey", "c_nationkey", "chunk_id", "pos")
+    write_chunk_files(assign_chunks(cust, ["c_custkey"], size=20), path, 20)
+    write_chunk_files(assign_chunks(cust, ["c_custkey"], size=50), path, 50)
+    return read_chunk_files(spark, path).select("c_custkey", "c_nationkey", "chunk_id", "pos")
 
 
 CHUNK_FILES_SQL = """
@@ -206,7 +207,7 @@ WHERE unexpected > 0
 
 
 def q_merge_table(spark, sf_dir):
-    """Two merges into one partitioned table, read back: matched orders take the
+    """Two merges into one versioned table, read back: matched orders take the
     second price, others stay or come in."""
     path = _folder(spark, "merged") + "/orders"
     orders = _table(spark, sf_dir, "orders").select(
@@ -214,8 +215,8 @@ def q_merge_table(spark, sf_dir):
     )
     first = orders.filter(F.col("o_orderstatus").isin("F", "O"))
     second = orders.filter(F.col("o_orderstatus").isin("O", "P")).withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    merge_into(spark, path, first, ["date", "city_id"], now=T0)
-    merged = merge_into(spark, path, second, ["date", "city_id"], now=NOW)
+    merge_versioned(spark, path, first, ["date", "city_id"], now=T0)
+    merged = merge_versioned(spark, path, second, ["date", "city_id"], now=NOW)
     late = (F.col("created_at") == F.lit(NOW)).alias("is_new")
     return _doubles(merged.select("date", "city_id", "o_totalprice", "o_orderstatus", late))
 

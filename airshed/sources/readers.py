@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airshed.functions.timecols import file_stem
 from airshed.operators.cities import scan_position
 from airshed.schemas import WORLD_CITIES_CSV_SCHEMA
 from airshed.session import list_folder, move, path_exists, publish, remove
@@ -107,6 +108,25 @@ def _clear_unpublished(spark: SparkSession, path: str) -> None:
         remove(spark, aside)
 
 
+def read_chunk_files(spark: SparkSession, path: str, chunks: list[int] | None = None, chunk_col: str = "chunk_id") -> DataFrame:
+    """Chunks as ``write_chunk_files`` wrote them; of named chunks only their
+    files are opened (the index says which)."""
+    path = path.rstrip("/")
+    if chunks is None:
+        return spark.read.parquet(path)
+    index = spark.read.parquet(f"{path}/_index").filter(F.col(chunk_col).isin(list(chunks)))
+    files = [f"{path}/{r['file']}" for r in index.select("file").collect()]  # as many as chunks are named
+    whole = spark.read.parquet(path)
+    return spark.read.schema(whole.schema).parquet(*files) if files else whole.limit(0)
+
+
+def read_stem_chunks(spark: SparkSession, paths: list[str], schema: T.StructType | str) -> DataFrame:
+    """Raw files named by their chunk (``7.parquet``): the chunk id is the stem
+    of the file that a row is read from; a name that is no number is an error."""
+    rows = spark.read.schema(schema).parquet(*paths)
+    return rows.select("*", file_stem().cast("int").alias("chunk_id"))
+
+
 def read_day(spark: SparkSession, table_path: str, day: dt.date, col: str = "date") -> DataFrame:
     """One day of a date-partitioned table (partition pruning)."""
     return spark.read.parquet(table_path).filter(F.col(col) == F.lit(day))

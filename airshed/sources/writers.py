@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airshed.operators.upsert import assert_unique_keys, last_per_key, upsert
-from airshed.session import drop_scratch, restore_old, scratch_path, swap_in
+from airshed.session import drop_scratch, restore_old, scratch_path, shuffle_partitions, swap_in
 from airshed.sources.readers import CSV_OPTIONS, try_read_parquet
 
 
@@ -31,6 +32,28 @@ def write_chunks(chunked: DataFrame, path: str, chunk_col: str = "chunk_id") ->
     )
 
 
+def write_chunk_files(chunked: DataFrame, path: str, size: int, chunk_col: str = "chunk_id") -> DataFrame:
+    """One file per chunk of exactly ``size`` rows (the last one may have less),
+    in one folder, replacing an earlier write; returns the index table.
+
+    Range partitioning keeps a chunk in one task and gives each task whole
+    chunks, so the writer's limit of ``size`` rows a file cuts just between
+    them; file names sort by position. The index (``_index``: file, chunk,
+    rows) tells which file to open, so a reader lists no folder per chunk.
+    """
+    spark = chunked.sparkSession
+    parent, _, name = path.rstrip("/").rpartition("/")
+    beside = f"{parent}/_building-{name}-{uuid.uuid4().hex}"
+    rows = chunked.repartitionByRange(shuffle_partitions(spark), F.col(chunk_col)).sortWithinPartitions(chunk_col, "pos")
+    rows.write.option("maxRecordsPerFile", size).parquet(beside)
+    held = spark.read.schema(chunked.schema).parquet(beside).groupBy(F.col("_metadata.file_name").alias("file"))
+    index = held.agg(F.min(chunk_col).alias(chunk_col), F.max(chunk_col).alias("_last"), F.count(F.lit(1)).alias("rows"))
+    index = index.select("file", F.when(F.col(chunk_col) == F.col("_last"), F.col(chunk_col)).otherwise(F.raise_error(F.lit("a file holds two chunks"))).cast("int").alias(chunk_col), "rows")
+    index.repartitionByRange(1, chunk_col).sortWithinPartitions(chunk_col).write.parquet(f"{beside}/_index")
+    swap_in(spark, beside, path)
+    return spark.read.schema(index.schema).parquet(f"{path.rstrip('/')}/_index")
+
+
 def write_raw_chunks(raw: DataFrame, path: str, run_col: str = "run_date", chunk_col: str = "chunk_id") -> None:
     """Raw responses keyed by run date and chunk; a rerun replaces exactly the
     (run date, chunk) folders it produces (dynamic partition overwrite)."""

@@ -10,13 +10,13 @@ import sys
 import pytest
 
 import __spark_entry__ as entry
-from airshed.plans import catalog
+from airshed.plans import registry
 
 from .conftest import SF01
 from .oracle import canon, compare
 
-QUERIES = catalog.QUERIES
-SQL = catalog.ORACLE_SQL
+QUERIES = registry.QUERIES
+SQL = registry.ORACLE_SQL
 
 
 def test_every_query_has_an_oracle():
