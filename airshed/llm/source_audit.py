@@ -51,6 +51,8 @@ SHARD_KEYS, SOURCE_BLOCK = 1 << 14, 64
 ROUND_BYTES = 64 << 20
 #: Distinct terms (by language) and terms' slots that a task holds.
 HELD_TERMS, HELD_SLOTS = 400_000, 4_000_000
+#: Terms that are looked up together.
+LOOKED_UP = 300_000
 #: Tasks whose slots are first added up together.
 TASKS_SUMMED = 64
 
@@ -241,22 +243,35 @@ def _recount(shared):
                     )
             held.clear()
 
-        size = 0
+        def place_terms(lang: str, texts: list[tuple[str, list[bytes]]]) -> None:
+            known = place[lang]
+            if len(known) > HELD_TERMS:
+                known.clear()
+            if new := list(set().union(*(found for _, found in texts)).difference(known)):
+                learn(lang, new)
+            for source, found in texts:
+                at = np.fromiter(map(known.__getitem__, found), np.int32, len(found))
+                held[lang, source].append(at[at >= 0])
+
+        waiting: dict[str, list] = defaultdict(list)  # by language: terms are looked up many at a time
+        n_waiting, size = 0, 0
         for b in batches:
             for lang, source, text in zip(column(b, "lang").to_pylist(), column(b, "source").to_pylist(), text_bytes(b)):
                 if lang not in shards:
                     continue
-                found, known = terms(text), place[lang]
-                if len(known) > HELD_TERMS:
-                    known.clear()
-                if new := list(set(found).difference(known)):
-                    learn(lang, new)
-                at = np.fromiter(map(known.__getitem__, found), np.int32, len(found))
-                held[lang, source].append(at[at >= 0])
-                size += len(found)
-                if size > HELD_SLOTS:
-                    yield from flush()
-                    size = 0
+                found = terms(text)
+                waiting[lang].append((source, found))
+                n_waiting += len(found)
+                if n_waiting > LOOKED_UP:
+                    for at_once in waiting.items():
+                        place_terms(*at_once)
+                    waiting.clear()
+                    size, n_waiting = size + n_waiting, 0
+                    if size > HELD_SLOTS:
+                        yield from flush()
+                        size = 0
+        for at_once in waiting.items():
+            place_terms(*at_once)
         yield from flush()
 
     return run
