@@ -24,6 +24,8 @@ an empty result; only the named columns are read.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -100,10 +102,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _unknown(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """Identifier-like strings that overlap no base span."""
+    """Identifier-like strings that overlap no base span. The base spans
+    are sorted once, so a candidate takes one bisection."""
+    taken = sorted(taken)
+    starts = [a for a, _ in taken]
+    furthest = list(itertools.accumulate((b for _, b in taken), max))
 
     def free(s, e):
-        return all(e <= a or s >= b for a, b in taken)
+        before = bisect.bisect_left(starts, e)  # those that begin before the candidate's end
+        return not before or furthest[before - 1] <= s
 
     if _DIGIT.search(text):
         for m in _NUMBER_RUN.finditer(text):
@@ -120,9 +127,16 @@ def _unknown(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int
                 yield m.span()
 
 
+_CUT_WORD = re.compile(r"^\S+")
+
+
 def _patterns(text: str, start: int) -> list[str]:
     """Lexical patterns to the left, on the same line, digits made alike."""
-    left = text[max(0, start - 80, text.rfind("\n", 0, start) + 1) : start]
+    line = text.rfind("\n", max(0, start - 81), start) + 1
+    cut = max(0, start - 80, line)
+    left = text[cut:start]
+    if cut and cut != line and not text[cut - 1].isspace():
+        left = _CUT_WORD.sub("", left)  # never a part of a word
     words = [_DIGIT.sub("9", w.lower()) for w in _WORD.findall(left)[-2:]]
     out = [" ".join(words)] if len(words) == 2 else []
     return out + ([words[-1]] if words and words[-1][-1] in ":=" else [])

@@ -312,3 +312,71 @@ def test_one_repeated_id_does_not_fill_the_fitting_task_of_language_id(spark, on
     with pytest.raises(seen) as said:
         language_id.fit(one_hot_id, max_train=9)
     assert 0 < int(str(said.value)) <= 9
+
+
+# --- the pattern-instance graph and long texts
+
+
+def plain_scores(edges, rounds):
+    """score_graph on Python sets."""
+    import math
+
+    known = {(p, i, k) for p, i, k in edges if k >= 0}
+    unknown = {(p, i) for p, i, k in edges if k < 0}
+    of = {}
+    for p, i, _ in edges:
+        of.setdefault(p, set()).add(i)
+    beliefs, patterns = {}, {}
+    for _ in range(rounds):
+        held = [(p, k, 1.0) for p, _, k in known] + [(p, beliefs[i][0], beliefs[i][1]) for p, i in unknown if i in beliefs]
+        sums = {}
+        for p, k, b in held:
+            total, n = sums.get((p, k), (0.0, 0))
+            sums[p, k] = (total + b, n + 1)
+        patterns = {(p, k): total / (len(of[p]) + 1) for (p, k), (total, n) in sums.items() if n >= pii.MIN_SUPPORT and total / (len(of[p]) + 1) >= pii.MIN_CONFIDENCE}
+        doubt = {}
+        for p, i in unknown:
+            for (q, k), c in patterns.items():
+                if p == q:
+                    doubt[i, k] = doubt.get((i, k), 0.0) + math.log1p(-c)
+        beliefs = {}
+        for (i, k), d in sorted(doubt.items()):
+            b = 1 - math.exp(d)
+            if i not in beliefs or (b, -k) > (beliefs[i][1], -beliefs[i][0]):
+                beliefs[i] = (k, b)
+    return patterns, beliefs
+
+
+def test_score_graph_equals_plain_sets(spark):
+    rng = random.Random(31)
+    edges = set()
+    for p in range(12):
+        for i in rng.sample(range(46), rng.randint(8, 30)):
+            kind = i % 3 if i < 40 else -1
+            edges.add((f"p{p}", i, (p % 3) if kind >= 0 and p < 8 else kind))
+    frame = spark.createDataFrame(sorted(edges), "pattern string, instance long, kind int")
+    patterns, beliefs = pii.score_graph(frame)
+    want_patterns, want_beliefs = plain_scores(edges, pii.ROUNDS)
+    assert want_patterns and want_beliefs
+    assert {(r["pattern"], r["kind"]): round(r["confidence"], 9) for r in patterns.collect()} == {k: round(v, 9) for k, v in want_patterns.items()}
+    assert {r["instance"]: (r["kind"], round(r["belief"], 9)) for r in beliefs.collect()} == {i: (k, round(b, 9)) for i, (k, b) in want_beliefs.items()}
+
+
+def test_long_text_with_many_candidates_ends_soon():
+    import time
+
+    text = " ".join(f"mail user{k}@host{k}.example and call 5550{k:07d} " for k in range(40_000))
+    assert len(text) > 1_500_000
+    began = time.time()
+    taken = [(s, e) for _, s, e in pii.base_spans(text)]
+    found = list(pii._unknown(text, taken))
+    for s, _ in found:
+        pii._patterns(text, s)
+    assert len(found) > 30_000 and time.time() - began < 20
+    assert all(e <= a or s >= b for s, e in found[:200] for a, b in taken[:600])
+
+
+def test_context_never_holds_a_part_of_a_word():
+    long = "x" * 200
+    assert pii._patterns(f"{long} id 55501234567", 204 + 0) == pii._patterns(f"{'y' * 300} id 55501234567", 304)
+    assert pii._patterns("call me: 5", 9) == ["call me:", "me:"]
