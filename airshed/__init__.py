@@ -26,20 +26,25 @@ from airshed.operators.quality import (
     AIR_QUALITY_SUITE,
     CLIMATE_SUITE,
     LAND_SURFACE_SUITE,
+    checked_write,
     gate,
     orphans,
     run_suite,
 )
+from airshed.operators.heavy import heavy_keys
 from airshed.operators.rolling import rolling_mean
-from airshed.operators.series import explode_series, join_discharge, pivot_keyed_series, zip_positional
+from airshed.operators.series import explode_series, join_discharge, pivot_keyed_series, quarantine, zip_positional
 from airshed.operators.upsert import upsert
 from airshed.schemas import DAILY_AIR_QUALITY, DAILY_CLIMATE, DAILY_LAND_SURFACE
 from airshed.session import build_session, checkpoint_dir
+from airshed.sources.batches import BatchDefinition
+from airshed.sources.versioned import merge_versioned, read_table, replace_table, vacuum
 from airshed.sources.writers import merge_into
 
 __all__ = [
     "AIR_QUALITY_SUITE", "CLIMATE_SUITE", "DAILY_AIR_QUALITY", "DAILY_CLIMATE", "DAILY_LAND_SURFACE",
-    "LAND_SURFACE_SUITE", "merge_into",
+    "LAND_SURFACE_SUITE", "BatchDefinition", "checked_write", "heavy_keys", "merge_into", "merge_versioned", "quarantine", "read_table",
+    "replace_table", "vacuum",
     "AQ_SPEC", "Metric", "RunWindow", "assign_chunks", "build_session", "cast_integral", "checkpoint_dir",
     "clean_cities", "daily_aggregate", "dedup_first", "explode_series", "gate",
     "in_window", "join_discharge", "null_nan", "null_sentinel", "orphans", "outer_combine",

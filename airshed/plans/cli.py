@@ -7,9 +7,11 @@ pruning) and writes the tables under ``OUT``.
 
   spark-submit airshed/plans/cli.py cities --csv worldcities.csv --clean-csv OUT/clean \\
       --cities OUT/cities --chunks OUT/city_chunks [--country Japan] [--n 100]
-  spark-submit airshed/plans/cli.py daily --day 2024-03-02 --raw RAW --chunks OUT/city_chunks --out OUT
+  spark-submit airshed/plans/cli.py daily --day 2024-03-02 --raw RAW --chunks OUT/city_chunks --cities OUT/cities --out OUT
   spark-submit airshed/plans/cli.py backfill --start 2024-01-01 --end 2025-01-01 --raw RAW \\
-      --chunks OUT/city_chunks --out OUT
+      --chunks OUT/city_chunks --cities OUT/cities --out OUT
+
+The targets are versioned tables: read them with ``read_table``.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ from airshed.schemas import (  # noqa: E402
     raw_series_schema,
 )
 from airshed.session import ensure_utc, path_exists  # noqa: E402
+from airshed.sources.versioned import read_table  # noqa: E402
 
 RUN_DATE = T.StructField("run_date", T.DateType(), True)
 RAW_SCHEMAS = {
@@ -82,6 +85,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
         r.add_argument("--raw", required=True)
         r.add_argument("--chunks", required=True)
         r.add_argument("--out", required=True)
+        r.add_argument("--cities", help="the city table: every row's city has to be in it (default: the chunks)")
         r.add_argument("--feeds", nargs="*")
         if name == "daily":
             r.add_argument("--day", required=True, type=dt.date.fromisoformat)
@@ -103,9 +107,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
     raw = {f: read_raw(spark, args.raw, f, run_date) for f in _feeds(spark, args.raw, args.feeds)}
     if "climate" in raw and "discharge" not in raw:
         raise ValueError("the climate feed needs the discharge feed")
+    cities = read_table(spark, args.cities) if args.cities else None
     if args.cmd == "daily":
-        return P.run_daily(spark, args.day, chunks, raw, args.out)
-    return P.run_backfill(spark, args.start, args.end, chunks, raw, args.out, half_open=args.half_open)
+        return P.run_daily(spark, args.day, chunks, raw, args.out, cities=cities)
+    return P.run_backfill(spark, args.start, args.end, chunks, raw, args.out, half_open=args.half_open, cities=cities)
 
 
 if __name__ == "__main__":

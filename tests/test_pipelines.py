@@ -214,7 +214,8 @@ def test_cli_cities_daily_backfill(spark, tmpdir_path):
         if feed == "land_surface":
             df = df.join(chunks.select("city_id", "chunk_id"), "city_id")
         write_raw_chunks(df.withColumn("run_date", F.lit(DAY)), os.path.join(raw_dir, feed))
-    res = cli.main(["daily", "--day", DAY.isoformat(), "--raw", raw_dir, "--chunks", chunks_path, "--out", out], spark=spark)
+    res = cli.main(["daily", "--day", DAY.isoformat(), "--raw", raw_dir, "--chunks", chunks_path, "--out", out,
+                    "--cities", os.path.join(out, "cities")], spark=spark)
     assert sorted(r["feed"] for r in res) == ["air_quality", "climate", "land_surface"]
     assert read_table(spark, os.path.join(out, "daily_air_quality")).count() == 4
     with pytest.raises(DataQualityError, match="no rows"):  # a day without raw rows
