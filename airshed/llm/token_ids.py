@@ -101,7 +101,8 @@ def write_ids(docs: DataFrame, dest: str, tokenizer: str = TOKENIZER, id_col: st
     spark = docs.sparkSession
     small_batches(spark, 64)  # an encoding takes some hundred bytes a token
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    in_order = rows.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    begin = F.substring("text", 1, 64)  # parts the rows of a hot or null id over many tasks, in the order of texts
+    in_order = rows.repartitionByRange(shuffle_partitions(spark), "doc_id", begin).sortWithinPartitions("doc_id", "text")
     numbered = in_order.withColumn("shard", F.spark_partition_id())
     segments = numbered.mapInArrow(_write_segments(tokenizer), _SEGMENT_DDL)
     segments.write.option("compression", "uncompressed").parquet(dest)
@@ -125,7 +126,6 @@ def _read_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def read_ids(spark: SparkSession, source: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a row is a whole segment
     segments = spark.read.schema(_SEGMENT_DDL).parquet(source)
     totals = segments.groupBy("shard").agg(F.sum("n_ids").alias("_n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
