@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from airshed.session import drop_scratch, scratch_path, shuffle_partitions
+from airshed.session import delete_at_exit, drop_scratch, scratch_path, shuffle_partitions
 
 #: The white space that separates words in every contract.
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
@@ -34,6 +34,7 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     """Write to a scratch table and read it back: cuts lineage, computes once."""
     path = scratch_path(df.sparkSession, what)
     df.write.parquet(path)
+    delete_at_exit(df.sparkSession, path)  # what is not released before
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
