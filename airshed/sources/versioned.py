@@ -28,7 +28,7 @@ import json
 import re
 import time
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,6 +151,17 @@ def _publish_version(spark: SparkSession, path: str, version: Version) -> None:
         raise ConcurrentWriteError(f"version {version.number} of {path} was published by another writer")
 
 
+def _touched_parts(version: Version, source: DataFrame) -> Version:
+    """The version cut to the days from the source's first to its last, so that
+    no other folder is listed; all of it unless it is partitioned by a date."""
+    column = version.partition_col
+    if not column or not isinstance(version.schema[column].dataType, T.DateType):
+        return version
+    lo, hi = source.agg(F.min(column), F.max(column)).first()
+    inside = {p: c for p, c in version.parts.items() if lo and f"{column}={lo.isoformat()}" <= p <= f"{column}={hi.isoformat()}"}
+    return replace(version, parts=inside)
+
+
 def merge_versioned(
     spark: SparkSession,
     path: str,
@@ -177,9 +188,9 @@ def merge_versioned(
         if base and base.partition_col != partition_col:
             raise ValueError(f"{path} is partitioned by {base.partition_col}, not {partition_col}")
         schema = base.schema if base else target_schema or target_schema_of(source, dedup_by, created_col)
-        target = read_version(spark, path, base) if base else spark.createDataFrame([], schema)
         stage, rows = stage_source(spark, source, schema, keys, dedup_by)
         try:
+            target = read_version(spark, path, _touched_parts(base, rows)) if base else spark.createDataFrame([], schema)
             held = touched_target(target, rows, keys, partition_col if base else None)
             merged = upsert(held, rows, keys, update_cols, now, created_col)
             order = [cluster_col] if partition_col and cluster_col else list(keys)

@@ -1,5 +1,5 @@
-"""Write PLANS.md: the physical plan tree of every registered query at sf0.1,
-with its exchange count, pushed filters and read schemas.
+"""Write PLANS.md: the physical plan tree of every query outside the optional
+subpackage at sf0.1, with its exchange count, pushed filters and read schemas.
 
 usage: python scripts/dump_plans.py [sf_dir] > PLANS.md
 """
@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from airshed.plans import registry  # noqa: E402
 from airshed.session import build_session  # noqa: E402
 
 
@@ -24,8 +24,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     print("# Physical plans\n")
     print(f"Generated by `scripts/dump_plans.py` on `{sf_dir}` (Spark {spark.version}, AQE on; initial plans).")
-    print("Eager bounded checks a query runs before its main plan (limit counts, hot-key counts) are not shown.\n")
-    for name, q in entry.queries().items():
+    print("What a query runs before its result's plan (its loads, the hot-key sketch, ordinal scratch tables) is not shown.\n")
+    for name, q in registry.QUERIES.items():
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             q(spark, sf_dir).explain("formatted")

@@ -58,6 +58,17 @@ def test_a_merge_reads_and_writes_only_the_touched_partitions(spark, tmpdir_path
     assert "PartitionFilters: [" in plan and "2024-03-04" in plan
 
 
+def test_a_merge_lists_only_the_days_of_its_source(spark, tmpdir_path, monkeypatch):
+    path = f"{tmpdir_path}/t"
+    merge(spark, path, [(d, 1, 1.0) for d in D])
+    seen = []
+    real = versioned.read_version
+    monkeypatch.setattr(versioned, "read_version", lambda s, p, v: (seen.append(sorted(v.parts)), real(s, p, v))[1])
+    merged = merge(spark, path, [(D[2], 1, 2.0), (D[4], 1, 2.0)])
+    assert seen[0] == ["date=2024-03-03", "date=2024-03-04", "date=2024-03-05"] and len(seen[1]) == 7
+    assert rows_of(merged) == [(d, 1, 2.0 if d in (D[2], D[4]) else 1.0) for d in D]
+
+
 class Killed(BaseException):
     pass
 
