@@ -297,3 +297,22 @@ def test_mix_does_not_depend_on_the_layout(spark):
     layouts = [base, base.repartition(7), base.orderBy(F.desc("text")), base.repartition(2, "text")]
     got = [sorted(tuple(r) for r in mixing.mix(d).select("doc_id", "row_key", "taken").collect()) for d in layouts]
     assert got[0] == got[1] == got[2] == got[3]
+
+
+def test_scratch_tables_go_with_the_application(tmp_path):
+    import subprocess
+    import sys
+
+    code = f"""
+import sys
+sys.path.insert(0, {os.getcwd()!r})
+from airshed.session import build_session
+from airshed.llm.common import materialize
+spark = build_session("local[1]", extra={{"spark.checkpoint.dir": {str(tmp_path)!r}}})
+assert materialize(spark.range(5), "probe").count() == 5
+import os
+assert any(n.startswith("airshed-probe") for n in os.listdir({str(tmp_path)!r}))
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, capture_output=True, timeout=180)
+    assert not [n for n in os.listdir(tmp_path) if n.startswith("airshed-")]
