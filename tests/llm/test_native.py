@@ -8,6 +8,7 @@ import unicodedata
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from airshed.llm import mixing, quality_rules
 
@@ -94,6 +95,16 @@ def test_quality_without_labels(spark, rows):
     same(quality_rows(spark, rows, []), brute_quality(rows, set()))
 
 
+def test_quality_learns_from_every_trusted_document(spark):
+    """If all documents are trusted the two models are one, however many there are."""
+    texts = ["plain prose here and there", "Some 12 Words 3 4", "### || 99 && <x>"]
+    docs = spark.range(20_100).select(F.col("id").alias("doc_id"), F.get(F.array(*map(F.lit, texts)), (F.col("id") % 3).cast("int")).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    judged = quality_rules.quality(docs, labels.union(labels))  # an id counts once
+    assert judged.count() == 20_100
+    assert [r[0] for r in judged.select("score").distinct().collect()] == [0.0]
+
+
 def brute_mix(rows):
     sized = [(i, len(words(t)), s) for i, t, _, s, _ in rows]
     order = sorted({s for *_, s in sized}, key=lambda s: (s is None, (s or "").encode()))
