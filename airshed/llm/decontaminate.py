@@ -3,11 +3,11 @@
 1. Passages: WINDOW words around an anchor; anchors are the words whose hash
    is the least of some run of ANCHOR_RUN words, so a passage and its copy
    have the same anchors wherever they stand.
-2. Document frequencies of hashed words are counted over every document. A
-   bounded sample (the benchmark and about FIT_DOCS documents by hash of the
-   id) fits the latent space: a randomised SVD of the TF-IDF passage matrix,
-   by subspace iteration, each step a Spark job that sums the tasks' products
-   by blocks of buckets and returns the sum alone (buckets x RANK).
+2. Document frequencies of hashed words are counted over every document, and
+   every document and item fits the latent space: a randomised SVD of the
+   TF-IDF matrix of their consecutive passages, by subspace iteration. Each step
+   is a Spark job over all texts that sums the tasks' products by blocks of
+   buckets and returns the sum alone (buckets x RANK).
 3. Every passage of every document is folded into the latent space and
    compared with all benchmark passages by cosine; none is left out before.
    Items of fewer than SHORT_ITEM words may have no whole passage inside them:
@@ -43,15 +43,17 @@ from airshed.llm.common import NOT_ALNUM, WordHasher, chunked, column, fmix64, s
 
 WINDOW, ANCHOR_RUN = 12, 8
 BITS, RANK = 13, 48
-FIT_DOCS, ITERATIONS = 1000, 2
+ITERATIONS = 2
 MIN_COSINE = 0.7
 LCS_SURE, LCS_PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
 MIN_ITEM = 6
 SHORT_ITEM = WINDOW + ANCHOR_RUN
 BLOCK_ITEMS = 2000
-SAMPLE_TASKS = 8
-#: Texts and passages that one numpy pass works on.
-TEXTS_MARKED, COMPARED = 128, 2048
+SUM_TASKS = 8
+#: Tasks of a step of the fit, by core: each sends its product on.
+FIT_WAVES = 8
+#: Texts, passages and cosines that one numpy pass works on.
+TEXTS_MARKED, COMPARED, CELLS = 128, 2048, 1 << 18
 
 _SHIFT = np.uint64(64 - BITS)
 
@@ -127,33 +129,41 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-12)
 
 
+def consecutive(cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, end) of the passages that follow each other in each text;
+    every word is in one."""
+    number = -(-np.diff(cut) // WINDOW)
+    text = np.repeat(np.arange(len(number)), number)
+    first = cut[text] + WINDOW * (np.arange(len(text)) - np.repeat(np.cumsum(number) - number, number))
+    return first, np.minimum(first + WINDOW, cut[text + 1])
+
+
 def _product(idf: np.ndarray, basis: np.ndarray):
     """A task's share of A'A Q for the TF-IDF matrix A of its passages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(NOT_ALNUM)
-        q = np.vstack([basis, np.zeros((1, basis.shape[1]), np.float32)])
-        weight = np.append(idf, 0.0)
-        out = np.zeros_like(q)
+        rank = basis.shape[1]
+        weighted = np.vstack([basis * idf[:, None], np.zeros((1, rank))]).astype(np.float32)
+        square = np.append(idf, 0.0) ** 2
+        out = np.zeros((rank, len(square)))
         for b in batches:
             for _, texts in chunked(text_bytes(b)):
                 h, cut = hasher(texts)
                 if not len(h):
                     continue
-                _, first, end = passages(h, cut)
-                ids = _rows(h, first, end)
+                ids = _rows(h, *consecutive(cut))
                 # equal passages count once, or one text of repeats is a component
                 _, once = np.unique(fmix64(ids.astype(np.uint64)).sum(axis=1, dtype=np.uint64), return_index=True)
                 ids = ids[once]
-                w = weight[ids]
-                w /= np.maximum(np.sqrt((w * w).sum(axis=1, keepdims=True)), 1e-12)
-                z = np.einsum("pw,pwr->pr", w, q[ids])
-                order = np.argsort(ids, axis=None, kind="stable")
-                flat = ids.ravel()[order]
-                begin = np.concatenate(([0], np.flatnonzero(np.diff(flat)) + 1))
-                out[flat[begin]] += np.add.reduceat((w[:, :, None] * z[:, None, :]).reshape(-1, z.shape[1])[order], begin)
-        blocks = np.split(out[:-1].astype(np.float32), SAMPLE_TASKS)
-        cols = [pa.array(range(SAMPLE_TASKS), pa.int32()), pa.array([x.tobytes() for x in blocks], pa.binary())]
+                z = np.concatenate([_total(weighted, ids[k : k + COMPARED]) for k in range(0, len(ids), COMPARED)])
+                z = z.T / np.maximum(square[ids].sum(axis=1), 1e-12)
+                buckets = ids.T.ravel()
+                for r in range(rank):
+                    out[r] += np.bincount(buckets, np.tile(z[r], WINDOW), len(square))
+        out = out.T[:-1] * idf[:, None]
+        blocks = np.split(out.astype(np.float32), SUM_TASKS)
+        cols = [pa.array(range(SUM_TASKS), pa.int32()), pa.array([x.tobytes() for x in blocks], pa.binary())]
         yield pa.RecordBatch.from_arrays(cols, names=["block", "part"])
 
     return run
@@ -163,15 +173,29 @@ def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for b in batches:
         for k, x in zip(column(b, "block").to_pylist(), column(b, "part").to_pylist(), strict=True):
-            total[k] = total.get(k, 0) + np.frombuffer(x, np.float32)
+            total[k] = total.get(k, 0) + np.frombuffer(x, np.float32).astype(np.float64)
     cols = [pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())]
     yield pa.RecordBatch.from_arrays(cols, names=["block", "part"])
 
 
-def latent_space(docs: DataFrame, items: DataFrame, fit_docs: int = FIT_DOCS) -> np.ndarray:
+def _texts(docs: DataFrame, items: DataFrame, fit_docs: int | None) -> DataFrame:
+    """The texts that fit the space: all, or if asked for items and ``fit_docs``
+    documents by hash of the id (an id may have many rows: so many rows at most)."""
+    if fit_docs is not None:
+        ids = docs.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
+        ids = ids.orderBy(F.xxhash64("_id"), "_id").limit(fit_docs)  # bounded, so it may be broadcast
+        docs = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).orderBy(F.xxhash64("_id"), F.xxhash64("text")).limit(fit_docs)
+    tasks = FIT_WAVES * docs.sparkSession.sparkContext.defaultParallelism
+    return docs.select("text").coalesce(tasks).union(items.select("text").coalesce(1))
+
+
+def latent_space(docs: DataFrame, items: DataFrame, fit_docs: int | None = None) -> np.ndarray:
     """(2**BITS + 1) x RANK: what a word adds to a passage's latent vector
     (inverse document frequency times right singular vectors over singular
-    values); the last row is 0."""
+    values); the last row is 0.
+
+    A step multiplies by G = A'A. With the last one, Y = G Q, G is taken as
+    Y (Q'Y)^-1 Y' (Nystrom), so the span of Y needs no step of its own."""
     small_batches(docs.sparkSession)
     counts = docs.select("text").mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     df, n_docs = np.zeros(1 << BITS), 0
@@ -181,33 +205,33 @@ def latent_space(docs: DataFrame, items: DataFrame, fit_docs: int = FIT_DOCS) ->
         else:
             df[bucket] = n
     idf = np.log((1 + n_docs) / (1 + df)) + 0.01
-    ids = docs.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
-    sample = ids.orderBy(F.xxhash64("_id"), "_id").limit(fit_docs)  # bounded, so it may be broadcast
-    texts = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).orderBy(F.xxhash64("_id"), F.xxhash64("text")).limit(fit_docs)
-    texts = texts.select("text").union(items.select("text"))  # an id may have many rows: fit_docs of them at most
-    texts = texts.repartition(SAMPLE_TASKS).persist()
-    rng = np.random.default_rng(48)
-    image = rng.standard_normal((1 << BITS, RANK), np.float32)
-    for _ in range(ITERATIONS + 1):
+    texts = _texts(docs, items, fit_docs)
+    image = np.random.default_rng(48).standard_normal((1 << BITS, RANK))
+    for _ in range(ITERATIONS):
         basis, _ = np.linalg.qr(image)
-        parts = texts.mapInArrow(_product(idf, basis), "block int, part binary").repartition(SAMPLE_TASKS, "block")
+        parts = texts.mapInArrow(_product(idf, basis), "block int, part binary").repartition(SUM_TASKS, "block")
         summed = parts.mapInArrow(_sum_blocks, "block int, part binary").collect()  # one row per block of buckets
         image = np.zeros_like(basis)
-        rows = len(image) // SAMPLE_TASKS
+        rows = len(image) // SUM_TASKS
         for block, part in summed:
-            image[block * rows : (block + 1) * rows] = np.frombuffer(part, np.float32).reshape(rows, RANK)
-    texts.unpersist()
-    values, turn = np.linalg.eigh(basis.T @ image)  # of A'A in the subspace
+            image[block * rows : (block + 1) * rows] = np.frombuffer(part).reshape(rows, RANK)
+    last, r = np.linalg.qr(image)
+    core = basis.T @ image
+    values, turn = np.linalg.eigh(r @ np.linalg.pinv((core + core.T) / 2, rcond=1e-6, hermitian=True) @ r.T)  # of G in the span
     values, turn = values[::-1], turn[:, ::-1]
-    right = basis @ turn / np.sqrt(np.maximum(values, 1e-9 * max(values[0], 1e-9)))
+    right = last @ turn / np.sqrt(np.maximum(values, 1e-9 * max(values[0], 1e-9)))
     return np.vstack([right * idf[:, None], np.zeros((1, RANK))]).astype(np.float32)
 
 
-def _fold(space: np.ndarray, ids: np.ndarray) -> np.ndarray:
+def _total(space: np.ndarray, ids: np.ndarray) -> np.ndarray:
     total = np.take(space, ids[:, 0], axis=0)
     for column_ in ids.T[1:]:  # a place at a time: no array of passages x words x RANK
         total += np.take(space, column_, axis=0)
-    return _unit(total)
+    return total
+
+
+def _fold(space: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    return _unit(_total(space, ids))
 
 
 class Item(NamedTuple):
@@ -276,11 +300,17 @@ def judge(region: list[int], item: Item) -> tuple[float, bool, bool]:
     return share, answer, share >= LCS_SURE or (share >= LCS_PARAPHRASE and answer)
 
 
-def _near(cosines: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the values of at least ``least`` in a matrix where few rows have any."""
-    rows = np.flatnonzero(cosines.max(axis=1) >= least)
-    i, j = np.nonzero(cosines[rows] >= least)
-    return rows[i], j
+def _near(folded: np.ndarray, queries: np.ndarray, least: float, cosines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(passage, query) of all cosines of at least ``least``. ``cosines`` takes
+    as many rows at a time as it has: few, so that they stay in the cache."""
+    found = []
+    for k in range(0, len(folded), len(cosines)):
+        part = folded[k : k + len(cosines)]
+        c = np.matmul(part, queries, out=cosines[: len(part)])
+        rows = np.flatnonzero(c.max(axis=1) >= least)  # few rows have any
+        i, j = np.nonzero(c[rows] >= least)
+        found.append((k + rows[i], j))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def _regions(bench: Benchmark, has: np.ndarray, buckets: np.ndarray, cut: np.ndarray, found: np.ndarray) -> Iterator[tuple]:
@@ -350,7 +380,7 @@ def _search(bench: Benchmark, space: np.ndarray, min_cosine: float):
         for i, item in enumerate(bench.items):
             has[i, (np.array(item.words, np.uint64) >> _SHIFT).astype(np.int64)] = True
         short = [Short(i, item) for i, item in enumerate(bench.items) if len(item.words) < SHORT_ITEM]
-        cosines = np.empty((COMPARED, len(bench.owner)), np.float32)
+        cosines = np.empty((max(64, CELLS // max(1, len(bench.owner))), len(bench.owner)), np.float32)
         for b in batches:
             doc_ids, rows = column(b, "doc_id").to_pylist(), []
             for begin, texts in chunked(text_bytes(b)):
@@ -370,7 +400,7 @@ def _search(bench: Benchmark, space: np.ndarray, min_cosine: float):
                 for k in range(0, len(at), COMPARED):
                     part = slice(k, k + COMPARED)
                     folded = _fold(space, _rows(h, first[part], end[part]))
-                    p, q = _near(np.matmul(folded, bench.queries, out=cosines[: len(folded)]), min_cosine)
+                    p, q = _near(folded, bench.queries, min_cosine, cosines)
                     text = np.searchsorted(cut, at[part][p], side="right") - 1
                     found = np.stack([bench.owner[q], text, at[part][p] - bench.anchor[q]], axis=1)
                     for owner, text, start, lo, hi in _regions(bench, has, buckets, cut, found):
@@ -388,7 +418,7 @@ def _search(bench: Benchmark, space: np.ndarray, min_cosine: float):
     return run
 
 
-def leaks(docs: DataFrame, bench: DataFrame, min_cosine: float = MIN_COSINE, fit_docs: int = FIT_DOCS) -> DataFrame:
+def leaks(docs: DataFrame, bench: DataFrame, min_cosine: float = MIN_COSINE, fit_docs: int | None = None) -> DataFrame:
     """doc_id, item_id, lcs_share, answer_found, at_word: one row per document
     and benchmark item that it holds."""
     spark = docs.sparkSession
