@@ -4,6 +4,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
+from airshed.llm import decontaminate
+from airshed.llm.common import NOT_ALNUM, WordHasher
+
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -67,3 +72,18 @@ def same(got, want) -> None:
     """Equal as multisets of rows, None included."""
     key = lambda r: tuple((x is not None, str(x)) for x in r)
     assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def latent_products(space, docs: list[str], items: list[str]):
+    """A'A of all passages as the latent space turns it: ones where it was
+    fitted on the same texts, in as many places as there are words."""
+    vocabulary = sorted({w for t in docs + items for w in t.split()})
+    h, _ = WordHasher(NOT_ALNUM)([w.encode() for w in vocabulary])
+    bucket = dict(zip(vocabulary, (h >> np.uint64(64 - decontaminate.BITS)).tolist(), strict=True))
+    idf = {w: np.log((1 + len(docs)) / (1 + sum(w in t.split() for t in docs))) + 0.01 for w in vocabulary}
+    folded = []
+    for ws in map(str.split, docs + items):
+        for k in range(0, len(ws), decontaminate.WINDOW):
+            passage = set(ws[k : k + decontaminate.WINDOW])
+            folded.append(sum(space[bucket[w]].astype(float) for w in passage) / sum(idf[w] ** 2 for w in passage) ** 0.5)
+    return np.array(folded).T @ np.array(folded)

@@ -11,11 +11,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from airshed.llm import mixing, near_dedup, range_coder, token_ids, warc
+from airshed.llm import decontaminate, mixing, near_dedup, range_coder, token_ids, warc
 from airshed.llm.components import components
 from airshed.session import scratch_path
 
-from .helpers import DOC_SCHEMA, awkward_docs, prose, same, with_clashes, words
+from .helpers import DOC_SCHEMA, awkward_docs, latent_products, prose, same, with_clashes, words
 
 PAGES = "page_id long, url string, html string"
 
@@ -277,6 +277,20 @@ def test_pipeline_judges_rows_not_ids(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 60
 
 
+def test_pipeline_decontamination_learns_from_every_row(spark, tmp_path, monkeypatch):
+    """Rows without an id or with one that others have are rows of the model too."""
+    rng = random.Random(25)
+    vocabulary = sorted({prose(rng, 1) + "q" for _ in range(30)})
+    text = lambda: " ".join(rng.choice(vocabulary) for _ in range(rng.randint(13, 30)))
+    item = text()
+    rows = [(None if i < 200 else i // 2, text(), "en", "s", 1) for i in range(2500)]
+    spaces, prepare = [], decontaminate.prepare
+    monkeypatch.setattr(decontaminate, "prepare", lambda items, space: spaces.append(space) or prepare(items, space))
+    corpus_pipeline.decontamination(spark, pipeline_tables(spark, str(tmp_path), rows, item), str(tmp_path)).count()
+    ones = np.diag(latent_products(spaces[0], [r[1] for r in rows], [item]))[: len(vocabulary)]
+    assert np.allclose(ones, 1, atol=0.05)
+
+
 def test_pipeline_on_an_empty_table_and_clashing_columns(spark, tmp_path):
     rng = random.Random(24)
     docs = pipeline_tables(spark, str(tmp_path), [], prose(rng, 30))

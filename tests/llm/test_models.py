@@ -8,9 +8,8 @@ import numpy as np
 import pytest
 
 from airshed.llm import decontaminate, language_id, pii, toxicity
-from airshed.llm.common import NOT_ALNUM, WordHasher
 
-from .helpers import DOC_SCHEMA, awkward_docs, prose, same, with_clashes
+from .helpers import DOC_SCHEMA, awkward_docs, latent_products, prose, same, with_clashes
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -208,17 +207,7 @@ def test_latent_space_is_fitted_on_every_document(spark):
     rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(13, 30)))) for i in range(3000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     space = decontaminate.latent_space(docs, spark.createDataFrame([], "item_id long, text string"))
-    h, _ = WordHasher(NOT_ALNUM)([w.encode() for w in vocabulary])
-    bucket = dict(zip(vocabulary, (h >> np.uint64(64 - decontaminate.BITS)).tolist(), strict=True))
-    idf = {w: np.log((1 + len(rows)) / (1 + sum(w in t.split() for _, t in rows))) + 0.01 for w in vocabulary}
-    folded = []
-    for _, text in rows:
-        ws = text.split()
-        for k in range(0, len(ws), decontaminate.WINDOW):
-            passage = set(ws[k : k + decontaminate.WINDOW])
-            norm_ = sum(idf[w] ** 2 for w in passage) ** 0.5
-            folded.append(sum(space[bucket[w]].astype(float) for w in passage) / norm_)
-    turned = np.array(folded).T @ np.array(folded)
+    turned = latent_products(space, [t for _, t in rows], [])
     ones = np.diag(turned)[: len(vocabulary)]
     assert np.allclose(ones, 1, atol=0.05)
     assert np.abs(turned - np.diag(np.diag(turned))).max() < 0.05
