@@ -160,6 +160,24 @@ def test_lcs_by_bits():
         assert decontaminate.lcs(a, masks, len(b)) == lcs_len(a, b)
 
 
+def test_places_with_hits_enough():
+    rng = np.random.default_rng(3)
+    for _ in range(2000):
+        n, need, before, after = (int(rng.integers(lo, hi)) for lo, hi in ((1, 40), (1, 8), (0, 5), (1, 15)))
+        hit = rng.random(n) < rng.random()
+        want = [p for p in range(n) if hit[max(0, p - before) : p + after].sum() >= need]
+        assert decontaminate._places(np.flatnonzero(hit), need, before, after, n).tolist() == want
+
+
+@pytest.mark.parametrize("n", [1, 7, 64])
+def test_near_finds_every_pair(n):
+    rng = np.random.default_rng(n)
+    for passages, least in ((1, 0), (5, 50), (8, 2), (100, 1), (100, 99)):
+        folded, queries = (rng.integers(-2, 3, shape).astype(np.float32) for shape in ((passages, 4), (4, n)))
+        got = decontaminate._near(folded, queries, least, np.full((9, n), 99, np.float32))
+        assert [x.tolist() for x in got] == [x.tolist() for x in np.nonzero(folded @ queries >= least)]
+
+
 def varied(rng, n):
     return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 7))) for _ in range(n))
 
