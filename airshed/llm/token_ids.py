@@ -1,7 +1,7 @@
 """Token ids as compressed binary files, and back.
 
-Writing: the documents are range-sorted by id; a task tokenises its part, adds
-END_ID to each document and cuts the stream of ids into segments of whole
+Writing: the documents are range-sorted by id; a task tokenises its part (see
+``piece_ids``), adds END_ID to each document and cuts the stream of ids into segments of whole
 documents (about SEGMENT_IDS ids), each coded by ``range_coder`` in
 independently reset, checksummed blocks. A segment is a row (shard, its first
 id within the shard, documents and their lengths, coded bytes) of a Parquet
@@ -30,12 +30,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airshed.llm import range_coder
-from airshed.llm.common import column, small_batches, table
+from airshed.llm.common import column, small_batches, table, text_bytes
+from airshed.llm.piece_ids import PieceIds
 from airshed.session import scratch_path, shuffle_partitions
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-SEGMENT_IDS = 1 << 22
+SEGMENT_IDS = 1 << 23
 
 _SEGMENT = {
     "shard": pa.int32(), "first_in_shard": pa.int64(), "n_ids": pa.int64(), "doc_ids": pa.list_(pa.int64()),
@@ -59,17 +60,17 @@ def load_tokenizer(name: str):
     return tokenizer
 
 
-def _kept_tokenizer(name: str):
-    """One per Python worker, kept over its tasks: loading it takes long."""
-    kept = sys.modules.setdefault("_kept_tokenizers", types.ModuleType("_kept_tokenizers"))
+def _kept_encoder(name: str) -> PieceIds:
+    """One per Python worker, kept over its tasks: loading a tokenizer takes long."""
+    kept = sys.modules.setdefault("_kept_encoders", types.ModuleType("_kept_encoders"))
     if name not in vars(kept):
-        setattr(kept, name, load_tokenizer(name))
+        setattr(kept, name, PieceIds(load_tokenizer(name)))
     return getattr(kept, name)
 
 
 def _write_segments(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _kept_tokenizer(tokenizer)
+        encoder = _kept_encoder(tokenizer)
         shard, first, held = 0, 0, 0
         docs: list[int | None] = []
         ids: list[np.ndarray] = []
@@ -82,10 +83,9 @@ def _write_segments(tokenizer: str):
             if not b.num_rows:
                 continue
             shard = column(b, "shard")[0].as_py()
-            texts = [t or "" for t in column(b, "text").to_pylist()]
-            for doc, x in zip(column(b, "doc_id").to_pylist(), encoder.encode_batch(texts, add_special_tokens=False), strict=True):
+            for doc, x in zip(column(b, "doc_id").to_pylist(), encoder(text_bytes(b)), strict=True):
                 docs.append(doc)
-                ids.append(np.array([*x.ids, END_ID], np.uint16))
+                ids.append(np.append(x, np.uint16(END_ID)))
                 held += len(ids[-1])
                 if held >= SEGMENT_IDS:
                     yield segment()
@@ -99,7 +99,7 @@ def _write_segments(tokenizer: str):
 def write_ids(docs: DataFrame, dest: str, tokenizer: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Tokenise and write all documents below ``dest``, in order of their ids."""
     spark = docs.sparkSession
-    small_batches(spark, 64)  # an encoding takes some hundred bytes a token
+    small_batches(spark, 64)  # where a text is encoded in one go, that takes some hundred bytes a token
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     begin = F.substring("text", 1, 64)  # parts the rows of a hot or null id over many tasks, in the order of texts
     in_order = rows.repartitionByRange(shuffle_partitions(spark), "doc_id", begin).sortWithinPartitions("doc_id", "text")
