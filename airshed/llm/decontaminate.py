@@ -3,7 +3,8 @@
 1. Passages: WINDOW words around an anchor; anchors are the words whose hash
    is the least of some run of ANCHOR_RUN words, so a passage and its copy
    have the same anchors wherever they stand.
-2. Document frequencies of hashed words are counted over every document, and
+2. The words of every document are hashed into buckets once and kept in a scratch
+   table. Document frequencies are counted over all of it, and
    every document and item fits the latent space: a randomised SVD of the
    TF-IDF matrix of their consecutive passages, by subspace iteration. Each step
    is a Spark job over all texts that sums the tasks' products by blocks of
@@ -39,7 +40,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airshed.llm.common import NOT_ALNUM, WordHasher, chunked, column, fmix64, small_batches, table, text_bytes
+from airshed.llm.common import (
+    CHUNK_BYTES,
+    NOT_ALNUM,
+    WordHasher,
+    chunked,
+    column,
+    fmix64,
+    materialize,
+    release,
+    small_batches,
+    table,
+    text_bytes,
+)
 
 WINDOW, ANCHOR_RUN = 12, 8
 BITS, RANK = 13, 48
@@ -94,31 +107,52 @@ def passages(h: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return at, np.maximum(at - WINDOW // 2, cut[text]), np.minimum(at + WINDOW // 2, cut[text + 1])
 
 
-def _rows(h: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+def _rows(buckets: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Distinct word buckets of passages, sorted; the bucket past the last one
     fills up short passages and stands for repeated words."""
     at = first[:, None] + np.arange(WINDOW)
-    buckets = (h >> _SHIFT).astype(np.int32)
-    rows = np.where(at < end[:, None], buckets[np.minimum(at, len(h) - 1)], 1 << BITS)
+    rows = buckets.take(at, mode="clip")
+    rows[at >= end[:, None]] = 1 << BITS
     rows.sort(axis=1)
     rows[:, 1:][rows[:, 1:] == rows[:, :-1]] = 1 << BITS
     return rows
 
 
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The buckets of each text's words, two bytes each, and the text's size."""
+    hasher = WordHasher(NOT_ALNUM)
+    for b in batches:
+        rows: list[bytes] = []
+        whole = text_bytes(b)
+        for _, texts in chunked(whole):
+            h, cut = hasher(texts)
+            words = (h >> _SHIFT).astype("<u2").tobytes()
+            rows += [words[2 * s : 2 * e] for s, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(map(len, whole), pa.int64())], names=["words", "size"])
+
+
+def _chunks(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(buckets, where each text begins) of some of a batch's texts at a time, as
+    many as ``chunked`` gives of the texts themselves."""
+    rows = column(b, "words").to_pylist()
+    for k, sizes in chunked(map(range, column(b, "size").to_pylist()), CHUNK_BYTES):
+        words = rows[k : k + len(sizes)]
+        yield np.frombuffer(b"".join(words), "<u2").astype(np.int32), np.cumsum([0, *(len(w) >> 1 for w in words)])
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents that have each bucket; bucket -1 is the number of documents."""
-    hasher, df, n = WordHasher(NOT_ALNUM), np.zeros(1 << BITS, np.int64), 0
+    df, n = np.zeros(1 << BITS, np.int64), 0
     for b in batches:
-        for _, texts in chunked(text_bytes(b)):
-            h, cut = hasher(texts)
-            doc = np.repeat(np.arange(len(texts)), np.diff(cut))
-            buckets = (h >> _SHIFT).astype(np.int64)
-            for k in range(0, len(texts), TEXTS_MARKED):
+        for buckets, cut in _chunks(b):
+            texts = len(cut) - 1
+            doc = np.repeat(np.arange(texts), np.diff(cut))
+            for k in range(0, texts, TEXTS_MARKED):
                 part = slice(*np.searchsorted(doc, [k, k + TEXTS_MARKED]))
-                seen = np.zeros((min(TEXTS_MARKED, len(texts) - k), 1 << BITS), np.uint8)
+                seen = np.zeros((min(TEXTS_MARKED, texts - k), 1 << BITS), np.uint8)
                 seen[doc[part] - k, buckets[part]] = 1
                 df += seen.sum(axis=0, dtype=np.uint32)
-            n += len(texts)
+            n += texts
     have = np.flatnonzero(df)
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.append(have, -1), pa.int64()), pa.array(np.append(df[have], n), pa.int64())], names=["bucket", "n"]
@@ -142,23 +176,21 @@ def _product(idf: np.ndarray, basis: np.ndarray):
     """A task's share of A'A Q for the TF-IDF matrix A of its passages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher(NOT_ALNUM)
         rank = basis.shape[1]
         weighted = np.vstack([basis * idf[:, None], np.zeros((1, rank))]).astype(np.float32)
         square = np.append(idf, 0.0) ** 2
         out = np.zeros((rank, len(square)))
         for b in batches:
-            for _, texts in chunked(text_bytes(b)):
-                h, cut = hasher(texts)
-                if not len(h):
+            for words, cut in _chunks(b):
+                if not len(words):
                     continue
-                ids = _rows(h, *consecutive(cut))
+                ids = _rows(words, *consecutive(cut))
                 # equal passages count once, or one text of repeats is a component
                 _, once = np.unique(fmix64(ids.astype(np.uint64)).sum(axis=1, dtype=np.uint64), return_index=True)
                 ids = ids[once]
                 z = np.concatenate([_total(weighted, ids[k : k + COMPARED]) for k in range(0, len(ids), COMPARED)])
                 z = z.T / np.maximum(square[ids].sum(axis=1), 1e-12)
-                buckets = ids.T.ravel()
+                buckets = ids.T.ravel().astype(np.intp)  # once, not in each count
                 for r in range(rank):
                     out[r] += np.bincount(buckets, np.tile(z[r], WINDOW), len(square))
         out = out.T[:-1] * idf[:, None]
@@ -178,15 +210,20 @@ def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays(cols, names=["block", "part"])
 
 
-def _texts(docs: DataFrame, items: DataFrame, fit_docs: int | None) -> DataFrame:
-    """The texts that fit the space: all, or if asked for items and ``fit_docs``
-    documents by hash of the id (an id may have many rows: so many rows at most)."""
+def _hashed(texts: DataFrame) -> DataFrame:
+    return texts.select("text").mapInArrow(_words, "words binary, size long")
+
+
+def _fitted(docs: DataFrame, words: DataFrame, items: DataFrame, fit_docs: int | None) -> DataFrame:
+    """The words that fit the space: all (``words`` are those of ``docs``), or if asked for items and
+    ``fit_docs`` documents by hash of the id (an id may have many rows: so many rows at most)."""
     if fit_docs is not None:
         ids = docs.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
         ids = ids.orderBy(F.xxhash64("_id"), "_id").limit(fit_docs)  # bounded, so it may be broadcast
         docs = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).orderBy(F.xxhash64("_id"), F.xxhash64("text")).limit(fit_docs)
+        words = _hashed(docs)
     tasks = FIT_WAVES * docs.sparkSession.sparkContext.defaultParallelism
-    return docs.select("text").coalesce(tasks).union(items.select("text").coalesce(1))
+    return words.coalesce(tasks).union(_hashed(items.coalesce(1)))
 
 
 def latent_space(docs: DataFrame, items: DataFrame, fit_docs: int | None = None) -> np.ndarray:
@@ -197,7 +234,8 @@ def latent_space(docs: DataFrame, items: DataFrame, fit_docs: int | None = None)
     A step multiplies by G = A'A. With the last one, Y = G Q, G is taken as
     Y (Q'Y)^-1 Y' (Nystrom), so the span of Y needs no step of its own."""
     small_batches(docs.sparkSession)
-    counts = docs.select("text").mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    words = materialize(_hashed(docs), "decontaminate-words")
+    counts = words.mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     df, n_docs = np.zeros(1 << BITS), 0
     for bucket, n in counts.collect():  # one row per bucket
         if bucket < 0:
@@ -205,16 +243,17 @@ def latent_space(docs: DataFrame, items: DataFrame, fit_docs: int | None = None)
         else:
             df[bucket] = n
     idf = np.log((1 + n_docs) / (1 + df)) + 0.01
-    texts = _texts(docs, items, fit_docs)
+    fitted = _fitted(docs, words, items, fit_docs)
     image = np.random.default_rng(48).standard_normal((1 << BITS, RANK))
     for _ in range(ITERATIONS):
         basis, _ = np.linalg.qr(image)
-        parts = texts.mapInArrow(_product(idf, basis), "block int, part binary").repartition(SUM_TASKS, "block")
+        parts = fitted.mapInArrow(_product(idf, basis), "block int, part binary").repartition(SUM_TASKS, "block")
         summed = parts.mapInArrow(_sum_blocks, "block int, part binary").collect()  # one row per block of buckets
         image = np.zeros_like(basis)
         rows = len(image) // SUM_TASKS
         for block, part in summed:
             image[block * rows : (block + 1) * rows] = np.frombuffer(part).reshape(rows, RANK)
+    release(words)
     last, r = np.linalg.qr(image)
     core = basis.T @ image
     values, turn = np.linalg.eigh(r @ np.linalg.pinv((core + core.T) / 2, rcond=1e-6, hermitian=True) @ r.T)  # of G in the span
@@ -263,7 +302,7 @@ def prepare(rows: list[tuple[int | None, str | None]], space: np.ndarray) -> Ben
             masks[w] = masks.get(w, 0) | 1 << i
         if len(h) >= SHORT_ITEM:
             at, first, end = passages(h, cut)
-            queries.append(_fold(space, _rows(h, first, end)))
+            queries.append(_fold(space, _rows((h >> _SHIFT).astype(np.int32), first, end)))
             owner.append(np.full(len(at), len(items)))
             anchor.append(at)
         need = next(k for k in range(len(h) + 1) if k / len(h) >= LCS_PARAPHRASE)
@@ -425,9 +464,10 @@ def _search(bench: Benchmark, space: np.ndarray, min_cosine: float):
                             best[text, owner] = row
                 best = {pair: (share, answer, at) for pair, (share, answer, _, at) in best.items()}
                 at, first, end = passages(h, cut) if len(bench.owner) else (cut[:0],) * 3
+                narrow = buckets.astype(np.int32)
                 for k in range(0, len(at), COMPARED):
                     part = slice(k, k + COMPARED)
-                    folded = _fold(space, _rows(h, first[part], end[part]))
+                    folded = _fold(space, _rows(narrow, first[part], end[part]))
                     p, q = _near(folded, bench.queries, min_cosine, cosines)
                     text = np.searchsorted(cut, at[part][p], side="right") - 1
                     found = np.stack([bench.owner[q], text, at[part][p] - bench.anchor[q]], axis=1)
